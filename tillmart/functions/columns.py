@@ -2,12 +2,13 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from tillmart.functions.vocabulary import CLASS_KEYWORDS
 from tillmart.schemas import FLAGS, MONEY, PRICE
 
 INVOICE_TIME_PATTERN = "M/d/yy H:mm"
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def lenient_int(text: Column) -> Column:
@@ -22,23 +23,31 @@ def lenient_price(text: Column) -> Column:
 def wall_clock(text: Column, patterns: Iterable[str] = (INVOICE_TIME_PATTERN,)) -> Column:
     """Timestamp without zone from the first pattern that fits; NULL if none does.
 
-    The text is read as UTC and counted from the epoch, so that a clock change
-    in the session's own zone moves no value.
+    Outside UTC the text is read as UTC and counted from the epoch, so that a
+    clock change in the session's own zone moves no value.
     """
-    parsed = F.coalesce(
-        *[F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{pattern} X")) for pattern in patterns]
-    )
-    return F.timestamp_add("MICROSECOND", F.unix_micros(parsed), F.lit("1970-01-01").cast("timestamp_ntz"))
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        parsed = [F.try_to_timestamp(text, F.lit(pattern)) for pattern in patterns]
+        return F.coalesce(*parsed).cast("timestamp_ntz")
+    parsed = [F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{pattern} X")) for pattern in patterns]
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.coalesce(*parsed)), epoch)
 
 
 def joined_hash(*columns: Column, algorithm: str = "sha256") -> Column:
-    """Hash of the non-NULL values joined by ``_``."""
+    """Hash of the non-NULL values joined by ``_``.
+
+    It is never NULL, and ``coalesce`` tells the planner so: a join on the key
+    then needs no NULL check, for which the hash would be worked out twice.
+    """
     joined = F.concat_ws("_", *columns)
     if algorithm == "md5":
-        return F.md5(joined)
-    if algorithm == "sha256":
-        return F.sha2(joined, 256)
-    raise ValueError(f"no such hash: {algorithm}")
+        hashed = F.md5(joined)
+    elif algorithm == "sha256":
+        hashed = F.sha2(joined, 256)
+    else:
+        raise ValueError(f"no such hash: {algorithm}")
+    return F.coalesce(hashed, F.lit(""))
 
 
 def is_operational(item_id: Column) -> Column:

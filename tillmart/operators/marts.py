@@ -1,15 +1,16 @@
 """Marts over the star schema.
 
-Money stays decimal in here, so sums do not depend on the order of the rows;
-``schemas.as_published`` turns it into double.
+Money stays decimal with two places in here, so sums are exact and do not
+depend on the order of the rows; ``schemas.as_published`` turns it into double.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillmart.functions import columns as fn
-from tillmart.schemas import FLAGS
+from tillmart.schemas import FLAGS, MONEY_SUM
 
 INVOICE_FLAGS = ["is_return", *FLAGS]
+INT_MAX = 2**31 - 1
 
 
 def int_items(fact: DataFrame, items: DataFrame, families: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def int_items(fact: DataFrame, items: DataFrame, families: DataFrame) -> DataFra
     even where a family has two descriptions. A transaction is one fact row.
     """
     sales = fact.groupBy("item_uuid").agg(
-        F.sum("total_price_eur").alias("total_sales_amount"),
+        F.sum("total_price_eur").cast(MONEY_SUM).alias("total_sales_amount"),
         F.countDistinct("customer_id").alias("total_customers"),
         F.sum("quantity_amount").alias("total_quantity"),
         F.count(F.lit(1)).alias("total_transactions"),
@@ -35,7 +36,7 @@ def int_items(fact: DataFrame, items: DataFrame, families: DataFrame) -> DataFra
         "item_family_description",
         "item_category",
         *FLAGS,
-        F.round("total_sales_amount", 2).alias("total_sales_amount"),
+        "total_sales_amount",
         "total_customers",
         "total_quantity",
         "total_transactions",
@@ -75,7 +76,7 @@ def int_transactions(
             "item_variant",
             *FLAGS,
             F.round("unit_price_eur", 2).alias("unit_price_eur"),
-            F.round("total_price_eur", 2).alias("total_price_eur"),
+            "total_price_eur",
             "quantity_amount",
             "customer_id",
             F.col("place_id").alias("country_id"),
@@ -90,7 +91,7 @@ def int_transactions(
 
 def _invoice_measures() -> list[Column]:
     return [
-        F.round(F.sum("total_price_eur"), 2).alias("total_invoice_amount"),
+        F.sum("total_price_eur").cast(MONEY_SUM).alias("total_invoice_amount"),
         F.sum("quantity_amount").alias("total_quantity"),
         F.countDistinct("item_uuid").alias("total_items"),
     ]
@@ -100,17 +101,11 @@ def _has(flag: str) -> str:
     return flag.replace("is_", "has_", 1)
 
 
-def int_invoices(transactions: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """One row per invoice, day, customer and country.
-
-    Names of day and place are looked up after the grouping, by their keys.
-    """
-    keys = ["invoice_id", "date_id", "customer_id", "country_id"]
-    rolled = transactions.groupBy(*keys).agg(
-        *_invoice_measures(), *[F.bool_or(flag).alias(_has(flag)) for flag in INVOICE_FLAGS]
-    )
+def _named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Grouped rows with the names of day and place, looked up by their keys."""
+    days = dim_date.select("date_id", "date", "day_of_week")
     return (
-        rolled.join(F.broadcast(dim_date.select("date_id", "date", "day_of_week")), "date_id", "left")
+        rolled.join(F.broadcast(days), "date_id", "left")
         .join(dim_location.select("country_id", "country_name"), "country_id", "left")
         .select(
             "invoice_id",
@@ -128,25 +123,40 @@ def int_invoices(transactions: DataFrame, dim_date: DataFrame, dim_location: Dat
     )
 
 
-def first_by_date(column: str) -> Column:
-    """Value of the earliest row that has one; the smallest wins on the same day."""
-    value = F.col(column)
-    order = F.when(value.isNotNull(), F.struct(F.col("date").isNull(), F.col("date"), value))
-    return F.min_by(value, order).alias(column)
+def int_invoices(transactions: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """One row per invoice, day, customer and country."""
+    rolled = transactions.groupBy("invoice_id", "date_id", "customer_id", "country_id").agg(
+        *_invoice_measures(), *[F.bool_or(flag).alias(_has(flag)) for flag in INVOICE_FLAGS]
+    )
+    return _named_invoices(rolled, dim_date, dim_location)
 
 
-def invoice_first(transactions: DataFrame) -> DataFrame:
-    """One row per invoice: first known value of each attribute, missing flags as false."""
-    firsts = ["date_id", "date", "customer_id", "country_name", "day_of_week", "country_id"]
-    return (
+def _on_first_day(column: str) -> Column:
+    """Smallest known value of an int column on the earliest day that has one.
+
+    Day and value are packed into one long, so the minimum is kept in a hash
+    table; a minimum over a struct would sort every task's rows first.
+    """
+    day = F.coalesce(F.col("date_id"), F.lit(INT_MAX)).cast("bigint")
+    packed = F.shiftleft(day, 32) + (F.col(column).cast("bigint") + INT_MAX + 1)
+    value = F.min(packed).bitwiseAND(F.lit((1 << 32) - 1)) - (INT_MAX + 1)
+    return value.cast("int").alias(column)
+
+
+def invoice_first(transactions: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """One row per invoice: first known day, customer and country, missing flags as false."""
+    rolled = (
         transactions.filter(F.col("invoice_id").isNotNull())
         .groupBy("invoice_id")
         .agg(
-            *[first_by_date(column) for column in firsts],
+            F.min("date_id").alias("date_id"),
+            _on_first_day("customer_id"),
+            _on_first_day("country_id"),
             *_invoice_measures(),
             *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(_has(flag)) for flag in INVOICE_FLAGS],
         )
     )
+    return _named_invoices(rolled, dim_date, dim_location)
 
 
 def category_counts(transactions: DataFrame, *keys: str) -> DataFrame:
@@ -168,7 +178,7 @@ def favorite_category(transactions: DataFrame) -> DataFrame:
 def _customer_measures(transactions_unique: bool) -> list[Column]:
     transactions = F.count(F.lit(1)) if transactions_unique else F.countDistinct("transaction_id")
     return [
-        F.sum("total_price_eur").alias("amount"),
+        F.sum("total_price_eur").cast(MONEY_SUM).alias("amount"),
         F.sum("quantity_amount").alias("total_quantity"),
         transactions.alias("total_transactions"),
         F.countDistinct("invoice_id").alias("total_invoices"),
@@ -178,7 +188,7 @@ def _customer_measures(transactions_unique: bool) -> list[Column]:
 
 def _customer_columns() -> list[Column]:
     return [
-        F.round("amount", 2).alias("total_sales_amount"),
+        F.col("amount").alias("total_sales_amount"),
         F.col("total_quantity"),
         F.col("total_transactions"),
         F.col("total_invoices"),

@@ -1,5 +1,7 @@
 """The whole build: raw feed to star schema, marts and published copies."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.operators import dimensions as dim, marts, quality, staging
@@ -14,6 +16,86 @@ PUBLISHED = {
 }
 
 
+class Lake:
+    """Tables of one build, each written under ``out`` when it is first needed.
+
+    A table's plan reads the tables before it from storage. So transaction ids
+    are fixed, no step repeats another's work, a lost executor costs one step,
+    and the planner knows real sizes when it picks a side to broadcast.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw_sales: DataFrame,
+        raw_families: DataFrame,
+        out: str,
+        locations: DataFrame | None = None,
+        monthly: bool = False,
+    ):
+        self.spark = spark
+        self.raw_sales = raw_sales
+        self.raw_families = raw_families
+        self.out = out
+        self.locations = locations
+        self.monthly = monthly
+        self._written: dict[str, DataFrame] = {}
+        self._unique: bool | None = None
+
+    def plan(self, name: str) -> DataFrame:
+        """The table's rows, not yet written."""
+        return BUILDERS[name](self)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._written:
+            path, rows = f"{self.out}/{name}", self.plan(name)
+            if name in TABLES:
+                write_parquet(conform(rows, TABLES[name]), path)
+                self._written[name] = read_parquet(self.spark, path, TABLES[name])
+            elif name == "int_transactions" and self.monthly:
+                dated = rows.withColumns({"year": F.year("date"), "month": F.month("date")})
+                write_partitions(dated, path, "year", "month", dynamic=False)
+                self._written[name] = read_parquet(self.spark, path)
+            else:
+                write_parquet(rows, path)
+                self._written[name] = read_parquet(self.spark, path)
+        return self._written[name]
+
+    @property
+    def keys_unique(self) -> bool:
+        """Whether no dimension key is repeated, so that a transaction is one row of its mart."""
+        if self._unique is None:
+            self._unique = quality.keys_unique(
+                (self.table("dim_items"), "item_uuid"),
+                (self.table("dim_item_family"), "item_family_id"),
+                (self.table("dim_date"), "date_id"),
+                (self.table("dim_location"), "country_id"),
+            )
+        return self._unique
+
+
+def _with_star(build: Callable[..., DataFrame], *names: str) -> Callable[[Lake], DataFrame]:
+    return lambda lake: build(*[lake.table(name) for name in names])
+
+
+# In order of need.
+BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
+    "stg_transactions": lambda lake: staging.stg_transactions(lake.raw_sales),
+    "dim_item_family": lambda lake: dim.dim_item_family(lake.raw_families),
+    "dim_date": lambda lake: dim.dim_date(lake.spark),
+    "dim_location": lambda lake: dim.dim_location(lake.spark) if lake.locations is None else lake.locations,
+    "dim_items": _with_star(dim.dim_items, "stg_transactions"),
+    "dim_customers": lambda lake: dim.dim_customers(lake.table("stg_transactions"), dim.name_pool(lake.spark)),
+    "fact_transactions": _with_star(staging.fact_transactions, "stg_transactions", "dim_date", "dim_location"),
+    "int_items": _with_star(marts.int_items, "fact_transactions", "dim_items", "dim_item_family"),
+    "int_transactions": _with_star(
+        marts.int_transactions, "fact_transactions", "dim_items", "dim_item_family", "dim_date", "dim_location"
+    ),
+    "int_invoices": _with_star(marts.int_invoices, "int_transactions", "dim_date", "dim_location"),
+    "int_customers": lambda lake: marts.int_customers(lake.table("int_transactions"), lake.keys_unique),
+}
+
+
 def run_batch(
     spark: SparkSession,
     raw_sales: DataFrame,
@@ -22,44 +104,12 @@ def run_batch(
     locations: DataFrame | None = None,
     monthly: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write every table under ``out`` in order of need; a rerun replaces them all.
+    """Write every table under ``out``; a rerun replaces them all.
 
-    Each step reads the tables before it from storage. So transaction ids are
-    fixed, no step repeats another's work, and the planner knows real sizes
-    when it picks the side of a join to broadcast. ``monthly`` partitions the
-    transactions mart by year and month.
+    ``monthly`` partitions the transactions mart by year and month.
     """
-    tables: dict[str, DataFrame] = {}
-
-    def save(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/{name}"
-        write_parquet(conform(df, TABLES[name]) if name in TABLES else df, path)
-        tables[name] = read_parquet(spark, path)
-        return tables[name]
-
-    stg = save("stg_transactions", staging.stg_transactions(raw_sales))
-    families = save("dim_item_family", dim.dim_item_family(raw_families))
-    dates = save("dim_date", dim.dim_date(spark))
-    places = save("dim_location", dim.dim_location(spark) if locations is None else locations)
-    items = save("dim_items", dim.dim_items(stg))
-    save("dim_customers", dim.dim_customers(stg, dim.name_pool(spark)))
-    fact = save("fact_transactions", staging.fact_transactions(stg, dates, places))
-
-    save("int_items", marts.int_items(fact, items, families))
-    joined = marts.int_transactions(fact, items, families, dates, places)
-    if monthly:
-        path = f"{out}/int_transactions"
-        dated = joined.withColumns({"year": F.year("date"), "month": F.month("date")})
-        write_partitions(dated, path, "year", "month", dynamic=False)
-        tables["int_transactions"] = read_parquet(spark, path).drop("year", "month")
-    else:
-        save("int_transactions", joined)
-    transactions = tables["int_transactions"]
-    unique = quality.keys_unique(
-        (items, "item_uuid"), (families, "item_family_id"), (dates, "date_id"), (places, "country_id")
-    )
-    save("int_invoices", marts.int_invoices(transactions, dates, places))
-    save("int_customers", marts.int_customers(transactions, unique))
+    lake = Lake(spark, raw_sales, raw_families, out, locations, monthly)
+    tables = {name: lake.table(name) for name in BUILDERS}
     for published, source in PUBLISHED.items():
         tables[published] = as_published(tables[source])
     return tables

@@ -2,12 +2,12 @@
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.functions import columns as fn
-from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports, staging
+from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports
+from tillmart.plans.batch import Lake
 from tillmart.schemas import RAW_FAMILIES, RAW_SALES, TABLES, as_published
 from tillmart.session import shared_dir
 from tillmart.sources import files, order_tables, tables
@@ -19,90 +19,70 @@ SAMPLE_ROWS = 20
 
 
 class Star:
-    """Star schema over the order tables; every table is a plan until it is asked for."""
+    """Tables over the order tables of one folder.
+
+    The feed is landed as CSV and the star schema written once per session and
+    state of the folder, under the shared folder; a query runs its own operator
+    on what is written.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.landing = self.path("landing")
+        files.write_csv(order_tables.raw_sales(spark, sf_dir), f"{self.landing}/retail", files.RETAIL_ENCODING)
+        files.write_csv(order_tables.raw_families(spark, sf_dir), f"{self.landing}/families")
+        self.raw = files.read_csv(spark, f"{self.landing}/retail", RAW_SALES, files.RETAIL_ENCODING)
+        self.raw_families = files.read_csv(spark, f"{self.landing}/families", RAW_FAMILIES)
+        self.lake = Lake(spark, self.raw, self.raw_families, self.path("star"))
+
+    stg = property(lambda self: self.lake.table("stg_transactions"))
+    families = property(lambda self: self.lake.table("dim_item_family"))
+    dates = property(lambda self: self.lake.table("dim_date"))
+    places = property(lambda self: self.lake.table("dim_location"))
+    items = property(lambda self: self.lake.table("dim_items"))
+    fact = property(lambda self: self.lake.table("fact_transactions"))
+    transactions = property(lambda self: self.lake.table("int_transactions"))
 
-    @cached_property
-    def raw(self) -> DataFrame:
-        return order_tables.raw_sales(self.spark, self.sf_dir)
-
-    @cached_property
-    def raw_families(self) -> DataFrame:
-        return order_tables.raw_families(self.spark, self.sf_dir)
-
-    @cached_property
-    def stg(self) -> DataFrame:
-        return staging.stg_transactions(self.raw)
-
-    @cached_property
-    def families(self) -> DataFrame:
-        return dim.dim_item_family(self.raw_families)
-
-    @cached_property
-    def dates(self) -> DataFrame:
-        return dim.dim_date(self.spark)
-
-    @cached_property
-    def places(self) -> DataFrame:
-        return dim.dim_location(self.spark)
-
-    @cached_property
-    def items(self) -> DataFrame:
-        return dim.dim_items(self.stg)
-
-    @cached_property
-    def customers(self) -> DataFrame:
-        return dim.dim_customers(self.stg, dim.name_pool(self.spark))
+    def odd_items(self) -> DataFrame:
+        return mining.weird_items(mining.description_order(self.items))
 
-    @cached_property
-    def fact(self) -> DataFrame:
-        return staging.fact_transactions(self.stg, self.dates, self.places)
+    def classes(self) -> DataFrame:
+        return mining.keyword_classes(self.odd_items())
 
-    @cached_property
-    def transactions(self) -> DataFrame:
-        return marts.int_transactions(self.fact, self.items, self.families, self.dates, self.places)
+    def path(self, name: str) -> str:
+        return shared_dir(self.spark, name)
 
-    @cached_property
-    def unique(self) -> bool:
-        """Calendar and location keys cannot repeat; the two derived dimensions are looked at."""
-        return quality.keys_unique((self.items, "item_uuid"), (self.families, "item_family_id"))
 
-    @cached_property
-    def customer_mart(self) -> DataFrame:
-        return marts.int_customers(self.transactions, self.unique)
+_STARS: dict[tuple, Star] = {}
 
-    @cached_property
-    def odd_items(self) -> DataFrame:
-        return mining.weird_items(mining.description_order(self.items))
 
-    @cached_property
-    def classes(self) -> DataFrame:
-        return mining.keyword_classes(self.odd_items)
+def star_of(spark: SparkSession, sf_dir: str) -> Star:
+    """The session's star over ``sf_dir``; a new one if the folder's files have changed."""
+    state = (
+        files.landing_inventory(spark, sf_dir)
+        .agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"))
+        .first()
+    )
+    key = (spark.sparkContext.applicationId, sf_dir, *state)
+    if key not in _STARS:
+        _STARS[key] = Star(spark, sf_dir)
+    return _STARS[key]
 
-    @cached_property
-    def known_texts(self) -> DataFrame:
-        return mining.vocabulary(self.spark, self.classes)
 
-    def path(self, name: str) -> str:
-        return shared_dir(self.spark, name)
+def planned(name: str) -> Callable[[Star], DataFrame]:
+    """A table of the build as its plan over the written tables before it."""
+    return lambda star: _without_id(star.lake.plan(name))
 
 
 def _without_id(df: DataFrame) -> DataFrame:
     return as_published(df.drop("transaction_id"))
 
 
-def csv_scan(star: Star) -> DataFrame:
-    path = star.path("csv_scan")
-    files.write_csv(star.raw, path, files.RETAIL_ENCODING)
-    return files.read_csv(star.spark, path, RAW_SALES, files.RETAIL_ENCODING)
-
-
 def csv_roundtrip(star: Star) -> DataFrame:
     path = star.path("csv_roundtrip")
-    files.write_csv(star.raw_families, path)
+    columns = {"item_family_id": "item_family", "item_category": "category"}
+    files.write_csv(star.families.withColumnsRenamed(columns), path)
     return dim.dim_item_family(files.read_csv(star.spark, path, RAW_FAMILIES))
 
 
@@ -149,21 +129,21 @@ def ctas_replace(star: Star) -> DataFrame:
     name = _database()
     with tables.in_database(star.spark, name, star.path("ctas_db")):
         tables.create_or_replace(star.families, "int_table")
-        tables.create_or_replace(marts.int_items(star.fact, star.items, star.families), "int_table")
+        tables.create_or_replace(star.lake.plan("int_items"), "int_table")
     return as_published(star.spark.table(f"{name}.int_table"))
 
 
 def publish_marts(star: Star) -> DataFrame:
     name = _database()
     with tables.in_database(star.spark, name, star.path("publish_db")):
-        tables.create_or_replace(marts.int_invoices(star.transactions, star.dates, star.places), "int_invoices")
+        tables.create_or_replace(star.lake.plan("int_invoices"), "int_invoices")
         tables.publish_table(star.spark, "int_invoices", "etl_invoices")
     return star.spark.table(f"{name}.etl_invoices")
 
 
 def incremental_load(star: Star) -> DataFrame:
     """The feed landed in two drops, loaded after each, and once more with nothing new."""
-    landing, target, checkpoint = star.path("landing"), star.path("staged"), star.path("stream")
+    landing, target, checkpoint = star.path("drops"), star.path("staged"), star.path("stream")
     anonymous = F.col("CustomerID").isNull()
     for drop in (star.raw.filter(anonymous), star.raw.filter(~anonymous), None):
         if drop is not None:
@@ -258,7 +238,7 @@ def preview_limit(star: Star) -> DataFrame:
 def table_counts(star: Star) -> DataFrame:
     return reports.table_counts(
         {
-            "dim_customers": star.customers,
+            "dim_customers": star.lake.table("dim_customers"),
             "dim_item_family": star.families,
             "dim_items": star.items,
             "fact_transactions": star.fact,
@@ -267,12 +247,17 @@ def table_counts(star: Star) -> DataFrame:
     )
 
 
+def unclassified_items(star: Star) -> DataFrame:
+    classes = star.classes()
+    return mining.unclassified(classes, mining.vocabulary(star.spark, classes))
+
+
 def quality_report(star: Star) -> DataFrame:
     return quality.quality_report(star.raw, star.fact, star.items, star.families, star.dates, star.places)
 
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
-    "csv_scan": csv_scan,
+    "csv_scan": lambda star: star.raw,
     "csv_roundtrip": csv_roundtrip,
     "parquet_scan": parquet_scan,
     "parquet_roundtrip": parquet_roundtrip,
@@ -282,20 +267,20 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "publish_marts": publish_marts,
     "incremental_load": incremental_load,
     "landing_inventory": landing_inventory,
-    "stg_transactions": lambda star: _without_id(star.stg),
-    "dim_item_family": lambda star: star.families,
+    "stg_transactions": planned("stg_transactions"),
+    "dim_item_family": planned("dim_item_family"),
     "dim_date": lambda star: dim.calendar_of(star.stg),
     "dim_location": feed_locations,
-    "dim_items": lambda star: star.items,
-    "dim_customers": lambda star: star.customers,
-    "fact_transactions": lambda star: _without_id(star.fact),
-    "int_items": lambda star: as_published(marts.int_items(star.fact, star.items, star.families)),
-    "int_transactions": lambda star: _without_id(star.transactions),
-    "int_invoices": lambda star: as_published(marts.int_invoices(star.transactions, star.dates, star.places)),
-    "int_customers": lambda star: as_published(star.customer_mart),
-    "invoice_first": lambda star: as_published(marts.invoice_first(star.transactions)),
+    "dim_items": planned("dim_items"),
+    "dim_customers": planned("dim_customers"),
+    "fact_transactions": planned("fact_transactions"),
+    "int_items": planned("int_items"),
+    "int_transactions": planned("int_transactions"),
+    "int_invoices": planned("int_invoices"),
+    "int_customers": planned("int_customers"),
+    "invoice_first": lambda star: as_published(marts.invoice_first(star.transactions, star.dates, star.places)),
     "customer_mode_category": lambda star: as_published(
-        marts.customer_mode_category(star.transactions, star.unique)
+        marts.customer_mode_category(star.transactions, star.lake.keys_unique)
     ),
     "favorite_category": lambda star: marts.favorite_category(star.transactions),
     "transaction_id_unique": transaction_id_unique,
@@ -312,15 +297,15 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "preview_limit": preview_limit,
     "table_counts": table_counts,
     "description_order": lambda star: mining.description_order(star.items),
-    "weird_items": lambda star: star.odd_items,
-    "keyword_class": lambda star: star.classes,
-    "vocabulary_union": lambda star: star.known_texts,
-    "unclassified_items": lambda star: mining.unclassified(star.classes, star.known_texts),
+    "weird_items": lambda star: star.odd_items(),
+    "keyword_class": lambda star: star.classes(),
+    "vocabulary_union": lambda star: mining.vocabulary(star.spark, star.classes()),
+    "unclassified_items": unclassified_items,
     "family_text": lambda star: mining.family_text(star.items),
     "family_top_words": lambda star: mining.family_top_words(star.items),
     "family_category": lambda star: mining.family_category(star.spark, mining.family_words(star.items)),
     "sales_monthly": lambda star: as_published(reports.sales_monthly(star.transactions)),
-    "customer_overview": lambda star: as_published(reports.customer_overview(star.customer_mart)),
+    "customer_overview": lambda star: as_published(reports.customer_overview(star.lake.plan("int_customers"))),
     "category_monthly": lambda star: as_published(reports.category_monthly(star.transactions)),
     "quality_report": quality_report,
 }
@@ -328,6 +313,6 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build):
-        return lambda spark, sf_dir: build(Star(spark, sf_dir))
+        return lambda spark, sf_dir: build(star_of(spark, sf_dir))
 
     return {name: bound(build) for name, build in QUERIES.items()}

@@ -24,6 +24,7 @@ RAW_FAMILIES = T.StructType(
 
 PRICE = T.DecimalType(18, 4)
 MONEY = T.DecimalType(18, 2)
+MONEY_SUM = T.DecimalType(28, 2)
 
 FLAGS = [
     "is_operational_item",
@@ -34,33 +35,56 @@ FLAGS = [
 ]
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
 
-_FLAG_DDL = ", ".join(f"{flag} boolean" for flag in FLAGS)
+_INT, _LONG, _TEXT, _DAY, _YES = T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.BooleanType()
+_WALL_CLOCK = T.TimestampNTZType()
 
 TABLES: dict[str, T.StructType] = {
     "stg_transactions": _struct(
-        "invoice_id string, item_id string, item_description string, quantity_amount int,"
-        "unit_price_eur decimal(18,4), customer_id int, country_name string, raw_invoice_date string,"
-        "event_timestamp_invoiced_at timestamp_ntz, transaction_id bigint, item_uuid string, date date"
+        invoice_id=_TEXT,
+        item_id=_TEXT,
+        item_description=_TEXT,
+        quantity_amount=_INT,
+        unit_price_eur=PRICE,
+        customer_id=_INT,
+        country_name=_TEXT,
+        raw_invoice_date=_TEXT,
+        event_timestamp_invoiced_at=_WALL_CLOCK,
+        transaction_id=_LONG,
+        item_uuid=_TEXT,
+        date=_DAY,
     ),
-    "dim_item_family": _struct("item_family_id int, item_family_description string, item_category string"),
+    "dim_item_family": _struct(item_family_id=_INT, item_family_description=_TEXT, item_category=_TEXT),
     "dim_date": _struct(
-        "date date, date_id int, year int, month int, day int, day_of_week string, is_weekend boolean"
+        date=_DAY, date_id=_INT, year=_INT, month=_INT, day=_INT, day_of_week=_TEXT, is_weekend=_YES
     ),
     "dim_location": _struct(
-        "country_id int, iso_country_code string, country_name string, country_code_name string"
+        country_id=_INT, iso_country_code=_TEXT, country_name=_TEXT, country_code_name=_TEXT
     ),
     "dim_items": _struct(
-        f"item_uuid string, item_id string, item_family_id int, item_description string, item_variant string, {_FLAG_DDL}"
+        item_uuid=_TEXT,
+        item_id=_TEXT,
+        item_family_id=_INT,
+        item_description=_TEXT,
+        item_variant=_TEXT,
+        **{flag: _YES for flag in FLAGS},
     ),
-    "dim_customers": _struct("customer_id int, customer_name string"),
+    "dim_customers": _struct(customer_id=_INT, customer_name=_TEXT),
     "fact_transactions": _struct(
-        "transaction_id bigint, invoice_id string, event_timestamp_invoiced_at timestamp_ntz, date_id int,"
-        "item_uuid string, item_id string, quantity_amount int, unit_price_eur decimal(18,4),"
-        "total_price_eur decimal(18,2), customer_id int, country_id int"
+        transaction_id=_LONG,
+        invoice_id=_TEXT,
+        event_timestamp_invoiced_at=_WALL_CLOCK,
+        date_id=_INT,
+        item_uuid=_TEXT,
+        item_id=_TEXT,
+        quantity_amount=_INT,
+        unit_price_eur=PRICE,
+        total_price_eur=MONEY,
+        customer_id=_INT,
+        country_id=_INT,
     ),
 }
 

@@ -77,7 +77,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(item % 89 == 0, "gift_0001_20")
             .otherwise(
                 F.concat(
-                    (10000 + F.floor(item / 4)).cast("string"),
+                    F.expr("10000 + l_partkey div 4").cast("string"),
                     F.when(item % 4 == 0, "").when(item % 4 == 1, "A").when(item % 4 == 2, "B").otherwise("bl"),
                 )
             )
@@ -108,7 +108,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One family per four parts, each line twice, as a feed sent again has it."""
     part = _table(spark, sf_dir, "part")
-    family = 10000 + F.floor(F.col("p_partkey") / 4)
+    family = F.expr("10000 + p_partkey div 4")
     return (
         part.groupBy(family.alias("family"))
         .agg(F.min(F.upper("p_name")).alias("item_family_description"), F.min("p_type").alias("category"))
