@@ -64,7 +64,7 @@ def int_transactions(
     return (
         fact.join(described, "item_uuid", "left")
         .join(places, F.col("country_id") == F.col("place_id"), "left")
-        .join(F.broadcast(days), F.col("date_id") == F.col("day_id"), "left")
+        .join(days, F.col("date_id") == F.col("day_id"), "left")
         .select(
             "transaction_id",
             "invoice_id",
@@ -105,7 +105,7 @@ def _named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFr
     """Grouped rows with the names of day and place, looked up by their keys."""
     days = dim_date.select("date_id", "date", "day_of_week")
     return (
-        rolled.join(F.broadcast(days), "date_id", "left")
+        rolled.join(days, "date_id", "left")
         .join(dim_location.select("country_id", "country_name"), "country_id", "left")
         .select(
             "invoice_id",

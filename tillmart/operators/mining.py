@@ -109,10 +109,10 @@ def family_category(
         ["rule_no", "keyword", "item_category"],
     )
     first = (
-        words.join(F.broadcast(table), F.upper("word") == F.col("keyword"), "left")
+        words.join(table, F.upper("word") == F.col("keyword"), "left")
         .groupBy("item_family_id")
         .agg(F.min("rule_no").alias("rule_no"))
     )
-    return first.join(F.broadcast(table.drop("keyword")), "rule_no", "left").select(
+    return first.join(table.drop("keyword"), "rule_no", "left").select(
         "item_family_id", F.coalesce("item_category", F.lit(OTHER_CATEGORY)).alias("item_category")
     )

@@ -56,13 +56,13 @@ def stg_transactions(
 def fact_transactions(stg: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Staging rows with calendar and country keys; a row without a match stays.
 
-    A calendar has a row per day, so its size is bounded and it is broadcast.
-    Locations are broadcast by the planner when their measured size allows.
+    Nothing is forced into a broadcast: the planner does that with a calendar
+    and locations because it knows their size.
     """
     days = dim_date.select("date", "date_id")
     places = dim_location.select("country_name", "country_id")
     return (
-        stg.join(F.broadcast(days), "date", "left")
+        stg.join(days, "date", "left")
         .join(places, "country_name", "left")
         .select(
             "transaction_id",

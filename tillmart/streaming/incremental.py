@@ -18,9 +18,12 @@ def load_new(
     target: str,
     checkpoint: str,
     transform: Callable[[DataFrame, int], DataFrame],
+    files_per_load: int | None = None,
 ) -> None:
     """Append the Parquet files of ``source`` that no earlier call has loaded.
 
+    ``files_per_load`` cuts a large backlog into several loads.
+
     Each load writes its own ``load_id`` partition and overwrites it when the
     same load is run again after a failure, so a file's rows are in the table
     exactly once.
@@ -29,9 +32,11 @@ def load_new(
     def write(batch: DataFrame, load_id: int) -> None:
         transform(batch, load_id).write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
 
+    reader = spark.readStream.schema(schema)
+    if files_per_load:
+        reader = reader.option("maxFilesPerTrigger", files_per_load)
     (
-        spark.readStream.schema(schema)
-        .parquet(source)
+        reader.parquet(source)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
