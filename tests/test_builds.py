@@ -1,0 +1,117 @@
+"""Whole builds: repeatable, complete, and the same when loaded in increments."""
+
+import shutil
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_DIR
+from tests.feed import sales
+from tillmart.operators import staging
+from tillmart.plans.batch import BUILDERS, PUBLISHED, run_batch
+from tillmart.plans.registry import star_of
+from tillmart.schemas import RAW_SALES, TABLES
+from tillmart.session import shared_dir
+from tillmart.streaming import incremental
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return star_of(spark, SF_DIR)
+
+
+def rows_of(df):
+    plain = df.drop("transaction_id")
+    return sorted(map(repr, plain.select(sorted(plain.columns)).collect()))
+
+
+def test_rerun_gives_the_same(spark, star, tmp_path):
+    out = str(tmp_path / "lake")
+    first = {name: rows_of(df) for name, df in run_batch(spark, star.raw, star.raw_families, out).items()}
+    again = run_batch(spark, star.raw, star.raw_families, out)
+    assert set(first) == set(BUILDERS) | set(PUBLISHED)
+    for name, df in again.items():
+        assert rows_of(df) == first[name], name
+        if name in TABLES:
+            assert df.schema == TABLES[name]
+    total = lambda name, column: again[name].agg(F.sum(column)).first()[0]
+    assert again["stg_transactions"].count() == again["fact_transactions"].count() == again["int_transactions"].count()
+    assert total("fact_transactions", "total_price_eur") == total("int_transactions", "total_price_eur")
+    assert total("int_invoices", "total_invoice_amount") == total("int_transactions", "total_price_eur")
+    assert total("int_customers", "total_sales_amount") == total("int_transactions", "total_price_eur")
+    assert total("int_items", "total_transactions") <= again["fact_transactions"].count()
+    for name, source in PUBLISHED.items():
+        assert "decimal" not in str(again[name].dtypes) and again[name].columns == again[source].columns
+
+
+def test_monthly_partitions(spark, star, tmp_path):
+    out = str(tmp_path / "lake")
+    tables = run_batch(spark, star.raw, star.raw_families, out, monthly=True)
+    assert rows_of(tables["int_transactions"].drop("year", "month")) == rows_of(star.transactions)
+    hit = tables["int_transactions"].filter("year = 2010 AND month = 2")
+    assert 0 < len(hit.inputFiles())
+    assert hit.count() == star.transactions.filter("trunc(date, 'month') = date '2010-02-01'").count()
+
+
+def load(spark, where, **options):
+    incremental.load_new(
+        spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", incremental.stage_load, **options
+    )
+    return spark.read.parquet(f"{where}/staged")
+
+
+def test_increments_equal_the_batch(spark, star):
+    where = shared_dir(spark, "test-increments")
+    drops = star.raw.randomSplit([0.5, 0.3, 0.2], seed=1)
+    seen = 0
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{where}/drops")
+        staged = load(spark, where)
+        assert staged.count() > seen
+        seen = staged.count()
+    staged = load(spark, where)
+    assert staged.count() == seen == star.raw.count()
+    assert staged.select("transaction_id").distinct().count() == seen
+    assert staged.select("load_id").distinct().count() == 3
+    assert rows_of(staged.drop("load_id")) == rows_of(staging.stg_transactions(star.raw))
+
+
+def test_backlog_in_several_loads(spark, star):
+    where = shared_dir(spark, "test-backlog")
+    star.raw.repartition(6).write.parquet(f"{where}/drops")
+    staged = load(spark, where, files_per_load=2)
+    assert staged.select("load_id").distinct().count() == 3
+    assert staged.select("transaction_id").distinct().count() == star.raw.count()
+
+
+def test_load_repeated_after_a_failure(spark):
+    where = shared_dir(spark, "test-failure")
+    sales(spark, {"InvoiceNo": "1"}, {"InvoiceNo": "2"}).write.parquet(f"{where}/drops")
+
+    def fails_after_writing(batch, load_id):
+        incremental.stage_load(batch, load_id).write.mode("overwrite").parquet(f"{where}/staged/load_id={load_id}")
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception):
+        incremental.load_new(
+            spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", fails_after_writing
+        )
+    assert load(spark, where).count() == 2
+
+
+def test_too_many_loads_are_refused(spark):
+    with pytest.raises(ValueError):
+        incremental.stage_load(sales(spark, {}), 1 << 13)
+    last = incremental.stage_load(sales(spark, {}).coalesce(1), (1 << 13) - 1).first()
+    assert last.transaction_id == ((1 << 13) - 1) << 50
+
+
+def test_changed_files_give_a_new_star(spark, tmp_path):
+    folder = tmp_path / "sf"
+    shutil.copytree(SF_DIR, folder, copy_function=shutil.copyfile)
+    one = star_of(spark, str(folder))
+    assert star_of(spark, str(folder)) is one
+    pq.write_table(pq.read_table(f"{SF_DIR}/lineitem.parquet").slice(0, 10), folder / "lineitem.parquet")
+    other = star_of(spark, str(folder))
+    assert other is not one and other.stg.count() == 10

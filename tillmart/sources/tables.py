@@ -26,7 +26,15 @@ def in_database(spark: SparkSession, name: str, location: str | None = None):
 
 
 def create_or_replace(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Table with the rows of ``df``, which may read the table it replaces.
+
+    The rows are written in full beside the old table before they take its
+    name, so a write that fails leaves the old table as it was.
+    """
+    spark, fresh = df.sparkSession, f"{table}__new"
+    df.write.mode("overwrite").format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
 
 
 def load_typed(spark: SparkSession, path: str, table: str, schema: T.StructType) -> None:

@@ -47,17 +47,17 @@ def load_new(
 
 def stage_load(raw: DataFrame, load_id: int) -> DataFrame:
     """Staging rows of one load, with transaction ids no other load uses."""
-    spark_id = F.monotonically_increasing_id()
-    typed = typed_sales(raw).withColumn("_id", spark_id)
-    task = F.shiftright("_id", SPARK_TASK_SHIFT)
-    row = F.col("_id").bitwiseAND(F.lit((1 << SPARK_TASK_SHIFT) - 1))
-    fits = (
-        (F.lit(load_id) < 1 << (63 - LOAD_SHIFT))
-        & (task < 1 << (LOAD_SHIFT - TASK_SHIFT))
-        & (row < 1 << TASK_SHIFT)
-    )
+    if load_id >> (63 - LOAD_SHIFT):
+        raise ValueError("too many loads for a transaction id")
+    spark_id = F.col("_id")
+    task = F.shiftright(spark_id, SPARK_TASK_SHIFT)
+    row = spark_id.bitwiseAND(F.lit((1 << SPARK_TASK_SHIFT) - 1))
+    fits = (task < 1 << (LOAD_SHIFT - TASK_SHIFT)) & (row < 1 << TASK_SHIFT)
     packed = F.lit(load_id << LOAD_SHIFT).bitwiseOR(F.shiftleft(task, TASK_SHIFT)).bitwiseOR(row)
-    return typed.withColumn(
-        "transaction_id",
-        F.when(fits, packed).otherwise(F.raise_error(F.lit("load too large for a transaction id"))),
-    ).select(STAGING_COLUMNS)
+    refused = F.raise_error(F.lit("load too large for a transaction id"))
+    return (
+        typed_sales(raw)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("transaction_id", F.when(fits, packed).otherwise(refused))
+        .select(STAGING_COLUMNS)
+    )
