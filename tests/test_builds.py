@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_DIR
 from tests.feed import sales
 from tillmart.operators import staging
-from tillmart.plans.batch import BUILDERS, PUBLISHED, run_batch
+from tillmart.__main__ import main
+from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, run_batch
 from tillmart.plans.registry import star_of
 from tillmart.schemas import RAW_SALES, TABLES
 from tillmart.session import shared_dir
@@ -54,6 +55,29 @@ def test_monthly_partitions(spark, star, tmp_path):
     assert hit.count() == star.transactions.filter("trunc(date, 'month') = date '2010-02-01'").count()
 
 
+def test_command_line(spark, tmp_path):
+    sales_csv, families_csv = tmp_path / "retail.csv", tmp_path / "families.csv"
+    header = ",".join(RAW_SALES.fieldNames())
+    lines = ["1,22423,CAKE £ STAND,2,12/1/10 8:26,2.55,17850,France", "2,22423,CAKE £ STAND,-1,12/2/10 9:00,2.55,,Yemen"]
+    sales_csv.write_bytes("\n".join([header, *lines, ""]).encode("ISO-8859-1"))
+    families_csv.write_text("item_family,item_family_description,category\n22423,CAKE,KITCHENWARE\n")
+    locations = tmp_path / "countries.csv"
+    locations.write_text(
+        "country_id,iso_country_code,country_name,country_code_name\n73,FR,France,FRANCE\n237,YE,Yemen,YEMEN\n"
+    )
+    out = str(tmp_path / "lake")
+    arguments = ["--sales", str(sales_csv), "--families", str(families_csv), "--locations", str(locations)]
+    for _ in range(2):
+        main([*arguments, "--out", out, "--database", "till_db", "--monthly"])
+    row = spark.table("till_db.etl_items").first()
+    assert (row.item_description, row.total_sales_amount, row.total_transactions) == ("CAKE £ STAND", 2.55, 2)
+    assert {r.country_name for r in spark.table("till_db.etl_customers").collect()} == {"France", "Yemen"}
+    assert spark.table("till_db.etl_transactions").filter("is_return").count() == 1
+    assert spark.table("till_db.dim_date").count() == 6209
+    names = {t.name for t in spark.catalog.listTables("till_db") if not t.isTemporary}
+    assert names == {*LOADED, *PUBLISHED, *PUBLISHED.values()}
+
+
 def load(spark, where, **options):
     incremental.load_new(
         spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", incremental.stage_load, **options

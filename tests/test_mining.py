@@ -41,7 +41,7 @@ def test_classes(spark, items):
     known = mining.vocabulary(spark, classes)
     assert known.filter("item_description = 'damages'").count() == 1
     assert known.filter("item_description = 'MIA'").first().item_class == "special"
-    rest = {r.item_description for r in mining.unclassified(classes, known).collect()}
+    rest = {r.item_description for r in mining.unclassified(spark, classes).collect()}
     assert rest == {"CAKE STAND", "nan", "BIG CAKE BOX", "?", "Hanging Heart", "HEART"}
 
 

@@ -49,19 +49,21 @@ def keyword_classes(weird: DataFrame) -> DataFrame:
     )
 
 
+def _added_texts(spark: SparkSession) -> DataFrame:
+    rows = [(name, text) for name, texts in ADDED_TEXTS.items() for text in texts]
+    return literal_table(spark, rows, ["item_class", "item_description"])
+
+
 def vocabulary(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """Texts classed by keyword together with those added by hand, each once per class."""
-    added = literal_table(
-        spark,
-        [(name, text) for name, texts in ADDED_TEXTS.items() for text in texts],
-        ["item_class", "item_description"],
-    )
-    return classes.filter(F.col("item_class").isNotNull()).unionByName(added).distinct()
+    classed = classes.filter(F.col("item_class").isNotNull())
+    return classed.unionByName(_added_texts(spark)).distinct()
 
 
-def unclassified(classes: DataFrame, known: DataFrame) -> DataFrame:
-    """Odd texts that are in no class."""
-    return classes.select("item_description").join(known, "item_description", "left_anti")
+def unclassified(spark: SparkSession, classes: DataFrame) -> DataFrame:
+    """Odd texts that the vocabulary lacks: with no class by keyword and not added by hand."""
+    rest = classes.filter(F.col("item_class").isNull()).select("item_description")
+    return rest.join(_added_texts(spark), "item_description", "left_anti")
 
 
 def plain_items(items: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillmart.operators import dimensions as dim, marts, quality, staging
 from tillmart.schemas import TABLES, as_published, conform
 from tillmart.sources.files import read_parquet, write_parquet, write_partitions
+from tillmart.sources.tables import create_or_replace, in_database, load_typed, publish_table
+
+LOADED = ["dim_customers", "dim_date", "dim_item_family", "dim_items", "dim_location", "fact_transactions"]
 
 PUBLISHED = {
     "etl_items": "int_items",
@@ -113,3 +116,13 @@ def run_batch(
     for published, source in PUBLISHED.items():
         tables[published] = as_published(tables[source])
     return tables
+
+
+def load_warehouse(spark: SparkSession, out: str, database: str, location: str | None = None) -> None:
+    """Catalog tables of a finished build: typed star schema, marts, and their published copies."""
+    with in_database(spark, database, location):
+        for name in LOADED:
+            load_typed(spark, f"{out}/{name}", name, TABLES[name])
+        for published, source in PUBLISHED.items():
+            create_or_replace(read_parquet(spark, f"{out}/{source}"), source)
+            publish_table(spark, source, published)

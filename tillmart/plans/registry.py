@@ -247,11 +247,6 @@ def table_counts(star: Star) -> DataFrame:
     )
 
 
-def unclassified_items(star: Star) -> DataFrame:
-    classes = star.classes()
-    return mining.unclassified(classes, mining.vocabulary(star.spark, classes))
-
-
 def quality_report(star: Star) -> DataFrame:
     return quality.quality_report(star.raw, star.fact, star.items, star.families, star.dates, star.places)
 
@@ -300,7 +295,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "weird_items": lambda star: star.odd_items(),
     "keyword_class": lambda star: star.classes(),
     "vocabulary_union": lambda star: mining.vocabulary(star.spark, star.classes()),
-    "unclassified_items": unclassified_items,
+    "unclassified_items": lambda star: mining.unclassified(star.spark, star.classes()),
     "family_text": lambda star: mining.family_text(star.items),
     "family_top_words": lambda star: mining.family_top_words(star.items),
     "family_category": lambda star: mining.family_category(star.spark, mining.family_words(star.items)),

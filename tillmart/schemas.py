@@ -89,6 +89,11 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same columns as strings, the form a CSV is read in."""
+    return T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` by name, cast to its types; a bad value raises."""
     return df.select([F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])

@@ -44,6 +44,16 @@ def _description(part_key, line_number, name):
     return text
 
 
+def _invoice_time(moment, four_digit_year: bool = False):
+    """``M/d/yy H:mm`` of a wall clock, from its parts, so that no zone takes a hand in it."""
+    year = F.year(moment).cast("string")
+    return F.concat(
+        F.concat_ws("/", F.month(moment), F.day(moment), year if four_digit_year else F.right(year, F.lit(2))),
+        F.lit(" "),
+        F.concat_ws(":", F.hour(moment), F.lpad(F.minute(moment).cast("string"), 2, "0")),
+    )
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
@@ -87,8 +97,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).cast("string"))
             .alias("Quantity"),
             F.when(key % 199 == 0, "unknown")
-            .when(key % 193 == 0, F.date_format(moment, "M/d/yyyy H:mm"))
-            .otherwise(F.date_format(moment, "M/d/yy H:mm"))
+            .when(key % 193 == 0, _invoice_time(moment, four_digit_year=True))
+            .otherwise(_invoice_time(moment))
             .alias("InvoiceDate"),
             F.when(key % 223 == 0, "free")
             .otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
