@@ -20,11 +20,32 @@ def test_numbering_like_a_window(spark):
     df = hot_groups(spark).withColumn("len", F.length("t"))
     order = [F.desc("len"), F.asc("t")]
     plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    cut = grouped.number_in_groups(df, ["k"], order, F.struct(-F.col("len"), F.substring("t", 1, 2)), "rn")
+    cut = grouped.number_in_groups(df, ["k"], order, "rn")
     assert set(map(tuple, cut.collect())) == set(map(tuple, plain.collect()))
     assert cut.count() == 3000
 
 
+def test_numbering_cuts_the_hot_group(spark, conf):
+    """No piece holds much more than its share of the rows, though a third are one group."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "12")
+    held = {}
+
+    def spy(df, name):
+        held["pieces"] = written(df, name)
+        return held["pieces"]
+
+    written = grouped.written
+    grouped.written = spy
+    try:
+        grouped.number_in_groups(hot_groups(spark), ["k"], [F.asc("t")], "rn").count()
+    finally:
+        grouped.written = written
+    sizes = [row["count"] for row in held["pieces"].groupBy("k", "_piece").count().collect()]
+    assert max(sizes) < 3000 / 12 * 2
+    assert held["pieces"].filter("k = 'hot'").select("_piece").distinct().count() >= 4
+
+
 @pytest.mark.parametrize("per_part", [10, 100, 5000])
 def test_joined_texts_are_whole(spark, per_part):
     df = hot_groups(spark).filter("k IS NOT NULL")

@@ -2,33 +2,36 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillmart.session import written
 
-def number_in_groups(
-    df: DataFrame, keys: list[str], order: list[Column], bucket: Column, name: str
-) -> DataFrame:
-    """``row_number`` per group, with each group cut into buckets first.
 
-    ``bucket`` must rise with ``order`` (a leading part of it), so a row's number
-    is its place in the bucket plus the sizes of the buckets before. Only those
-    sizes, one row per bucket, are gathered per group, never the group itself.
+def number_in_groups(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """``row_number`` per group, with each large group cut into pieces.
+
+    The rows are range-partitioned by group and order, so a piece is a run of
+    consecutive rows of a group, of bounded size however large the group is. A
+    row's number is its place in the piece plus the sizes of the pieces before.
+    ``order`` must leave no ties. The pieces are written, as a second run of the
+    range partitioning may cut elsewhere.
     """
-    cut = df.withColumn("_bucket", bucket)
-    by_group, by_bucket = Window.partitionBy(*keys), Window.partitionBy(*keys, "_bucket")
-    earlier = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cut = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
+    pieces = written(cut, "pieces")
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        cut.groupBy(*keys, "_bucket")
+        pieces.groupBy(*keys, "_piece")
         .agg(F.count("*").alias("_size"))
         .select(
             *[F.col(key).alias(f"_{key}") for key in keys],
-            F.col("_bucket").alias("_start_bucket"),
+            F.col("_piece").alias("_start_piece"),
             F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         )
     )
-    same = F.col("_bucket").eqNullSafe(F.col("_start_bucket"))
+    same = F.col("_piece") == F.col("_start_piece")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*order))
     return (
-        cut.withColumn("_place", F.row_number().over(by_bucket.orderBy(*order)))
+        pieces.withColumn("_place", place)
         .join(starts, same)
         .withColumn(name, (F.col("_start") + F.col("_place")).cast("int"))
         .select(*df.columns, name)

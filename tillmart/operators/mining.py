@@ -29,7 +29,6 @@ def description_order(items: DataFrame, missing: str = MISSING_TEXT) -> DataFram
         described,
         ["item_id"],
         [F.desc("description_len"), F.asc("item_description")],
-        F.struct(-F.col("description_len"), F.substring(text, 1, 4)),
         "description_order",
     )
 

@@ -68,7 +68,8 @@ def repeated_key_check(dimension: DataFrame, key: str, name: str) -> DataFrame:
 
 def keys_unique(*dimensions: tuple[DataFrame, str]) -> bool:
     """Whether no key occurs twice, so that joins to the fact add no rows."""
-    return all(repeated_keys(dimension, key).isEmpty() for dimension, key in dimensions)
+    found = [repeated_keys(dimension, key).select(F.lit(key)) for dimension, key in dimensions]
+    return reduce(DataFrame.unionAll, found).isEmpty()
 
 
 def quality_report(

@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,8 +45,12 @@ class Star:
     fact = property(lambda self: self.lake.table("fact_transactions"))
     transactions = property(lambda self: self.lake.table("int_transactions"))
 
+    @cached_property
+    def ordered_texts(self) -> DataFrame:
+        return mining.description_order(self.items)
+
     def odd_items(self) -> DataFrame:
-        return mining.weird_items(mining.description_order(self.items))
+        return mining.weird_items(self.ordered_texts)
 
     def classes(self) -> DataFrame:
         return mining.keyword_classes(self.odd_items())
@@ -291,7 +296,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "sample_rows": sample_rows,
     "preview_limit": preview_limit,
     "table_counts": table_counts,
-    "description_order": lambda star: mining.description_order(star.items),
+    "description_order": lambda star: star.ordered_texts,
     "weird_items": lambda star: star.odd_items(),
     "keyword_class": lambda star: star.classes(),
     "vocabulary_union": lambda star: mining.vocabulary(star.spark, star.classes()),

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tillmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,3 +36,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="tillmart-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tillmart/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a table under the shared folder, so that they are worked out once."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

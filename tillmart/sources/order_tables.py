@@ -44,14 +44,12 @@ def _description(part_key, line_number, name):
     return text
 
 
-def _invoice_time(moment, four_digit_year: bool = False):
+def _invoice_time(moment, year):
     """``M/d/yy H:mm`` of a wall clock, from its parts, so that no zone takes a hand in it."""
-    year = F.year(moment).cast("string")
-    return F.concat(
-        F.concat_ws("/", F.month(moment), F.day(moment), year if four_digit_year else F.right(year, F.lit(2))),
-        F.lit(" "),
-        F.concat_ws(":", F.hour(moment), F.lpad(F.minute(moment).cast("string"), 2, "0")),
-    )
+    month, day, hour = (part(moment).cast("string") for part in (F.month, F.day, F.hour))
+    minute = F.lpad(F.minute(moment).cast("string"), 2, "0")
+    slash = F.lit("/")
+    return F.concat(month, slash, day, slash, year, F.lit(" "), hour, F.lit(":"), minute)
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,18 +60,13 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
 
     key, line, item = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    nation_key = F.col("n_nationkey")
+    nation_key, moment = F.col("n_nationkey"), F.col("moment")
     countries = F.create_map(
         *[F.lit(v) for k in range(25) if k % 5 != 4 for v in (k, feed_country(k, ""))]
     )
-    minute = (key * 7) % 1440
-    moment = (
-        F.col("o_orderdate")
-        + F.expr("interval 14 years")
-        + F.make_dt_interval(
-            F.when((key % 5 == 0) & (line == 7), 1).otherwise(0), F.lit(0), minute.cast("int")
-        )
-    )
+    days = F.when((key % 5 == 0) & (line == 7), 1).otherwise(0)
+    minutes = ((key * 7) % 1440).cast("int")
+    year = F.year(moment).cast("string")
     quantity = F.col("l_quantity").cast("int")
     buyer = F.col("o_custkey").cast("string")
     return (
@@ -81,6 +74,10 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, item == F.col("p_partkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == nation_key, "left")
+        .withColumn(
+            "moment",
+            F.col("o_orderdate") + F.expr("interval 14 years") + F.make_dt_interval(days, F.lit(0), minutes),
+        )
         .select(
             key.cast("string").alias("InvoiceNo"),
             F.when(item % 97 == 0, "POST")
@@ -97,8 +94,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).cast("string"))
             .alias("Quantity"),
             F.when(key % 199 == 0, "unknown")
-            .when(key % 193 == 0, _invoice_time(moment, four_digit_year=True))
-            .otherwise(_invoice_time(moment))
+            .otherwise(_invoice_time(moment, F.when(key % 193 == 0, year).otherwise(F.substring(year, 3, 2))))
             .alias("InvoiceDate"),
             F.when(key % 223 == 0, "free")
             .otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
