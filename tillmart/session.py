@@ -25,9 +25,10 @@ def build_session(app_name: str = "tillmart", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """New path for one run under the folder the cluster names for checkpoints.
+    """New path under the folder the cluster names for checkpoints.
 
-    Only a local session may fall back to a folder of its own.
+    All paths of an application are in one folder with its id, to be removed when
+    it is done with. Only a local session may fall back to a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
@@ -35,7 +36,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tillmart-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tillmart/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/tillmart/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
