@@ -4,7 +4,7 @@ Every line item becomes one line of the feed, all columns text. Some values
 are made unreadable or odd on purpose, by rules over the keys, so that the
 feed has what a real one has: fees, damaged goods, missing descriptions,
 returns, anonymous buyers, dates in a wrong format. Lookups are left joins,
-so a line is never lost, and the planner drops those a query does not need.
+so a line is never lost.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,32 +52,43 @@ def _invoice_time(moment, year):
     return F.concat(month, slash, day, slash, year, F.lit(" "), hour, F.lit(":"), minute)
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders")
-    part = _table(spark, sf_dir, "part")
+def _order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyer, country and time of each order; worked out here, before an order meets its many lines."""
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
-
-    key, line, item = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    nation_key, moment = F.col("n_nationkey"), F.col("moment")
+    key, nation_key = F.col("o_orderkey"), F.col("n_nationkey")
     countries = F.create_map(
         *[F.lit(v) for k in range(25) if k % 5 != 4 for v in (k, feed_country(k, ""))]
     )
-    days = F.when((key % 5 == 0) & (line == 7), 1).otherwise(0)
-    minutes = ((key * 7) % 1440).cast("int")
-    year = F.year(moment).cast("string")
-    quantity = F.col("l_quantity").cast("int")
-    buyer = F.col("o_custkey").cast("string")
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), ((key * 7) % 1440).cast("int"))
+
+    def time(moment: str):
+        year = F.year(moment).cast("string")
+        return _invoice_time(moment, F.when(key % 193 == 0, year).otherwise(F.substring(year, 3, 2)))
+
     return (
-        lines.join(orders, key == F.col("o_orderkey"), "left")
-        .join(part, item == F.col("p_partkey"), "left")
+        _table(spark, sf_dir, "orders")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == nation_key, "left")
-        .withColumn(
-            "moment",
-            F.col("o_orderdate") + F.expr("interval 14 years") + F.make_dt_interval(days, F.lit(0), minutes),
+        .withColumn("moment", F.col("o_orderdate") + F.expr("interval 14 years") + minutes)
+        .withColumn("next_day", F.col("moment") + F.expr("interval 1 day"))
+        .select(
+            key,
+            F.col("o_custkey").cast("string").alias("buyer"),
+            F.coalesce(F.try_element_at(countries, nation_key), F.col("n_name")).alias("country"),
+            time("moment").alias("time"),
+            time("next_day").alias("next_day_time"),
         )
+    )
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, line, item = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    quantity, buyer = F.col("l_quantity").cast("int"), F.col("buyer")
+    return (
+        _table(spark, sf_dir, "lineitem")
+        .join(_order_texts(spark, sf_dir), key == F.col("o_orderkey"), "left")
+        .join(_table(spark, sf_dir, "part"), item == F.col("p_partkey"), "left")
         .select(
             key.cast("string").alias("InvoiceNo"),
             F.when(item % 97 == 0, "POST")
@@ -94,7 +105,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).cast("string"))
             .alias("Quantity"),
             F.when(key % 199 == 0, "unknown")
-            .otherwise(_invoice_time(moment, F.when(key % 193 == 0, year).otherwise(F.substring(year, 3, 2))))
+            .when((key % 5 == 0) & (line == 7), F.col("next_day_time"))
+            .otherwise(F.col("time"))
             .alias("InvoiceDate"),
             F.when(key % 223 == 0, "free")
             .otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
@@ -104,9 +116,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(key % 3 == 0, F.concat(buyer, F.lit(".0")))
             .otherwise(buyer)
             .alias("CustomerID"),
-            F.when(key % 17 == 0, "EIRE")
-            .otherwise(F.coalesce(F.try_element_at(countries, nation_key), F.col("n_name")))
-            .alias("Country"),
+            F.when(key % 17 == 0, "EIRE").otherwise(F.col("country")).alias("Country"),
         )
     )
 
