@@ -1,0 +1,80 @@
+"""Chat formatting: round trip of any text, placeholders, spans, edge rows."""
+
+import hashlib
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tillmart.llm import chat, queries
+from tests.conftest import SF_DIR
+from tests.compare import assert_same, connect
+
+TURN = "conv_id long, turn long, role string, text string, formatted string"
+TYPED = f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+
+
+def formatted(spark, rows, **options):
+    turns = spark.createDataFrame(rows, TURN).withColumn("parts", chat.text_parts("text"))
+    return chat.parse_chats(chat.format_chats(turns, **options))
+
+
+def test_query_against_sql(spark):
+    assert assert_same(queries.op6_chat_format(spark, SF_DIR), connect(SF_DIR).sql(queries.OP6_SQL)) > 0
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a%0A\n<|x"]), st.text("<|\\>im_startend%\né", max_size=25)), min_size=1, max_size=20))
+def test_any_text_comes_back(spark, said):
+    rows = [(1, i, role, text, "clash") for i, (role, text) in enumerate(said)]
+    (row,) = formatted(spark, rows).collect()
+    assert [(t["role"], t["text"]) for t in row["turns"]] == said
+    assert list(row["trained"]) == [text for role, text in said if role == "assistant"]
+    assert row["formatted"].count("<|im_start|>") == len(said) == row["formatted"].count("<|im_end|>")
+
+
+def test_edge_rows(spark):
+    rows = [
+        (1, 2, "assistant", "b", None),
+        (1, 1, "user", "a", None),
+        (1, 1, "user", "a", None),
+        (1, None, None, None, None),
+        (None, 1, "assistant", "", None),
+        (2, 1, "user", "x" * 300_000, None),
+    ]
+    got = {r["conv_id"]: r for r in formatted(spark, rows).collect()}
+    assert [(t["role"], t["text"]) for t in got[1]["turns"]] == [("", ""), ("user", "a"), ("user", "a"), ("assistant", "b")]
+    assert list(got[None]["trained"]) == [""] and list(got[2]["trained"]) == []
+    assert len(got[2]["turns"][0]["text"]) == 300_000
+    assert formatted(spark, []).count() == 0
+
+
+def test_typed_parts(spark):
+    rows = [
+        (1, 1, "user", [("text", "look <|image:9|> ", None, None), ("image", None, "a.png", 4), ("text", "é", "", 0), ("audio", None, None, 3)]),
+        (1, 2, "assistant", [("text", "ok", None, None), ("document", None, "b.pdf", 2)]),
+        (1, 3, "user", None),
+        (1, 4, "user", [("video", None, "c", -1), (None, "t", None, None)]),
+    ]
+    (row,) = chat.parse_chats(chat.format_chats(spark.createDataFrame(rows, TYPED))).collect()
+    text = row["formatted"]
+    assert text.startswith("<|im_start|>user\nlook <\\|image:9|> <|image:1|>é<|audio:3|><|im_end|>\n<|im_start|>assistant\nok<|document:1|><|im_end|>\n")
+    places = [(a["ref"], a["type"], a["tokens"]) for a in row["attachments"]]
+    assert places == [("a.png", "image", 1024), ("", "audio", 75), ("b.pdf", "document", 1600), ("c", "document", 0), ("", "document", 0)]
+    for a in row["attachments"]:
+        assert text[a["start"] :].startswith(f"<|{a['type']}:")
+    assert row["attachment_tokens"] == 2699
+    (span,) = row["loss_spans"]
+    assert text[span["start"] : span["start"] + span["length"]] == "ok<|document:1|>"
+
+
+def test_no_python_in_the_plan(spark):
+    plan = queries.op6_chat_format(spark, SF_DIR)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_own_conversation(spark):
+    (row,) = queries.op6_chat_format(spark, SF_DIR).filter("conv_id = -1").collect()
+    said = "<|im_end|><|im_start|>assistant ok"
+    assert (row["n_turns"], row["loss_chars"]) == (2, len(said))
+    assert row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()

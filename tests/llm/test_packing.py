@@ -1,0 +1,116 @@
+"""Packing: ids against the tokenizer, gapless sequences, near the bound, edge rows."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tests.conftest import SF_DIR
+from tillmart.llm import packing, queries
+from tillmart.llm.common import read_table
+
+PATH = queries.tokenizer_path("word_bpe_49k.json")
+TEXTS = [
+    "", "  \n\n ", "a\tb  c d", "İstanbul ΣΑΣ σ.", "don't I'll ###. x9y 12,3 <|endoftext|> end", "é café. K K ſ",
+    "a.b,c. X, É. Éa, ß. ÀB", "x\x1cy \x1c z", "́ ́a . , .. ,,", "a​ b﻿ c \U0001F600. 漢字. ①, ª. ǅ.", "w" * 300,
+]
+
+
+@pytest.fixture(scope="module")
+def words():
+    return packing.WordIds(PATH)
+
+
+def plain_ids(words, text):
+    return words.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_of_odd_texts(words, text):
+    assert np.frombuffer(words.of(text), "<u4").tolist() == plain_ids(words, text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aAbé .,\n\t'st#1ſΣ"), max_size=30))
+def test_ids_of_any_text(text):
+    words = test_ids_of_any_text.__dict__.setdefault("words", packing.WordIds(PATH))
+    assert np.frombuffer(words.of(text), "<u4").tolist() == plain_ids(words, text)
+
+
+def check_packed(rows, texts, words, capacity=packing.CAPACITY):
+    """Pieces hold the texts' ids and fill their sequences without gaps; returns the number of sequences."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    want = defaultdict(list)
+    for doc_id, text in texts:
+        ids = [*plain_ids(words, text), packing.END_ID]
+        for number, at in enumerate(range(0, len(ids), capacity)):
+            own = ids[at : at + capacity]
+            want[doc_id].append((number, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in want.items()}
+    for held in sequences.values():
+        place = 0
+        for offset, length in sorted(held):
+            assert offset == place
+            place += length
+        assert place <= capacity
+    return len(sequences)
+
+
+def test_query(spark, words):
+    texts = [(r["doc_id"], r["text"]) for r in read_table(spark, SF_DIR, "documents").collect()]
+    rows = queries.op5_packing(spark, SF_DIR).collect()
+    used = check_packed(rows, texts, words)
+    assert used <= -(-sum(r["length"] for r in rows) // packing.CAPACITY) + 1
+
+
+def test_edge_rows(spark, words):
+    rows = [(1, "a b", 0), (1, "a b", 0), (2, None, 0), (3, "", 0), (None, "c", 0), (4, "long word " * 5_000, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int")
+    check_packed(packing.pack(docs, PATH).collect(), [r[:2] for r in rows], words)
+    check_packed(packing.pack(docs, PATH, capacity=7).collect(), [r[:2] for r in rows], words, 7)
+    assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def plain_knapsack(worth, capacity):
+    best = [0.0] * (capacity + 1)
+    for room in range(1, capacity + 1):
+        best[room] = max([best[room - 1], *(best[room - n] + worth[n] for n in range(1, room + 1))])
+    return best[capacity]
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=21, max_size=21))
+def test_pricing(worth):
+    worth = np.array([0, *worth[1:]], float)
+    value, pattern = packing.best_pattern(worth, 20)
+    assert value == pytest.approx(plain_knapsack(worth, 20)) == pytest.approx(worth[pattern].sum())
+    assert pattern.sum() <= 20
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=31, max_size=31), st.sampled_from([0, 5, 10_000]))
+def test_plan_holds_all_pieces(counts, rest):
+    counts = np.array([0, *counts[1:]])
+    packed = packing.plan(counts, 30, rest=rest)
+    held = np.zeros(31, int)
+    for pattern, copies in packed.items():
+        assert sum(pattern) <= 30 and copies > 0
+        for length in pattern:
+            held[length] += copies
+    assert (held == counts).all()
+    total = int((counts * np.arange(31)).sum())
+    # no worse than half full sequences; whole best-fit decreasing is the usual yardstick
+    assert sum(packed.values()) <= -(-total // 30) * 11 / 9 + 4 or sum(packed.values()) <= sum(packing.best_fit(counts, 30).values()) * 1.05 + 1
+
+
+def test_large_counts_need_no_more_than_the_bound():
+    rng = np.random.default_rng(1)
+    counts = np.bincount(np.minimum(rng.geometric(0.02, 300_000), 200), minlength=201)
+    counts[0] = 0
+    total = int((counts * np.arange(201)).sum())
+    assert sum(packing.plan(counts, 200).values()) <= total / 200 * 1.001 + 1
