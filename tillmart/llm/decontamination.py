@@ -220,8 +220,8 @@ def find_leaks(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    n: int = 4,
-    window: int = 3,
+    n: int = 3,
+    window: int = 2,
     threshold: float = 0.5,
     block_grams: int = 1_000_000,
 ) -> DataFrame:
