@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillmart.plans.batch import run_batch  # noqa: E402
 from tillmart.plans.registry import queries, star_of  # noqa: E402
-from tillmart.session import build_session, shared_dir  # noqa: E402
+from tillmart.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -28,7 +28,7 @@ def discard(df) -> None:
 
 def whole_build(spark, sf_dir: str) -> None:
     star = star_of(spark, sf_dir)
-    run_batch(spark, star.raw, star.raw_families, shared_dir(spark, "bench"))
+    run_batch(spark, star.raw, star.raw_families, star.path("bench"))
 
 
 def star_schema(spark, sf_dir: str) -> None:
@@ -49,7 +49,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     runs = {
-        "landing": lambda: star_of(spark, SF_DIR),
+        "landing": lambda: star_of(spark, SF_DIR).landing,
         "star_schema": lambda: star_schema(spark, SF_DIR),
     }
     for name, build in queries().items():

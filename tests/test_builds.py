@@ -10,8 +10,8 @@ from tests.conftest import SF_DIR
 from tests.feed import sales
 from tillmart.operators import staging
 from tillmart.__main__ import main
-from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, run_batch
-from tillmart.plans.registry import star_of
+from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, Lake, run_batch
+from tillmart.plans.registry import QUERIES, Star, queries, star_of
 from tillmart.schemas import RAW_SALES, TABLES
 from tillmart.session import shared_dir
 from tillmart.streaming import incremental
@@ -49,10 +49,16 @@ def test_rerun_gives_the_same(spark, star, tmp_path):
 def test_monthly_partitions(spark, star, tmp_path):
     out = str(tmp_path / "lake")
     tables = run_batch(spark, star.raw, star.raw_families, out, monthly=True)
-    assert rows_of(tables["int_transactions"].drop("year", "month")) == rows_of(star.transactions)
-    hit = tables["int_transactions"].filter("year = 2010 AND month = 2")
-    assert 0 < len(hit.inputFiles())
-    assert hit.count() == star.transactions.filter("trunc(date, 'month') = date '2010-02-01'").count()
+    for name in ("int_transactions", "fact_transactions"):
+        assert rows_of(tables[name]) == rows_of(star.lake.table(name))
+        assert tables[name].columns == star.lake.table(name).columns
+    assert tables["etl_transactions"].columns == star.transactions.columns
+    monthly = Lake(spark, star.raw, star.raw_families, out, monthly=True)
+    monthly._written.update(tables)
+    for name in ("int_transactions", "fact_transactions"):
+        hit = monthly.month(name, 2010, 2)
+        assert "PartitionFilters: [isnotnull(year" in hit._jdf.queryExecution().toString()
+        assert hit.count() == star.lake.month(name, 2010, 2).count() > 0
 
 
 def test_command_line(spark, tmp_path):
@@ -76,11 +82,18 @@ def test_command_line(spark, tmp_path):
     assert spark.table("till_db.dim_date").count() == 6209
     names = {t.name for t in spark.catalog.listTables("till_db") if not t.isTemporary}
     assert names == {*LOADED, *PUBLISHED, *PUBLISHED.values()}
+    assert spark.table("till_db.etl_transactions").columns == spark.table("till_db.int_transactions").columns
+    assert "year" not in spark.table("till_db.fact_transactions").columns
+    for flags, unknown in (("exact", 0), ("null-unknown", 1)):
+        sales_csv.write_bytes("\n".join([header, "1,22423,,1,12/1/10 8:26,2.55,17850,Hong Kong", ""]).encode())
+        main(["--sales", str(sales_csv), "--families", str(families_csv), "--out", out, "--flags", flags])
+        assert spark.read.parquet(f"{out}/dim_items").filter("is_unknown_item").count() == unknown
+    assert spark.read.parquet(f"{out}/int_customers").first().country_name == "Hong Kong"
 
 
 def load(spark, where, **options):
     incremental.load_new(
-        spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", incremental.stage_load, **options
+        spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", **options
     )
     return spark.read.parquet(f"{where}/staged")
 
@@ -112,30 +125,76 @@ def test_backlog_in_several_loads(spark, star):
 def test_load_repeated_after_a_failure(spark):
     where = shared_dir(spark, "test-failure")
     sales(spark, {"InvoiceNo": "1"}, {"InvoiceNo": "2"}).write.parquet(f"{where}/drops")
+    ids = []
 
-    def fails_after_writing(batch, load_id):
-        incremental.stage_load(batch, load_id).write.mode("overwrite").parquet(f"{where}/staged/load_id={load_id}")
-        raise RuntimeError("lost")
+    def fails(staged, load_id):
+        ids.append(sorted(r.transaction_id for r in staged.collect()))
+        if len(ids) == 1:
+            raise RuntimeError("lost")
 
     with pytest.raises(Exception):
-        incremental.load_new(
-            spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", fails_after_writing
-        )
-    assert load(spark, where).count() == 2
-
-
-def test_too_many_loads_are_refused(spark):
-    with pytest.raises(ValueError):
-        incremental.stage_load(sales(spark, {}), 1 << 13)
-    last = incremental.stage_load(sales(spark, {}).coalesce(1), (1 << 13) - 1).first()
-    assert last.transaction_id == ((1 << 13) - 1) << 50
+        load(spark, where, follow=fails)
+    assert load(spark, where, follow=fails).count() == 2
+    assert ids == [[0, 1], [0, 1]]
+
+
+def test_ids_run_on(spark):
+    """Any number of loads, tasks and rows: ids are dense, and a repeated load has its own again."""
+    loads = shared_dir(spark, "test-loads")
+    seen = []
+    for load_id in (0, 1, 8_191, 8_192, 20_000):
+        rows = sales(spark, *[{"InvoiceNo": str(i)} for i in range(5)]).repartition(3)
+        for _ in range(2):
+            ids = sorted(r.transaction_id for r in incremental.stage_load(rows, load_id, loads).collect())
+        seen += ids
+    assert seen == list(range(25))
+
+
+def test_fact_follows_the_loads(spark, star):
+    where = shared_dir(spark, "test-follow")
+    star.raw.limit(50).write.parquet(f"{where}/drops")
+    build = lambda staged: staging.fact_transactions(staged, star.dates, star.places)
+    follow = incremental.fact_follows(build, f"{where}/fact")
+    load(spark, where, follow=follow)
+    star.raw.limit(30).write.mode("append").parquet(f"{where}/drops")
+    staged = load(spark, where, follow=follow)
+    fact = spark.read.parquet(f"{where}/fact")
+    assert fact.count() == staged.count() == 80
+    assert fact.join(staged, "transaction_id").count() == 80
+
+
+def test_second_run_leaves_nothing_more(spark, star):
+    """The writers use one folder and database each."""
+
+    def left():
+        databases = {d.name for d in spark.catalog.listDatabases()}
+        system, root = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.hadoop.fs.Path(star.root)
+        at = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        return databases, at.getContentSummary(root).getDirectoryCount() if system else 0
+
+    names = ("typed_load", "ctas_replace", "publish_marts", "partition_overwrite", "incremental_load", "warehouse")
+    for _ in range(2):
+        for name in names:
+            QUERIES[name](star).count()
+    before = left()
+    for name in names:
+        QUERIES[name](star).count()
+    assert left() == before
 
 
-def test_changed_files_give_a_new_star(spark, tmp_path):
+def test_refresh_gives_a_new_star(spark, tmp_path):
     folder = tmp_path / "sf"
     shutil.copytree(SF_DIR, folder, copy_function=shutil.copyfile)
     one = star_of(spark, str(folder))
-    assert star_of(spark, str(folder)) is one
+    assert star_of(spark, str(folder)) is one and one.stg.count() == 5997
     pq.write_table(pq.read_table(f"{SF_DIR}/lineitem.parquet").slice(0, 10), folder / "lineitem.parquet")
-    other = star_of(spark, str(folder))
+    other = star_of(spark, str(folder), refresh=True)
     assert other is not one and other.stg.count() == 10
+
+
+def test_no_feed_is_landed_without_need(spark):
+    star = Star(spark, SF_DIR)
+    QUERIES["parquet_scan"](star)
+    QUERIES["landing_inventory"](star)
+    assert not {"landing", "lake"} & set(vars(star))
+    assert "parquet_scan" in queries()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.feed import families, sales
 from tillmart.functions import columns as fn
-from tillmart.functions.places import COUNTRY_LOCALES, FEED_COUNTRIES
+from tillmart.functions.places import COUNTRY_LOCALES, FEED_COUNTRIES, LOCATIONS, NAMES
 from tillmart.functions.vocabulary import CATEGORIES, CATEGORY_RULES, FLAG_TEXTS
 from tillmart.operators import dimensions as dim, staging
 from tillmart.schemas import FLAGS, TABLES
@@ -111,11 +111,20 @@ def test_calendar(spark):
 
 
 def test_locations(spark):
-    rows = dim.dim_location(spark).collect()
-    assert len(rows) == 37 and len({row.country_name for row in rows}) == 37
+    places = dim.dim_location(spark)
+    rows = {row.country_name: row for row in places.collect()}
+    assert len(rows) == 244 and sorted(row.country_id for row in rows.values()) == list(range(1, 245))
+    assert tuple(rows["Hong Kong"]) == (96, "HK", "Hong Kong", "HONG KONG")
+    assert tuple(rows["Vietnam"]) == (232, "VN", "Vietnam", "VIET NAM")
+    assert tuple(rows["EIRE"]) == (240, "IE", "EIRE", "EIRE")
     assert set(COUNTRY_LOCALES) == {name for _, _, name, _ in FEED_COUNTRIES}
-    longer = dim.dim_location(spark, [*FEED_COUNTRIES, (1, "AF", "Afghanistan", "AFGHANISTAN")])
-    assert longer.count() == 38 and longer.schema == TABLES["dim_location"]
+    fewer = dim.dim_location(spark, LOCATIONS[:3])
+    assert fewer.count() == 3 and fewer.schema == places.schema == TABLES["dim_location"]
+
+
+def test_sale_in_hong_kong(spark):
+    stg = staging.stg_transactions(sales(spark, {"Country": "Hong Kong"}))
+    assert staging.fact_transactions(stg, dim.dim_date(spark), dim.dim_location(spark)).first().country_id == 96
 
 
 def test_customers(spark):
@@ -137,7 +146,9 @@ def test_customers(spark):
     assert set(customers) == {1, 2, 3} and customers[2] == "Unknown"
     slot = (2654435761 + dim.POOL_SEED) % dim.POOL_SIZE
     assert customers[1] == pool.filter((F.col("country_name") == "EIRE") & (F.col("idx") == slot)).first().customer_name
-    assert pool.count() == 37 * 30
+    assert pool.count() == pool.distinct().count() == 37 * 30
+    assert pool.select("country_name", "customer_name").distinct().count() == 37 * 30
+    assert {locale[:2] for locale in COUNTRY_LOCALES.values()} <= set(NAMES)
 
 
 def test_locales(spark):

@@ -46,21 +46,21 @@ def test_numbering_cuts_the_hot_group(spark, conf):
     assert held["pieces"].filter("k = 'hot'").select("_piece").distinct().count() >= 4
 
 
-@pytest.mark.parametrize("per_part", [10, 100, 5000])
-def test_joined_texts_are_whole(spark, per_part):
+@pytest.mark.parametrize("per_part", [1, 10, 100, 5000])
+def test_joined_parts_are_the_text(spark, per_part):
+    """Of every group, large or small, and with equal texts."""
     df = hot_groups(spark).filter("k IS NOT NULL")
-    joined = grouped.join_texts(df, "k", "t", "text", per_part).collect()
+    df = df.unionByName(df.filter("i % 30 = 0").withColumn("i", F.col("i") + 10_000))
     want, found = {}, {}
     for row in df.collect():
         want.setdefault(row.k, []).append(row.t)
-    for row in joined:
-        words = row.text.split(" ")
-        assert words == sorted(words)
-        found.setdefault(row.k, []).extend(words)
-    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
-    parts = [row.part for row in joined if row.k == "hot"]
-    assert len(parts) == -(-1000 // per_part) and sorted(parts) == list(range(len(parts)))
-    assert {row.part for row in joined if row.k != "hot"} == {0} or per_part == 10
+    for row in grouped.join_texts(df, "k", "t", "text", per_part, ["i"]).collect():
+        found.setdefault(row.k, {})[row.part] = row.text
+    assert set(found) == set(want)
+    for key, texts in want.items():
+        assert sorted(found[key]) == list(range(-(-len(texts) // per_part)))
+        assert " ".join(found[key][part] for part in sorted(found[key])) == " ".join(sorted(texts))
+        assert max(len(text.split()) for text in found[key].values()) <= per_part
 
 
 def test_keep_first(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.feed import families, sales
 from tillmart.operators import dimensions as dim, marts, quality, staging
+from tillmart.session import written
 
 D = decimal.Decimal
 FAMILIES = [("85123", "HEART", "HOME"), ("22423", "STAND", "CAKE"), ("10001", "TOY", "TOYS")]
@@ -24,6 +25,9 @@ class Small:
         self.transactions = marts.int_transactions(
             self.fact, self.items, self.families, self.dates, self.places
         )
+        self.timed = marts.int_transactions(
+            self.fact, self.items, self.families, self.dates, self.places, marts.TIME
+        )
 
 
 def test_returns(spark):
@@ -46,11 +50,12 @@ def test_unmatched_item(spark):
     small = Small(spark, [{"InvoiceNo": "1", "Quantity": "-1"}, {"InvoiceNo": "2", "StockCode": "22423"}])
     known = small.items.filter("item_id = '22423'")
     joined = marts.int_transactions(small.fact, known, small.families, small.dates, small.places)
+    timed = marts.int_transactions(small.fact, known, small.families, small.dates, small.places, marts.TIME)
     lost = joined.filter("invoice_id = '1'").first()
     assert lost.is_return is False and lost.item_id is None and lost.is_error_item is None
     invoice = marts.int_invoices(joined, small.dates, small.places).filter("invoice_id = '1'").first()
     assert invoice.has_return is False and invoice.has_error_item is None
-    first = marts.invoice_first(joined, small.dates, small.places).filter("invoice_id = '1'").first()
+    first = marts.invoice_first(timed, small.dates, small.places).filter("invoice_id = '1'").first()
     assert first.has_error_item is False
     assert [r.item_id for r in small.items.join(
         marts.int_items(small.fact, known, small.families), "item_uuid").select("item_id").collect()] == ["22423"]
@@ -66,16 +71,46 @@ def test_invoice_on_two_days(spark):
         ],
     )
     assert marts.int_invoices(small.transactions, small.dates, small.places).count() == 3
-    (first,) = marts.invoice_first(small.transactions, small.dates, small.places).collect()
+    (first,) = marts.invoice_first(small.timed, small.dates, small.places).collect()
     assert str(first.date) == "2010-12-01" and first.day_of_week == "Wednesday"
     assert first.customer_id == 5 and first.country_name == "United Kingdom"
     assert first.total_items == 2 and first.total_quantity == 18 and first.total_invoice_amount == D("45.90")
 
 
+def test_first_line_not_first_day(spark):
+    """Of two lines on a day, the earlier one; of lines at the same time, the smallest value."""
+    small = Small(
+        spark,
+        [
+            {"InvoiceNo": "1", "InvoiceDate": "12/1/10 9:00", "CustomerID": "9", "Country": "France"},
+            {"InvoiceNo": "1", "InvoiceDate": "12/1/10 17:00", "CustomerID": "5", "Country": "Australia"},
+            {"InvoiceNo": "2", "InvoiceDate": "12/1/10 9:00", "CustomerID": "9"},
+            {"InvoiceNo": "2", "InvoiceDate": "12/1/10 9:00", "CustomerID": "7"},
+            {"InvoiceNo": "2", "InvoiceDate": "?", "CustomerID": "1"},
+        ],
+    )
+    found = {r.invoice_id: r for r in marts.invoice_first(small.timed, small.dates, small.places).collect()}
+    assert (found["1"].customer_id, found["1"].country_name) == (9, "France")
+    assert found["2"].customer_id == 7
+
+
+def test_repeated_country_name(spark):
+    """A fan-out of the fact counts each transaction once."""
+    small = Small(spark, [{"Country": "France", "CustomerID": "1"}, {"Country": "France", "CustomerID": "1", "StockCode": "22423"}])
+    places = dim.dim_location(spark, [(1, "FR", "France", "FRANCE"), (2, "FX", "France", "FRANCE")])
+    stg = written(staging.stg_transactions(small.raw), "stg")
+    fact = staging.fact_transactions(stg, small.dates, places)
+    assert fact.count() == 4 and not quality.keys_unique((places, "country_name"))
+    transactions = marts.int_transactions(fact, small.items, small.families, small.dates, places)
+    (row,) = marts.int_customers(transactions).collect()
+    assert row.total_transactions == 2 and row.avg_sales_per_transaction == D("30.60")
+    assert {r.total_transactions for r in marts.int_items(fact, small.items, small.families).collect()} == {1}
+
+
 def test_first_values_at_the_ends_of_int(spark):
     low, high = -(2**31), 2**31 - 1
     small = Small(spark, [{"CustomerID": str(high), "InvoiceNo": "1"}, {"CustomerID": str(low), "InvoiceNo": "2"}])
-    found = marts.invoice_first(small.transactions, small.dates, small.places).collect()
+    found = marts.invoice_first(small.timed, small.dates, small.places).collect()
     assert {row.invoice_id: row.customer_id for row in found} == {"1": high, "2": low}
 
 

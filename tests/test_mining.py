@@ -70,11 +70,15 @@ def test_family_words(spark, items):
     for family, texts in plain.items():
         counts = Counter(word for text in texts for word in text.split())
         want[family] = {word for word, n in counts.items() if n == max(counts.values())}
-    found = mining.family_top_words(items).collect()
-    assert {r.item_family_id: set(r.item_family_description.split()) for r in found} == want
-    assert {r.part for r in found} == {0}
-    texts = {r.item_family_id: r.family_text for r in mining.family_text(items).collect()}
-    assert texts == {family: " ".join(sorted(t)) for family, t in plain.items()}
+    for per_part in (1, 2, 100):
+        found, texts = {}, {}
+        for r in mining.family_top_words(items, per_part).collect():
+            found.setdefault(r.item_family_id, {})[r.part] = r.item_family_description
+        for r in mining.family_text(items, per_part).collect():
+            texts.setdefault(r.item_family_id, {})[r.part] = r.family_text
+        joined = lambda parts: " ".join(parts[part] for part in sorted(parts))
+        assert {family: joined(parts).split() for family, parts in found.items()} == {f: sorted(w) for f, w in want.items()}
+        assert {family: joined(parts) for family, parts in texts.items()} == {f: " ".join(sorted(t)) for f, t in plain.items()}
     categories = mining.family_category(spark, mining.family_words(items)).collect()
     assert {r.item_family_id: r.item_category for r in categories} == {
         22423: "KITCHENWARE", 22424: "KITCHENWARE", 85123: "HOME DECOR",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tests.feed import sales
 from tillmart.operators import quality
 from tillmart.schemas import RAW_SALES, TABLES
+from tillmart.session import application_dir, written
 from tillmart.sources import files, tables
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -86,33 +87,80 @@ def test_replace_and_publish(spark, tmp_path):
         tables.create_or_replace(spark.table("int_t").withColumn("more", F.lit(1)).drop("more"), "int_t")
         assert spark.table("int_t").columns == ["k", "total"]
         assert dict(spark.table("etl_t").dtypes)["total"] == "double"
-    tables.publish_view(money, "etl_view")
-    assert spark.table("etl_view").first().total == 2.5
+        assert spark.table("etl_t").first().total == 2.5
+        folder = f"{tmp_path}/db/int_t"
+        assert len(files.folders(spark, folder)) == tables.KEPT_VERSIONS
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            tables.create_or_replace(spark.sql("SELECT CAST('x' AS INT) AS k"), "int_t")
+        assert spark.table("int_t").columns == ["k", "total"]
+
+
+def test_rows_per_file(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "a.parquet"))
+    spark.range(7).repartition(3).write.parquet(str(tmp_path / "b.parquet"))
+    found = files.rows_per_file(spark, str(tmp_path), ["a", "b"]).collect()
+    assert {(r.file, r.n_rows) for r in found} == {("a.parquet", 5), ("b.parquet", 7)}
 
 
-def test_inventory(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("abc")
-    (tmp_path / "b").mkdir()
-    (tmp_path / "b" / "c.csv").write_text("abcd")
-    (tmp_path / "d.txt").write_text("x")
-    rows = files.landing_inventory(spark, str(tmp_path), "*.csv").collect()
-    assert {(r.path.rsplit("/", 1)[1], r.length) for r in rows} == {("a.csv", 3), ("c.csv", 4)}
+TORN = '1,2,"TWO\nLINES",3,12/1/10 8:26,2.55,17850,France\n'
+
+
+def test_malformed_lines_are_seen(spark, tmp_path):
+    path = tmp_path / "retail.csv"
+    path.write_text(HEADER + TORN + "2,2,GOOD,3,12/1/10 8:26,2.55,17850,France\n3,2,SURPLUS,3,12/1/10 8:26,2.55,17850,France,more\n")
+    lines = read(spark, path)
+    assert [r.InvoiceNo for r in files.well_formed(lines).collect()] == ["2"]
+    assert files.well_formed(lines).columns == RAW_SALES.fieldNames()
+    found = {r.check_name: r.n_rows for r in quality.feed_checks(lines).collect()}
+    assert found["feed_lines"] == 4 and found["malformed_lines"] == 3
+    assert found["rejected_quantity"] == found["rejected_price"] == found["missing_quantity"] == 0
+    # columns that are not asked for are still counted
+    assert files.well_formed(lines).select("Country").collect() == [("France",)]
+
+
+def test_records_of_several_lines(spark, tmp_path):
+    path = tmp_path / "retail.csv"
+    path.write_text(HEADER + TORN)
+    lines = files.read_csv(spark, str(path), RAW_SALES, multi_line=True)
+    assert [r.Description for r in files.well_formed(lines).collect()] == ["TWO\nLINES"]
 
 
 def test_feed_checks(spark):
     raw = sales(
         spark, {}, {"Quantity": "x"}, {"UnitPrice": "x"}, {"CustomerID": "x"}, {"InvoiceDate": "x"},
-        {"Description": None}, {"CustomerID": None}, {"Quantity": None, "InvoiceDate": None},
+        {"Description": None}, {"CustomerID": None}, {"Quantity": None, "InvoiceDate": None}, {"UnitPrice": None, "Quantity": "1e3"},
     )
     assert {r.check_name: r.n_rows for r in quality.feed_checks(raw).collect()} == {
-        "feed_lines": 8, "rejected_quantity": 1, "rejected_price": 1, "rejected_customer": 1,
-        "rejected_date": 1, "missing_description": 1, "missing_customer": 1,
+        "feed_lines": 9, "malformed_lines": 0, "rejected_quantity": 2, "rejected_price": 1, "rejected_customer": 1,
+        "rejected_date": 1, "missing_description": 1, "missing_customer": 1, "missing_quantity": 1,
+        "missing_price": 1, "missing_date": 1,
     }
 
 
+def test_working_tables_are_removed(spark):
+    rows = written(spark.range(3), "some")
+    assert rows.count() == 3 and files.exists(spark, application_dir(spark))
+
+
 def test_key_checks(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
-    assert quality.repeated_key_check(df, "k", "c").first().n_rows == 1
+    twice = df.withColumn("l", F.lit(3))
+    assert {tuple(r) for r in quality.repeated_key_checks(twice, "k", "l").collect()} == {("repeated_k", 1), ("repeated_l", 1)}
     assert not quality.keys_unique((df, "k")) and quality.keys_unique((df.distinct(), "k"))
-    other = spark.createDataFrame([(2,), (3,)], "k int")
-    assert quality.unmatched(df, other, "k", "c").first().n_rows == 4
+
+
+def test_dimension_checks(spark):
+    items = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", None)], "item_uuid string, item_family_id int")
+    families = spark.createDataFrame([(1,), (1,), (3,), (None,), (None,)], "item_family_id int")
+    assert {tuple(r) for r in quality.family_checks(items, families).collect()} == {
+        ("items_without_family", 2), ("repeated_item_family_id", 1),
+    }
+    fact = spark.sql(
+        "SELECT u AS item_uuid, 1 AS quantity_amount, 2.5 AS unit_price_eur, CAST(NULL AS DECIMAL(18,2)) AS total_price_eur,"
+        " CAST(NULL AS TIMESTAMP_NTZ) AS event_timestamp_invoiced_at, CAST(NULL AS INT) AS date_id, 1 AS country_id"
+        " FROM VALUES ('a'), ('a'), ('z') AS v(u)"
+    )
+    assert {r.check_name: r.n_rows for r in quality.fact_checks(fact, items).collect()} == {
+        "fact_without_time": 3, "fact_outside_calendar": 0, "fact_without_country": 0, "fact_total_too_large": 3,
+        "fact_without_item": 1, "repeated_item_uuid": 1,
+    }

@@ -27,10 +27,10 @@ def test_contract(spark):
 
 
 def test_customer_texts(spark):
-    texts = ["17850.0", "17850", "", "x", None, "9999999999"]
-    stg = staged(spark, *[{"CustomerID": text, "InvoiceNo": str(i)} for i, text in enumerate(texts)])
+    texts = ["17850.0", "17850", "", "x", None, "9999999999", "1.99999", "1e3", "2.7", "-3.", " 4 ", "+5", ".5", "1.2.3"]
+    stg = staged(spark, *[{"CustomerID": text, "InvoiceNo": f"{i:02}"} for i, text in enumerate(texts)])
     found = [row.customer_id for row in stg.orderBy("invoice_id").collect()]
-    assert found == [17850, 17850, None, None, None, None]
+    assert found == [17850, 17850, None, None, None, None, 1, None, 2, -3, 4, 5, None, None]
 
 
 def test_unreadable_values_are_null(spark):

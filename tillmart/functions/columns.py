@@ -12,8 +12,9 @@ UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def lenient_int(text: Column) -> Column:
-    """Whole number in a text such as ``17850`` or ``17850.0``; NULL if it is none."""
-    return text.try_cast("decimal(20,4)").try_cast("int")
+    """Whole number in a text such as ``17850`` or ``17850.0``, a fraction cut off; NULL if it is no plain number."""
+    whole = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$", 1)
+    return F.nullif(whole, F.lit("")).try_cast("int")
 
 
 def lenient_price(text: Column) -> Column:

@@ -1,50 +1,23 @@
-"""The feed's countries and their locales, and name lists.
+"""Locations, their locales, and name lists.
 
-The location table holds whatever countries it is given. ``FEED_COUNTRIES``
-covers the countries of the sales feed; a longer list comes in as a file
-with the same four columns.
+Locations come from a file, by default ``locations.csv`` beside this module: code,
+name, and the upper-case name where it is another than the name in upper case. A
+location's id is its line. Ids, codes and names are fixed values.
 """
 
-# country_id, iso_country_code, country_name, country_code_name.
-FEED_COUNTRIES = [
-    (13, "AU", "Australia", "AUSTRALIA"),
-    (14, "AT", "Austria", "AUSTRIA"),
-    (17, "BH", "Bahrain", "BAHRAIN"),
-    (21, "BE", "Belgium", "BELGIUM"),
-    (30, "BR", "Brazil", "BRAZIL"),
-    (38, "CA", "Canada", "CANADA"),
-    (56, "CY", "Cyprus", "CYPRUS"),
-    (57, "CZ", "Czech Republic", "CZECH REPUBLIC"),
-    (58, "DK", "Denmark", "DENMARK"),
-    (72, "FI", "Finland", "FINLAND"),
-    (73, "FR", "France", "FRANCE"),
-    (80, "DE", "Germany", "GERMANY"),
-    (83, "GR", "Greece", "GREECE"),
-    (98, "IS", "Iceland", "ICELAND"),
-    (104, "IL", "Israel", "ISRAEL"),
-    (105, "IT", "Italy", "ITALY"),
-    (107, "JP", "Japan", "JAPAN"),
-    (118, "LB", "Lebanon", "LEBANON"),
-    (123, "LT", "Lithuania", "LITHUANIA"),
-    (132, "MT", "Malta", "MALTA"),
-    (150, "NL", "Netherlands", "NETHERLANDS"),
-    (160, "NO", "Norway", "NORWAY"),
-    (171, "PL", "Poland", "POLAND"),
-    (172, "PT", "Portugal", "PORTUGAL"),
-    (187, "SA", "Saudi Arabia", "SAUDI ARABIA"),
-    (192, "SG", "Singapore", "SINGAPORE"),
-    (199, "ES", "Spain", "SPAIN"),
-    (205, "SE", "Sweden", "SWEDEN"),
-    (206, "CH", "Switzerland", "SWITZERLAND"),
-    (224, "AE", "United Arab Emirates", "UNITED ARAB EMIRATES"),
-    (225, "GB", "United Kingdom", "UNITED KINGDOM"),
-    (226, "US", "USA", "UNITED STATES"),
-    (240, "IE", "EIRE", "EIRE"),
-    (241, "XX", "Channel Islands", "CHANNEL ISLANDS"),
-    (242, "00", "Unspecified", "UNSPECIFIED"),
-    (243, "EU", "European Community", "EU"),
-    (244, "ZA", "RSA", "RSA"),
-]
+import csv
+from importlib import resources
+
+
+def read_locations(lines: list[str]) -> list[tuple[int, str, str, str]]:
+    """Id, code, name and upper-case name of each line."""
+    return [
+        (number, row["iso_country_code"], row["country_name"], row["country_code_name"] or row["country_name"].upper())
+        for number, row in enumerate(csv.DictReader(lines), 1)
+    ]
+
+
+LOCATIONS = read_locations(resources.files(__package__).joinpath("locations.csv").read_text("utf-8").splitlines())
 
 # Fixed values.
 COUNTRY_LOCALES = {
@@ -65,15 +38,28 @@ COUNTRY_LOCALES = {
 
 DEFAULT_LOCALE = "en_US"
 
-# First and last names per language; a language not listed uses "en".
+# Names per language: six first and five last ones, so that a pool of thirty has no name twice.
 NAMES = {
-    "en": (["Alice", "Brian", "Clare", "David", "Emma"], ["Archer", "Baker", "Cooper", "Dawson", "Ellis"]),
-    "de": (["Anke", "Bernd", "Clara", "Dieter", "Eva"], ["Bauer", "Fischer", "Huber", "Maier", "Weber"]),
-    "fr": (["Anne", "Benoit", "Chloe", "Denis", "Elise"], ["Bernard", "Dubois", "Lambert", "Moreau", "Petit"]),
-    "es": (["Ana", "Blanca", "Carlos", "Diego", "Elena"], ["Castro", "Diaz", "Garcia", "Lopez", "Ruiz"]),
-    "pt": (["Alda", "Bruno", "Carla", "Duarte", "Ines"], ["Almeida", "Costa", "Lima", "Pereira", "Sousa"]),
-    "it": (["Anna", "Bruno", "Carla", "Dario", "Elisa"], ["Bianchi", "Conti", "Ferrari", "Greco", "Ricci"]),
-    "nl": (["Anouk", "Bram", "Cato", "Daan", "Eline"], ["Bakker", "Dekker", "Jansen", "Mulder", "Visser"]),
-    "sv": (["Astrid", "Bengt", "Cajsa", "David", "Ebba"], ["Berg", "Dahl", "Ekman", "Holm", "Lind"]),
-    "pl": (["Adam", "Basia", "Celina", "Dawid", "Ewa"], ["Kowal", "Lis", "Nowak", "Sikora", "Zalewski"]),
+    "en": (["Alice", "Brian", "Clare", "David", "Emma", "Frank"], ["Archer", "Baker", "Cooper", "Dawson", "Ellis"]),
+    "de": (["Anke", "Bernd", "Clara", "Dieter", "Eva", "Frieda"], ["Bauer", "Fischer", "Huber", "Maier", "Weber"]),
+    "fr": (["Anne", "Benoit", "Chloe", "Denis", "Elise", "Fabien"], ["Bernard", "Dubois", "Lambert", "Moreau", "Petit"]),
+    "es": (["Ana", "Blanca", "Carlos", "Diego", "Elena", "Felipe"], ["Castro", "Diaz", "Garcia", "Lopez", "Ruiz"]),
+    "pt": (["Alda", "Bruno", "Carla", "Duarte", "Ines", "Filipe"], ["Almeida", "Costa", "Lima", "Pereira", "Sousa"]),
+    "it": (["Anna", "Bruno", "Carla", "Dario", "Elisa", "Fabio"], ["Bianchi", "Conti", "Ferrari", "Greco", "Ricci"]),
+    "nl": (["Anouk", "Bram", "Cato", "Daan", "Eline", "Floor"], ["Bakker", "Dekker", "Jansen", "Mulder", "Visser"]),
+    "sv": (["Astrid", "Bengt", "Cajsa", "David", "Ebba", "Folke"], ["Berg", "Dahl", "Ekman", "Holm", "Lind"]),
+    "pl": (["Adam", "Basia", "Celina", "Dawid", "Ewa", "Filip"], ["Kowal", "Lis", "Nowak", "Sikora", "Zalewski"]),
+    "cs": (["Adela", "Bohdan", "Cyril", "Dana", "Emil", "Hana"], ["Benes", "Cerny", "Dvorak", "Horak", "Novak"]),
+    "da": (["Asger", "Birgit", "Carsten", "Ditte", "Esben", "Freja"], ["Andersen", "Bach", "Jensen", "Krogh", "Lund"]),
+    "el": (["Alexis", "Danai", "Eleni", "Giorgos", "Katerina", "Nikos"], ["Alexiou", "Dimou", "Ioannou", "Laskaris", "Pappas"]),
+    "fi": (["Aino", "Eero", "Helmi", "Jukka", "Kaisa", "Lauri"], ["Aalto", "Heino", "Koski", "Laine", "Niemi"]),
+    "he": (["Adi", "Boaz", "Dalia", "Eitan", "Galit", "Noam"], ["Amir", "Barak", "Golan", "Levi", "Peretz"]),
+    "ja": (["Akira", "Chie", "Daiki", "Emi", "Haruto", "Keiko"], ["Abe", "Fujita", "Ito", "Mori", "Tanaka"]),
+    "ar": (["Amal", "Bilal", "Dina", "Fadi", "Hala", "Karim"], ["Aziz", "Darwish", "Haddad", "Khalil", "Nasser"]),
+    "lt": (["Aiste", "Benas", "Dalia", "Egle", "Jonas", "Lukas"], ["Balsys", "Kazlauskas", "Petrauskas", "Sabonis", "Urbonas"]),
+    "mt": (["Anton", "Carmena", "Dun", "Grezzju", "Katarina", "Pawlu"], ["Borg", "Camilleri", "Farrugia", "Vella", "Zammit"]),
+    "no": (["Arne", "Bjarne", "Dagny", "Eivind", "Frida", "Guro"], ["Aas", "Dahl", "Haugen", "Moen", "Solberg"]),
 }
+
+#: Locations with a locale of their own, those of the sales feed, in order of id.
+FEED_COUNTRIES = [location for location in LOCATIONS if location[2] in COUNTRY_LOCALES]

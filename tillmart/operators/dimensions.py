@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.functions import columns as fn
-from tillmart.functions.places import COUNTRY_LOCALES, DEFAULT_LOCALE, FEED_COUNTRIES, NAMES
+from tillmart.functions.places import COUNTRY_LOCALES, DEFAULT_LOCALE, LOCATIONS, NAMES
 from tillmart.functions.vocabulary import FLAG_TEXTS
 from tillmart.schemas import FLAGS, TABLES, conform
 
@@ -27,8 +27,10 @@ def dim_item_family(raw: DataFrame) -> DataFrame:
     ).dropDuplicates()
 
 
-def _calendar(days: DataFrame, first) -> DataFrame:
+def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """Attributes of each day; the id counts days, so no window over all rows is needed."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    days = spark.range(1).select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
     date = F.col("date")
     return days.select(
         date,
@@ -41,23 +43,7 @@ def _calendar(days: DataFrame, first) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    days = spark.range(1).select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
-    return _calendar(days, first)
-
-
-def calendar_of(dated: DataFrame, column: str = "date") -> DataFrame:
-    """Calendar of the whole years that the dates in ``dated`` span."""
-    span = dated.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).select(
-        F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("first"),
-        F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("last"),
-    )
-    days = span.select("first", F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date"))
-    return _calendar(days, F.col("first"))
-
-
-def dim_location(spark: SparkSession, rows: list[tuple] = FEED_COUNTRIES) -> DataFrame:
+def dim_location(spark: SparkSession, rows: list[tuple] = LOCATIONS) -> DataFrame:
     schema = TABLES["dim_location"]
     return conform(literal_table(spark, rows, schema.fieldNames()), schema)
 
@@ -113,9 +99,9 @@ def name_pool(spark: SparkSession, locales: dict[str, str] = COUNTRY_LOCALES, si
     """``size`` numbered names per country, built from the name lists of its language."""
     rows = []
     for country, locale in locales.items():
-        first, last = NAMES.get(locale[:2], NAMES["en"])
+        first, last = NAMES[locale[:2]]
         for idx in range(size):
-            name = f"{first[idx % len(first)]} {last[(idx // len(first) + idx) % len(last)]}"
+            name = f"{first[idx % len(first)]} {last[idx // len(first) % len(last)]}"
             rows.append((country, idx, name))
     return literal_table(spark, rows, ["country_name", "idx", "customer_name"])
 

@@ -23,8 +23,10 @@ def number_in_groups(df: DataFrame, keys: list[str], order: list[Column], name:
         .select(
             *[F.col(key).alias(f"_{key}") for key in keys],
             F.col("_piece").alias("_start_piece"),
-            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+            F.sum("_size").over(earlier).alias("_start"),
         )
+        # only a group that goes on from an earlier piece, so one group a piece at most
+        .filter("_start > 0")
     )
     same = F.col("_piece") == F.col("_start_piece")
     for key in keys:
@@ -32,8 +34,8 @@ def number_in_groups(df: DataFrame, keys: list[str], order: list[Column], name:
     place = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*order))
     return (
         pieces.withColumn("_place", place)
-        .join(starts, same)
-        .withColumn(name, (F.col("_start") + F.col("_place")).cast("int"))
+        .join(starts, same, "left")
+        .withColumn(name, (F.coalesce("_start", F.lit(0)) + F.col("_place")).cast("int"))
         .select(*df.columns, name)
     )
 
@@ -46,12 +48,14 @@ def keep_first(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 
 def draw(seed: int, *columns: str) -> Column:
-    """Random-looking number per row that a retried task draws again alike."""
-    return F.xxhash64(F.lit(seed), *[F.col(column) for column in columns])
+    """Random-looking text per row, the same wherever and whenever it is drawn: MD5 of seed and values, NULLs marked."""
+    values = [F.coalesce(F.col(column).cast("string"), F.lit("<null>")) for column in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *values).cast("binary"))
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    return df.withColumn("_draw", draw(seed, *df.columns)).orderBy("_draw").limit(n).drop("_draw")
+def sample_rows(df: DataFrame, n: int, seed: int = 0, on: list[str] | None = None) -> DataFrame:
+    """``n`` rows drawn by the columns ``on``, by default all."""
+    return df.withColumn("_draw", draw(seed, *(on or df.columns))).orderBy("_draw").limit(n).drop("_draw")
 
 
 def one_per_key(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
@@ -65,16 +69,16 @@ def one_per_key(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     )
 
 
-def join_texts(df: DataFrame, key: str, text: str, name: str, per_part: int) -> DataFrame:
-    """Texts of each group in order, joined by blanks.
+def join_texts(df: DataFrame, key: str, text: str, name: str, per_part: int, ties: list[str] | None = None) -> DataFrame:
+    """Texts of each group in order, joined by blanks, ``per_part`` to a part.
 
-    A group of more than ``per_part`` texts is spread over several numbered
-    parts by a hash of the text; all others have the one part 0.
+    A group's parts are numbered from 0, and joined in order they are its whole text.
+    Texts are in order of ``text``, then ``ties``, which must leave no two rows alike.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / per_part).cast("bigint").alias("_parts"))
+    numbered = number_in_groups(df, [key], [F.asc(column) for column in (text, *(ties or []))], "_number")
+    part = F.expr(f"CAST((_number - 1) DIV {per_part} AS INT)")
     return (
-        df.join(sizes, key)
-        .withColumn("part", F.pmod(F.xxhash64(text), F.col("_parts")).cast("int"))
-        .groupBy(key, "part")
-        .agg(F.array_join(F.sort_array(F.collect_list(text)), " ").alias(name))
+        numbered.groupBy(key, part.alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct("_number", text))).alias("_texts"))
+        .select(key, "part", F.array_join(F.col("_texts")[text], " ").alias(name))
     )

@@ -11,20 +11,26 @@ from tillmart.schemas import FLAGS, MONEY_SUM
 
 INVOICE_FLAGS = ["is_return", *FLAGS]
 INT_MAX = 2**31 - 1
+TIME = "event_timestamp_invoiced_at"
 
 
-def int_items(fact: DataFrame, items: DataFrame, families: DataFrame) -> DataFrame:
+def _transactions(unique: bool) -> Column:
+    """Number of transactions; a row is one if no dimension key is repeated."""
+    return F.count(F.lit(1)) if unique else F.countDistinct("transaction_id")
+
+
+def int_items(fact: DataFrame, items: DataFrame, families: DataFrame, transactions_unique: bool = False) -> DataFrame:
     """Sales per item that has a family.
 
     The fact is summed per item before the joins. That is exact: an output row
     belongs to one item row and one family row, so a fact row counts in it once,
-    even where a family has two descriptions. A transaction is one fact row.
+    even where a family has two descriptions. ``transactions_unique``: see ``int_customers``.
     """
     sales = fact.groupBy("item_uuid").agg(
         F.sum("total_price_eur").cast(MONEY_SUM).alias("total_sales_amount"),
         F.countDistinct("customer_id").alias("total_customers"),
         F.sum("quantity_amount").alias("total_quantity"),
-        F.count(F.lit(1)).alias("total_transactions"),
+        _transactions(transactions_unique).alias("total_transactions"),
     )
     described = items.select("item_uuid", "item_description", "item_family_id", *FLAGS).join(
         families, "item_family_id"
@@ -44,9 +50,9 @@ def int_items(fact: DataFrame, items: DataFrame, families: DataFrame) -> DataFra
 
 
 def int_transactions(
-    fact: DataFrame, items: DataFrame, families: DataFrame, dim_date: DataFrame, dim_location: DataFrame
+    fact: DataFrame, items: DataFrame, families: DataFrame, dim_date: DataFrame, dim_location: DataFrame, *also: str
 ) -> DataFrame:
-    """Every fact row with its item, family, place and day.
+    """Every fact row with its item, family, place and day, and the columns ``also`` of the fact.
 
     Items take their family first, so the fact is shuffled at most once.
     """
@@ -85,6 +91,7 @@ def int_transactions(
             "date",
             "day_of_week",
             fn.is_return(F.col("quantity_amount"), F.col("total_price_eur")).alias("is_return"),
+            *also,
         )
     )
 
@@ -131,27 +138,33 @@ def int_invoices(transactions: DataFrame, dim_date: DataFrame, dim_location: Dat
     return _named_invoices(rolled, dim_date, dim_location)
 
 
-def _on_first_day(column: str) -> Column:
-    """Smallest known value of an int column on the earliest day that has one.
+def _of_first_line(column: str) -> Column:
+    """Known value of an int column on the earliest line that has one; the smallest of lines at the same time.
 
-    Day and value are packed into one long, so the minimum is kept in a hash
+    Time and value are packed into one decimal, so the minimum is kept in a hash
     table; a minimum over a struct would sort every task's rows first.
     """
-    day = F.coalesce(F.col("date_id"), F.lit(INT_MAX)).cast("bigint")
-    packed = F.shiftleft(day, 32) + (F.col(column).cast("bigint") + INT_MAX + 1)
-    value = F.min(packed).bitwiseAND(F.lit((1 << 32) - 1)) - (INT_MAX + 1)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(TIME))
+    late = F.lit(2**62)
+    packed = F.coalesce(micros, late).cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + (
+        F.col(column).cast("bigint") + INT_MAX + 1
+    ).cast("decimal(10,0)")
+    value = F.pmod(F.min(packed), F.lit(10**10).cast("decimal(11,0)")).cast("bigint") - (INT_MAX + 1)
     return value.cast("int").alias(column)
 
 
-def invoice_first(transactions: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """One row per invoice: first known day, customer and country, missing flags as false."""
+def invoice_first(timed: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """One row per invoice: day, customer and country of the first line that has one, missing flags as false.
+
+    ``timed`` are the transactions with the time of each (``int_transactions``, also ``TIME``).
+    """
     rolled = (
-        transactions.filter(F.col("invoice_id").isNotNull())
+        timed.filter(F.col("invoice_id").isNotNull())
         .groupBy("invoice_id")
         .agg(
-            F.min("date_id").alias("date_id"),
-            _on_first_day("customer_id"),
-            _on_first_day("country_id"),
+            _of_first_line("date_id"),
+            _of_first_line("customer_id"),
+            _of_first_line("country_id"),
             *_invoice_measures(),
             *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(_has(flag)) for flag in INVOICE_FLAGS],
         )
@@ -176,11 +189,10 @@ def favorite_category(transactions: DataFrame) -> DataFrame:
 
 
 def _customer_measures(transactions_unique: bool) -> list[Column]:
-    transactions = F.count(F.lit(1)) if transactions_unique else F.countDistinct("transaction_id")
     return [
         F.sum("total_price_eur").cast(MONEY_SUM).alias("amount"),
         F.sum("quantity_amount").alias("total_quantity"),
-        transactions.alias("total_transactions"),
+        _transactions(transactions_unique).alias("total_transactions"),
         F.countDistinct("invoice_id").alias("total_invoices"),
         F.count_if("is_return").alias("total_returns"),
     ]

@@ -10,7 +10,8 @@ from tillmart.schemas import FLAGS
 
 MISSING_TEXT = "nan"
 SHORT_TEXT = 13
-PER_PART = 10_000
+#: Texts of a family that make one part.
+PER_PART = 4
 
 
 def description_order(items: DataFrame, missing: str = MISSING_TEXT) -> DataFrame:
@@ -76,8 +77,9 @@ def plain_items(items: DataFrame) -> DataFrame:
 
 
 def family_text(items: DataFrame, per_part: int = PER_PART) -> DataFrame:
-    texts = plain_items(items).select("item_family_id", "item_description")
-    return join_texts(texts, "item_family_id", "item_description", "family_text", per_part)
+    """Texts of each family in order, joined, ``per_part`` to a part."""
+    texts = plain_items(items).select("item_family_id", "item_description", "item_uuid", "item_id")
+    return join_texts(texts, "item_family_id", "item_description", "family_text", per_part, ["item_uuid", "item_id"])
 
 
 def family_words(items: DataFrame) -> DataFrame:
@@ -93,7 +95,7 @@ def family_words(items: DataFrame) -> DataFrame:
 
 
 def family_top_words(items: DataFrame, per_part: int = PER_PART) -> DataFrame:
-    """Family description: its most frequent words."""
+    """Family description: its most frequent words, in order, ``per_part`` to a part."""
     return join_texts(family_words(items), "item_family_id", "word", "item_family_description", per_part)
 
 

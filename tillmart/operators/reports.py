@@ -41,3 +41,13 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         )
         counts = size if counts is None else counts.unionByName(size)
     return counts
+
+
+def table_sums(tables: dict[str, DataFrame], summed: dict[str, str]) -> DataFrame:
+    """Rows of each table and the sum of one of its columns."""
+    sums = None
+    for name, column in summed.items():
+        size = tables[name].agg(F.count("*").alias("n_rows"), F.sum(F.col(column).cast("decimal(28,2)")).cast("double").alias("total"))
+        size = size.select(F.lit(name).alias("table_name"), "n_rows", "total")
+        sums = size if sums is None else sums.unionByName(size)
+    return sums

@@ -31,6 +31,7 @@ def typed_sales(
     ).withColumn("date", F.to_date("event_timestamp_invoiced_at"))
 
 
+# Columns of the staging table.
 STAGING_COLUMNS = [
     "invoice_id",
     "item_id",

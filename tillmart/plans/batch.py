@@ -2,12 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillmart.operators import dimensions as dim, marts, quality, staging
 from tillmart.schemas import TABLES, as_published, conform
 from tillmart.sources.files import read_parquet, write_parquet, write_partitions
-from tillmart.sources.tables import create_or_replace, in_database, load_typed, publish_table
+from tillmart.sources.tables import in_database, load_typed, over_folder, publish_table
 
 LOADED = ["dim_customers", "dim_date", "dim_item_family", "dim_items", "dim_location", "fact_transactions"]
 
@@ -19,12 +19,26 @@ PUBLISHED = {
 }
 
 
+#: Tables that a build can partition by year and month, by the column that says when.
+DATED = {"fact_transactions": marts.TIME, "int_transactions": "date"}
+MONTH = ["year", "month"]
+
+#: Readings of the item flags that a build can have.
+FLAG_READINGS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "exact": lambda items: items,
+    "ignore-case": dim.flags_ignoring_case,
+    "null-unknown": dim.null_text_is_unknown,
+}
+
+
 class Lake:
     """Tables of one build, each written under ``out`` when it is first needed.
 
     A table's plan reads the tables before it from storage. So transaction ids
     are fixed, no step repeats another's work, a lost executor costs one step,
     and the planner knows real sizes when it picks a side to broadcast.
+    ``monthly`` lays the fact and the transactions mart out by month, which changes
+    their folders, not their columns.
     """
 
     def __init__(
@@ -35,6 +49,7 @@ class Lake:
         out: str,
         locations: DataFrame | None = None,
         monthly: bool = False,
+        flags: str = "exact",
     ):
         self.spark = spark
         self.raw_sales = raw_sales
@@ -42,6 +57,7 @@ class Lake:
         self.out = out
         self.locations = locations
         self.monthly = monthly
+        self.flags = FLAG_READINGS[flags]
         self._written: dict[str, DataFrame] = {}
         self._unique: bool | None = None
 
@@ -53,17 +69,26 @@ class Lake:
         if name not in self._written:
             path, rows = f"{self.out}/{name}", self.plan(name)
             if name in TABLES:
-                write_parquet(conform(rows, TABLES[name]), path)
-                self._written[name] = read_parquet(self.spark, path, TABLES[name])
-            elif name == "int_transactions" and self.monthly:
-                dated = rows.withColumns({"year": F.year("date"), "month": F.month("date")})
-                write_partitions(dated, path, "year", "month", dynamic=False)
-                self._written[name] = read_parquet(self.spark, path)
+                rows = conform(rows, TABLES[name])
+            if self.monthly and name in DATED:
+                when = F.col(DATED[name])
+                write_partitions(rows.withColumns({"year": F.year(when), "month": F.month(when)}), path, *MONTH, dynamic=False)
             else:
                 write_parquet(rows, path)
-                self._written[name] = read_parquet(self.spark, path)
+            schema = TABLES.get(name)
+            back = read_parquet(self.spark, path, schema)
+            self._written[name] = back.drop(*MONTH) if name in DATED else back
         return self._written[name]
 
+    def month(self, name: str, year: int, month: int) -> DataFrame:
+        """A month's rows of a table of ``DATED``; of a monthly build, only that month's folder is read."""
+        rows = self.table(name)
+        if self.monthly:
+            rows = read_parquet(self.spark, f"{self.out}/{name}")
+            return rows.filter((F.col("year") == year) & (F.col("month") == month)).drop(*MONTH)
+        when: Column = F.col(DATED[name])
+        return rows.filter((F.year(when) == year) & (F.month(when) == month))
+
     @property
     def keys_unique(self) -> bool:
         """Whether no dimension key is repeated, so that a transaction is one row of its mart."""
@@ -72,7 +97,9 @@ class Lake:
                 (self.table("dim_items"), "item_uuid"),
                 (self.table("dim_item_family"), "item_family_id"),
                 (self.table("dim_date"), "date_id"),
+                (self.table("dim_date"), "date"),
                 (self.table("dim_location"), "country_id"),
+                (self.table("dim_location"), "country_name"),
             )
         return self._unique
 
@@ -87,10 +114,12 @@ BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "dim_item_family": lambda lake: dim.dim_item_family(lake.raw_families),
     "dim_date": lambda lake: dim.dim_date(lake.spark),
     "dim_location": lambda lake: dim.dim_location(lake.spark) if lake.locations is None else lake.locations,
-    "dim_items": _with_star(dim.dim_items, "stg_transactions"),
+    "dim_items": lambda lake: lake.flags(dim.dim_items(lake.table("stg_transactions"))),
     "dim_customers": lambda lake: dim.dim_customers(lake.table("stg_transactions"), dim.name_pool(lake.spark)),
     "fact_transactions": _with_star(staging.fact_transactions, "stg_transactions", "dim_date", "dim_location"),
-    "int_items": _with_star(marts.int_items, "fact_transactions", "dim_items", "dim_item_family"),
+    "int_items": lambda lake: marts.int_items(
+        lake.table("fact_transactions"), lake.table("dim_items"), lake.table("dim_item_family"), lake.keys_unique
+    ),
     "int_transactions": _with_star(
         marts.int_transactions, "fact_transactions", "dim_items", "dim_item_family", "dim_date", "dim_location"
     ),
@@ -106,12 +135,10 @@ def run_batch(
     out: str,
     locations: DataFrame | None = None,
     monthly: bool = False,
+    flags: str = "exact",
 ) -> dict[str, DataFrame]:
-    """Write every table under ``out``; a rerun replaces them all.
-
-    ``monthly`` partitions the transactions mart by year and month.
-    """
-    lake = Lake(spark, raw_sales, raw_families, out, locations, monthly)
+    """Write every table under ``out``; a rerun replaces them all. Options: see ``Lake`` and ``FLAG_READINGS``."""
+    lake = Lake(spark, raw_sales, raw_families, out, locations, monthly, flags)
     tables = {name: lake.table(name) for name in BUILDERS}
     for published, source in PUBLISHED.items():
         tables[published] = as_published(tables[source])
@@ -119,10 +146,11 @@ def run_batch(
 
 
 def load_warehouse(spark: SparkSession, out: str, database: str, location: str | None = None) -> None:
-    """Catalog tables of a finished build: typed star schema, marts, and their published copies."""
+    """Catalog tables of a finished build, over its folders: star schema, marts, and their published views."""
     with in_database(spark, database, location):
         for name in LOADED:
             load_typed(spark, f"{out}/{name}", name, TABLES[name])
         for published, source in PUBLISHED.items():
-            create_or_replace(read_parquet(spark, f"{out}/{source}"), source)
+            columns = read_parquet(spark, f"{out}/{source}").drop(*MONTH).columns
+            over_folder(spark, f"{out}/{source}", source, columns)
             publish_table(spark, source, published)

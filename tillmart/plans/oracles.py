@@ -1,6 +1,6 @@
 """Each checked query as SQL for DuckDB, written apart from the Spark plans."""
 
-from tillmart.functions.places import COUNTRY_LOCALES, DEFAULT_LOCALE, FEED_COUNTRIES, NAMES
+from tillmart.functions.places import COUNTRY_LOCALES, DEFAULT_LOCALE, LOCATIONS, NAMES
 from tillmart.functions.vocabulary import (
     ADDED_TEXTS,
     CATEGORY_RULES,
@@ -26,11 +26,10 @@ def _in_texts(flag: str) -> str:
 _ODD = " ".join(f"WHEN l_partkey % {divisor} = 0 THEN {_text(odd)}" for divisor, odd in ODD_DESCRIPTIONS)
 _NATIONS = ", ".join(f"({k}, {_text(feed_country(k, ''))})" for k in range(25) if k % 5 != 4)
 _PLACES = ", ".join(
-    f"({number}, {_text(iso)}, {_text(name)}, {_text(code)})" for number, iso, name, code in FEED_COUNTRIES
+    f"({number}, {_text(iso)}, {_text(name)}, {_text(code)})" for number, iso, name, code in LOCATIONS
 )
 _POOL = ", ".join(
-    f"({_text(country)}, [{_texts(NAMES.get(locale[:2], NAMES['en'])[0])}],"
-    f" [{_texts(NAMES.get(locale[:2], NAMES['en'])[1])}])"
+    f"({_text(country)}, [{_texts(NAMES[locale[:2]][0])}], [{_texts(NAMES[locale[:2]][1])}])"
     for country, locale in COUNTRY_LOCALES.items()
 )
 _LOCALES = ", ".join(f"({_text(country)}, {_text(locale)})" for country, locale in COUNTRY_LOCALES.items())
@@ -42,6 +41,16 @@ _ADDED = ", ".join(f"({_text(name)}, {_text(text)})" for name, texts in ADDED_TE
 _RULES = ", ".join(
     f"({number}, {_text(word)}, {_text(category)})" for number, (word, category) in enumerate(CATEGORY_RULES, 1)
 )
+# A record with a quoted line break is two lines.
+_TORN = "l_orderkey % 229 = 0 AND l_linenumber = 2"
+
+
+def _int(column: str) -> str:
+    """Whole part of a plain number."""
+    whole = f"try_cast(split_part({column}, '.', 1) AS INT)"
+    return f"CASE WHEN regexp_full_match({column}, '[+-]?[0-9]+([.][0-9]*)?') THEN {whole} END"
+
+
 _FLAGS = "is_operational_item, is_unknown_item, is_special_item, is_modification_item, is_error_item"
 _NO_FLAG = "NOT (is_operational_item OR is_unknown_item OR is_special_item OR is_modification_item OR is_error_item)"
 
@@ -68,26 +77,28 @@ raw AS (
       WHEN l_linenumber = 6 THEN 'new ' || lower(p_name)
       WHEN l_linenumber = 5 AND l_partkey % 3 = 0 THEN 'MINI'
       ELSE upper(p_name) END AS Description,
-    CASE WHEN l_orderkey % 211 = 0 THEN 'n/a'
+    CASE WHEN l_orderkey % 211 = 0 THEN 'n/a' WHEN l_orderkey % 233 = 0 THEN NULL
       ELSE CAST(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS INT) AS VARCHAR)
+        || CASE WHEN l_orderkey % 251 = 0 THEN '.75' ELSE '' END
     END AS Quantity,
-    CASE WHEN l_orderkey % 199 = 0 THEN 'unknown'
+    CASE WHEN l_orderkey % 199 = 0 THEN 'unknown' WHEN l_orderkey % 241 = 0 THEN NULL
       WHEN l_orderkey % 193 = 0 THEN strftime(moment, '%-m/%-d/%Y %-H:%M')
       ELSE strftime(moment, '%-m/%-d/%y %-H:%M') END AS InvoiceDate,
-    CASE WHEN l_orderkey % 223 = 0 THEN 'free'
+    CASE WHEN l_orderkey % 223 = 0 THEN 'free' WHEN l_orderkey % 239 = 0 THEN NULL
       ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS UnitPrice,
     CASE WHEN l_orderkey % 10 = 0 THEN NULL
       WHEN l_orderkey % 101 = 0 THEN 'x'
+      WHEN l_orderkey % 107 = 0 THEN '1e3'
       WHEN l_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) || '.0'
       ELSE CAST(o_custkey AS VARCHAR) END AS CustomerID,
     CASE WHEN l_orderkey % 17 = 0 THEN 'EIRE' ELSE coalesce(name, n_name) END AS Country
-  FROM lines),
+  FROM lines WHERE NOT (l_orderkey % 229 = 0 AND l_linenumber = 2)),
 stg AS (
-  SELECT
+  SELECT row_number() OVER () AS id,
     InvoiceNo AS invoice_id, StockCode AS item_id, Description AS item_description,
-    try_cast(try_cast(Quantity AS DECIMAL(20,4)) AS INT) AS quantity_amount,
+    {_int("Quantity")} AS quantity_amount,
     try_cast(UnitPrice AS DECIMAL(18,4)) AS unit_price,
-    try_cast(try_cast(CustomerID AS DECIMAL(20,4)) AS INT) AS customer_id,
+    {_int("CustomerID")} AS customer_id,
     Country AS country_name, InvoiceDate AS raw_invoice_date,
     try_strptime(InvoiceDate, '%m/%d/%y %H:%M') AS event_timestamp_invoiced_at,
     sha256(concat_ws('_', StockCode, Description)) AS item_uuid,
@@ -110,7 +121,7 @@ items AS (
     {_in_texts('is_modification_item')}, {_in_texts('is_error_item')}
   FROM (SELECT DISTINCT item_uuid, item_id, item_description FROM stg)),
 fact AS (
-  SELECT row_number() OVER () AS id, stg.* EXCLUDE (country_name, date),
+  SELECT stg.* EXCLUDE (country_name, date),
     CASE WHEN date BETWEEN DATE '2009-01-01' AND DATE '2025-12-31'
       THEN CAST(date_diff('day', DATE '2009-01-01', date) + 1 AS INT) END AS date_id,
     CAST(round(quantity_amount * unit_price, 2) AS DECIMAL(18,2)) AS total, country_id
@@ -119,7 +130,7 @@ sold AS (
   SELECT f.id, f.invoice_id, f.item_uuid, i.item_id, i.item_description, i.item_family_id,
     c.item_family_description, c.item_category, i.item_variant, {_FLAGS},
     CAST(round(f.unit_price, 2) AS DECIMAL(18,2)) AS price, f.total, f.quantity_amount, f.customer_id,
-    p.country_id, p.country_name, f.date_id,
+    p.country_id, p.country_name, f.date_id, f.event_timestamp_invoiced_at AS moment,
     CAST(DATE '2009-01-01' + (f.date_id - 1) AS DATE) AS date,
     dayname(DATE '2009-01-01' + (f.date_id - 1)) AS day_of_week,
     coalesce({_NO_FLAG} AND (f.quantity_amount < 0 OR f.total < 0), false) AS is_return
@@ -156,8 +167,9 @@ _INVOICE_MART = f"""SELECT invoice_id, date_id, date, customer_id, country_name,
 FROM sold GROUP BY invoice_id, date_id, date, customer_id, country_name, day_of_week, country_id"""
 
 
-def _earliest(column: str) -> str:
-    return f"first({column} ORDER BY date ASC NULLS LAST, {column}) FILTER ({column} IS NOT NULL) AS {column}"
+def _earliest(column: str, key: str) -> str:
+    """Value of the first line with a known key; of lines at the same time that with the smallest key."""
+    return f"first({column} ORDER BY moment ASC NULLS LAST, {key}) FILTER ({key} IS NOT NULL) AS {column}"
 
 
 _CUSTOMER_MEASURES = """CAST(sum(total) AS DOUBLE) AS total_sales_amount,
@@ -191,7 +203,7 @@ _FIRST_COUNTRY = """first_country AS (
 
 _DIM_CUSTOMERS = f"""{_FIRST_COUNTRY},
 pool AS (
-  SELECT country_name, idx, first[idx % 5 + 1] || ' ' || last[(idx // 5 + idx) % 5 + 1] AS customer_name
+  SELECT country_name, idx, first[idx % 6 + 1] || ' ' || last[idx // 6 % 5 + 1] AS customer_name
   FROM (VALUES {_POOL}) AS v(country_name, first, last), range(30) AS r(idx)),
 customers AS (
   SELECT customer_id, coalesce(customer_name, 'Unknown') AS customer_name
@@ -217,7 +229,7 @@ known AS (
   UNION SELECT * FROM (VALUES {_ADDED}) AS v(item_class, item_description))"""
 
 _WORDS = f"""plain AS (
-  SELECT item_family_id, item_description FROM items
+  SELECT item_family_id, item_description, item_uuid, item_id FROM items
   WHERE {_NO_FLAG} AND item_family_id IS NOT NULL AND item_description IS NOT NULL),
 word_counts AS (
   SELECT item_family_id, word, count(*) AS n
@@ -236,12 +248,11 @@ def _check(name: str, condition: str, table: str) -> str:
 
 _QUALITY = " UNION ALL ".join(
     [
-        _check("feed_lines", "true", "raw"),
-        _check("rejected_quantity", "Quantity IS NOT NULL AND try_cast(Quantity AS DECIMAL(20,4)) IS NULL", "raw"),
+        f"SELECT 'feed_lines' AS check_name, count(*) + count(*) FILTER ({_TORN}) AS n_rows FROM lines",
+        f"SELECT 'malformed_lines' AS check_name, 2 * count(*) FILTER ({_TORN}) AS n_rows FROM lines",
+        _check("rejected_quantity", f"Quantity IS NOT NULL AND {_int('Quantity')} IS NULL", "raw"),
         _check("rejected_price", "UnitPrice IS NOT NULL AND try_cast(UnitPrice AS DECIMAL(18,4)) IS NULL", "raw"),
-        _check(
-            "rejected_customer", "CustomerID IS NOT NULL AND try_cast(CustomerID AS DECIMAL(20,4)) IS NULL", "raw"
-        ),
+        _check("rejected_customer", f"CustomerID IS NOT NULL AND {_int('CustomerID')} IS NULL", "raw"),
         _check(
             "rejected_date",
             "InvoiceDate IS NOT NULL AND try_strptime(InvoiceDate, '%m/%d/%y %H:%M') IS NULL",
@@ -249,6 +260,9 @@ _QUALITY = " UNION ALL ".join(
         ),
         _check("missing_description", "Description IS NULL", "raw"),
         _check("missing_customer", "CustomerID IS NULL", "raw"),
+        _check("missing_quantity", "Quantity IS NULL", "raw"),
+        _check("missing_price", "UnitPrice IS NULL", "raw"),
+        _check("missing_date", "InvoiceDate IS NULL", "raw"),
         _check("fact_without_time", "event_timestamp_invoiced_at IS NULL", "fact"),
         _check("fact_outside_calendar", "event_timestamp_invoiced_at IS NOT NULL AND date_id IS NULL", "fact"),
         _check("fact_without_country", "country_id IS NULL", "fact"),
@@ -274,10 +288,45 @@ _QUALITY = " UNION ALL ".join(
             ("country_name", "places"),
         )
     ]
-    + ["SELECT 'repeated_date_id' AS check_name, CAST(0 AS BIGINT) AS n_rows"]
+    + [f"SELECT 'repeated_{key}' AS check_name, CAST(0 AS BIGINT) AS n_rows" for key in ("date_id", "date")]
 )
 
 
+_DATES = """dates AS (
+  SELECT date, CAST(date_diff('day', DATE '2009-01-01', date) + 1 AS INT) AS date_id, CAST(year(date) AS INT) AS year,
+    CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day, dayname(date) AS day_of_week,
+    dayofweek(date) IN (0, 6) AS is_weekend
+  FROM (SELECT CAST(unnest(generate_series(DATE '2009-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS DATE) AS date))"""
+
+# Table, summed column, columns.
+_SUMS = {
+    "stg_transactions": ("stg", "quantity_amount", 12),
+    "dim_customers": ("customers", "customer_id", 2),
+    "dim_date": ("dates", "date_id", 7),
+    "dim_item_family": ("families", "item_family_id", 3),
+    "dim_items": ("items", "item_family_id", 10),
+    "dim_location": ("places", "country_id", 4),
+    "fact_transactions": ("fact", "total", 11),
+    "int_items": (f"({_ITEM_MART})", "total_sales_amount", 14),
+    "int_transactions": ("sold", "total", 23),
+    "int_invoices": (f"({_INVOICE_MART})", "total_invoice_amount", 16),
+    "int_customers": ("customer_mart", "total_sales_amount", 9),
+}
+
+
+def _sums(names: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{shown}' AS table_name, count(*) AS n_rows,"
+        f" CAST(sum(CAST({_SUMS[name][1]} AS DECIMAL(28,2))) AS DOUBLE) AS total FROM {_SUMS[name][0]}"
+        for shown, name in names.items()
+    )
+
+
+def _draw(*columns: str) -> str:
+    values = ", ".join(f"coalesce(CAST({column} AS VARCHAR), '<null>')" for column in columns)
+    return f"md5(concat_ws('|', '7', {values}))"
+
+
 def _with(*parts: str) -> str:
     *tables, query = parts
     return "WITH " + ",\n".join([_FEED, *tables]) + "\n" + query
@@ -306,13 +355,14 @@ def oracle_sql() -> dict[str, str]:
         "stg_transactions": _with(_STAGED),
         "dim_item_family": _with("SELECT * FROM families"),
         "dim_date": _with(
-            """SELECT date, CAST(date_diff('day', first, date) + 1 AS INT) AS date_id, CAST(year(date) AS INT) AS year,
-  CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day, dayname(date) AS day_of_week,
-  dayofweek(date) IN (0, 6) AS is_weekend
-FROM (SELECT first, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date
-  FROM (SELECT make_date(year(min(date)), 1, 1) AS first, make_date(year(max(date)), 12, 31) AS last FROM stg))"""
+            _DATES,
+            """SELECT dates.*, coalesce(n_lines, 0) AS n_lines FROM dates
+LEFT JOIN (SELECT date, count(*) AS n_lines FROM stg GROUP BY date) USING (date)""",
+        ),
+        "dim_location": _with(
+            """SELECT places.*, coalesce(n_lines, 0) AS n_lines FROM places
+LEFT JOIN (SELECT country_name, count(*) AS n_lines FROM stg GROUP BY country_name) USING (country_name)"""
         ),
-        "dim_location": _with("SELECT * FROM places WHERE country_name IN (SELECT country_name FROM stg)"),
         "dim_items": _with(items),
         "dim_customers": _with(_DIM_CUSTOMERS, "SELECT * FROM customers"),
         "fact_transactions": _with(_FACT),
@@ -325,8 +375,9 @@ FROM (SELECT first, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS
         "int_invoices": _with(_INVOICE_MART),
         "int_customers": _with(_CUSTOMERS, "SELECT * FROM customer_mart"),
         "invoice_first": _with(
-            f"""SELECT invoice_id, {', '.join(map(_earliest, ('date_id', 'date', 'customer_id', 'country_name',
-                                                              'day_of_week', 'country_id')))},
+            f"""SELECT invoice_id, {', '.join(_earliest(column, key) for column, key in (
+      ('date_id', 'date_id'), ('date', 'date_id'), ('day_of_week', 'date_id'), ('customer_id', 'customer_id'),
+      ('country_id', 'country_id'), ('country_name', 'country_id')))},
   {_INVOICE_MEASURES}, {', '.join(
       has.replace('bool_or', 'coalesce(bool_or', 1).replace(') AS', '), false) AS', 1) for has in _HAS)}
 FROM sold GROUP BY invoice_id"""
@@ -380,20 +431,37 @@ WHERE customer_id IS NOT NULL AND country_name IS NOT NULL AND event_timestamp_i
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp_invoiced_at, country_name) = 1"""
         ),
         "sample_one_per_key": _with(
-            "SELECT DISTINCT customer_id, CAST(1 AS BIGINT) AS n_rows FROM stg WHERE customer_id IS NOT NULL"
+            f"""SELECT customer_id, invoice_id, item_id, quantity_amount FROM stg WHERE customer_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY customer_id
+  ORDER BY {_draw('customer_id', 'invoice_id', 'item_id', 'quantity_amount')}) = 1"""
+        ),
+        "sample_rows": _with(items + f" ORDER BY {_draw('item_uuid', 'item_id', 'item_description')} LIMIT 20"),
+        "landing_inventory": " UNION ALL ".join(
+            f"SELECT '{name}.parquet' AS file, count(*) AS n_rows FROM {name}"
+            for name in ("customer", "lineitem", "nation", "orders", "part")
         ),
+        "full_build": _with(_DIM_CUSTOMERS, _DATES, _CUSTOMERS, _sums({name: name for name in _SUMS})),
+        "warehouse": _with(
+            _DIM_CUSTOMERS,
+            _DATES,
+            _CUSTOMERS,
+            _sums(
+                {
+                    name.replace("int_", "etl_"): name
+                    for name in _SUMS
+                    if name != "stg_transactions"
+                }
+            ),
+        ),
+        "incremental_fact": _with(_FACT),
         "preview_limit": _with(items + " ORDER BY item_uuid, item_id, item_description LIMIT 20"),
         "table_counts": _with(
             _DIM_CUSTOMERS,
+            _DATES,
+            _CUSTOMERS,
             " UNION ALL ".join(
                 f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST({width} AS INT) AS n_columns FROM {table}"
-                for name, table, width in (
-                    ("dim_customers", "customers", 2),
-                    ("dim_item_family", "families", 3),
-                    ("dim_items", "items", 10),
-                    ("fact_transactions", "fact", 11),
-                    ("stg_transactions", "stg", 12),
-                )
+                for name, (table, _, width) in _SUMS.items()
             ),
         ),
         "description_order": _with(_WEIRD, "SELECT * FROM ordered"),
@@ -405,13 +473,16 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp_inv
         ),
         "family_text": _with(
             _WORDS,
-            """SELECT item_family_id, CAST(0 AS INT) AS part,
-  string_agg(item_description, ' ' ORDER BY item_description) AS family_text FROM plain GROUP BY item_family_id""",
+            """SELECT item_family_id, CAST((n - 1) // 4 AS INT) AS part, string_agg(item_description, ' ' ORDER BY n) AS family_text
+FROM (SELECT item_family_id, item_description, row_number() OVER (
+    PARTITION BY item_family_id ORDER BY item_description, item_uuid, item_id) AS n FROM plain)
+GROUP BY item_family_id, part""",
         ),
         "family_top_words": _with(
             _WORDS,
-            """SELECT item_family_id, CAST(0 AS INT) AS part,
-  string_agg(word, ' ' ORDER BY word) AS item_family_description FROM top_words GROUP BY item_family_id""",
+            """SELECT item_family_id, CAST((n - 1) // 4 AS INT) AS part, string_agg(word, ' ' ORDER BY n) AS item_family_description
+FROM (SELECT item_family_id, word, row_number() OVER (PARTITION BY item_family_id ORDER BY word) AS n FROM top_words)
+GROUP BY item_family_id, part""",
         ),
         "family_category": _with(
             _WORDS,

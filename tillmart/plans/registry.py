@@ -1,14 +1,13 @@
 """The checked queries, each over the whole order tables of a scale folder."""
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.functions import columns as fn
-from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports
-from tillmart.plans.batch import Lake
+from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports, staging
+from tillmart.plans.batch import LOADED, PUBLISHED, Lake, load_warehouse, run_batch
 from tillmart.schemas import RAW_FAMILIES, RAW_SALES, TABLES, as_published
 from tillmart.session import shared_dir
 from tillmart.sources import files, order_tables, tables
@@ -17,26 +16,59 @@ from tillmart.streaming import incremental
 LOOKED_UP_INVOICE = "42"
 PREVIEW_ROWS = 20
 SAMPLE_ROWS = 20
+SAMPLE_SEED = 7
+ORDER_TABLES = ["customer", "lineitem", "nation", "orders", "part"]
+
+#: The column of each table whose sum a check compares.
+SUMMED = {
+    "stg_transactions": "quantity_amount",
+    "dim_customers": "customer_id",
+    "dim_date": "date_id",
+    "dim_item_family": "item_family_id",
+    "dim_items": "item_family_id",
+    "dim_location": "country_id",
+    "fact_transactions": "total_price_eur",
+    "int_items": "total_sales_amount",
+    "int_transactions": "total_price_eur",
+    "int_invoices": "total_invoice_amount",
+    "int_customers": "total_sales_amount",
+}
 
 
 class Star:
     """Tables over the order tables of one folder.
 
-    The feed is landed as CSV and the star schema written once per session and
-    state of the folder, under the shared folder; a query runs its own operator
-    on what is written.
+    The feed is landed as CSV and the star schema written when a query first needs
+    them, once per session, under one folder of the shared one; a query runs its own
+    operator on what is written.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.landing = self.path("landing")
-        files.write_csv(order_tables.raw_sales(spark, sf_dir), f"{self.landing}/retail", files.RETAIL_ENCODING)
-        files.write_csv(order_tables.raw_families(spark, sf_dir), f"{self.landing}/families")
-        self.raw = files.read_csv(spark, f"{self.landing}/retail", RAW_SALES, files.RETAIL_ENCODING)
-        self.raw_families = files.read_csv(spark, f"{self.landing}/families", RAW_FAMILIES)
-        self.lake = Lake(spark, self.raw, self.raw_families, self.path("star"))
+        self.root = shared_dir(spark, "star")
+
+    @cached_property
+    def landing(self) -> str:
+        path = self.path("landing")
+        files.write_csv(order_tables.raw_sales(self.spark, self.sf_dir), f"{path}/retail", files.RETAIL_ENCODING)
+        files.write_csv(order_tables.raw_families(self.spark, self.sf_dir), f"{path}/families")
+        return path
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """All records of the sales feed, malformed ones too."""
+        return files.read_csv(self.spark, f"{self.landing}/retail", RAW_SALES, files.RETAIL_ENCODING)
+
+    @cached_property
+    def raw_families(self) -> DataFrame:
+        return files.well_formed(files.read_csv(self.spark, f"{self.landing}/families", RAW_FAMILIES))
 
+    @cached_property
+    def lake(self) -> Lake:
+        return Lake(self.spark, self.raw, self.raw_families, self.path("star"))
+
+    raw = property(lambda self: files.well_formed(self.lines))
     stg = property(lambda self: self.lake.table("stg_transactions"))
     families = property(lambda self: self.lake.table("dim_item_family"))
     dates = property(lambda self: self.lake.table("dim_date"))
@@ -55,22 +87,29 @@ class Star:
     def classes(self) -> DataFrame:
         return mining.keyword_classes(self.odd_items())
 
+    def timed(self) -> DataFrame:
+        """The transactions with the time of each."""
+        return marts.int_transactions(self.fact, self.items, self.families, self.dates, self.places, marts.TIME)
+
     def path(self, name: str) -> str:
-        return shared_dir(self.spark, name)
+        return f"{self.root}/{name}"
+
+    def fresh(self, name: str) -> str:
+        """The path of a query's own files, without those of its last run."""
+        files.remove(self.spark, self.path(name))
+        return self.path(name)
+
+    def database(self, name: str) -> str:
+        return f"tillmart_{name}_{self.root[-8:]}"
 
 
 _STARS: dict[tuple, Star] = {}
 
 
-def star_of(spark: SparkSession, sf_dir: str) -> Star:
-    """The session's star over ``sf_dir``; a new one if the folder's files have changed."""
-    state = (
-        files.landing_inventory(spark, sf_dir)
-        .agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"))
-        .first()
-    )
-    key = (spark.sparkContext.applicationId, sf_dir, *state)
-    if key not in _STARS:
+def star_of(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Star:
+    """The session's star over ``sf_dir``; a new one on ``refresh``, as when the folder's files have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if refresh or key not in _STARS:
         _STARS[key] = Star(spark, sf_dir)
     return _STARS[key]
 
@@ -88,7 +127,7 @@ def csv_roundtrip(star: Star) -> DataFrame:
     path = star.path("csv_roundtrip")
     columns = {"item_family_id": "item_family", "item_category": "category"}
     files.write_csv(star.families.withColumnsRenamed(columns), path)
-    return dim.dim_item_family(files.read_csv(star.spark, path, RAW_FAMILIES))
+    return dim.dim_item_family(files.well_formed(files.read_csv(star.spark, path, RAW_FAMILIES)))
 
 
 def parquet_scan(star: Star) -> DataFrame:
@@ -117,55 +156,72 @@ def partition_overwrite(star: Star) -> DataFrame:
     return as_published(files.read_parquet(star.spark, path))
 
 
-def _database() -> str:
-    return f"tillmart_{uuid.uuid4().hex[:12]}"
+def _in_database(star: Star, name: str):
+    return tables.in_database(star.spark, star.database(name), star.path(f"{name}_db"))
 
 
 def typed_load(star: Star) -> DataFrame:
-    path, name = star.path("typed_load"), _database()
-    files.write_parquet(star.fact, path)
-    with tables.in_database(star.spark, name, star.path("typed_load_db")):
-        tables.load_typed(star.spark, path, "fact_transactions", TABLES["fact_transactions"])
-    return _without_id(star.spark.table(f"{name}.fact_transactions"))
+    star.fact  # noqa: B018  written before its folder is read
+    with _in_database(star, "typed_load"):
+        tables.load_typed(star.spark, f"{star.lake.out}/fact_transactions", "fact_transactions", TABLES["fact_transactions"])
+    return _without_id(star.spark.table(f"{star.database('typed_load')}.fact_transactions"))
+
+
+def warehouse(star: Star) -> DataFrame:
+    """Rows and sums of the loaded tables and of the published views of a whole build."""
+    out, name = star.path("warehouse"), star.database("warehouse")
+    run_batch(star.spark, star.raw, star.raw_families, out)
+    load_warehouse(star.spark, out, name, star.path("warehouse_db"))
+    loaded = {table: star.spark.table(f"{name}.{table}") for table in [*LOADED, *PUBLISHED]}
+    return reports.table_sums(loaded, {table: SUMMED[PUBLISHED.get(table, table)] for table in loaded})
 
 
 def ctas_replace(star: Star) -> DataFrame:
     """A table created from one query and replaced by another."""
-    name = _database()
-    with tables.in_database(star.spark, name, star.path("ctas_db")):
+    with _in_database(star, "ctas_replace"):
         tables.create_or_replace(star.families, "int_table")
         tables.create_or_replace(star.lake.plan("int_items"), "int_table")
-    return as_published(star.spark.table(f"{name}.int_table"))
+    return as_published(star.spark.table(f"{star.database('ctas_replace')}.int_table"))
 
 
 def publish_marts(star: Star) -> DataFrame:
-    name = _database()
-    with tables.in_database(star.spark, name, star.path("publish_db")):
+    with _in_database(star, "publish_marts"):
         tables.create_or_replace(star.lake.plan("int_invoices"), "int_invoices")
         tables.publish_table(star.spark, "int_invoices", "etl_invoices")
-    return star.spark.table(f"{name}.etl_invoices")
+    return star.spark.table(f"{star.database('publish_marts')}.etl_invoices")
 
 
-def incremental_load(star: Star) -> DataFrame:
+def _loaded_in_drops(star: Star, name: str, follow=None) -> str:
     """The feed landed in two drops, loaded after each, and once more with nothing new."""
-    landing, target, checkpoint = star.path("drops"), star.path("staged"), star.path("stream")
+    where = star.fresh(name)
     anonymous = F.col("CustomerID").isNull()
     for drop in (star.raw.filter(anonymous), star.raw.filter(~anonymous), None):
         if drop is not None:
-            drop.write.mode("append").parquet(landing)
-        incremental.load_new(star.spark, landing, RAW_SALES, target, checkpoint, incremental.stage_load)
-    return _without_id(files.read_parquet(star.spark, target).drop("load_id"))
+            drop.write.mode("append").parquet(f"{where}/drops")
+        incremental.load_new(star.spark, f"{where}/drops", RAW_SALES, f"{where}/staged", f"{where}/check", follow=follow and follow(where))
+    return where
 
 
-def landing_inventory(star: Star) -> DataFrame:
-    return files.landing_inventory(star.spark, star.sf_dir, "*.parquet")
+def incremental_load(star: Star) -> DataFrame:
+    where = _loaded_in_drops(star, "incremental_load")
+    return _without_id(files.read_parquet(star.spark, f"{where}/staged").drop("load_id"))
 
 
-def feed_locations(star: Star) -> DataFrame:
-    """Location rows the feed uses."""
-    return star.places.join(star.stg.select("country_name").distinct(), "country_name", "left_semi").select(
-        TABLES["dim_location"].fieldNames()
-    )
+def incremental_fact(star: Star) -> DataFrame:
+    """The fact, built from each load's staged rows."""
+
+    def follow(where: str):
+        build = lambda staged: staging.fact_transactions(staged, star.dates, star.places)
+        return incremental.fact_follows(build, f"{where}/fact")
+
+    where = _loaded_in_drops(star, "incremental_fact", follow)
+    return _without_id(files.read_parquet(star.spark, f"{where}/fact").drop("load_id"))
+
+
+def with_lines(star: Star, dimension: DataFrame, key: str) -> DataFrame:
+    """Every row of the dimension, with the number of staged lines that have its key."""
+    lines = star.stg.groupBy(key).agg(F.count("*").alias("n_lines"))
+    return dimension.join(lines, key, "left").select(*dimension.columns, F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 def transaction_id_unique(star: Star) -> DataFrame:
@@ -223,17 +279,15 @@ def dedup_keep_first(star: Star) -> DataFrame:
 
 
 def sample_one_per_key(star: Star) -> DataFrame:
-    """Customers with one drawn line each; the line itself is random."""
+    """Customers with one drawn line each."""
     lines = star.stg.dropna(subset=["customer_id"]).select(
         "customer_id", "invoice_id", "item_id", "quantity_amount"
     )
-    return grouped.one_per_key(lines, ["customer_id"], seed=7).groupBy("customer_id").agg(
-        F.count("*").alias("n_rows")
-    )
+    return grouped.one_per_key(lines, ["customer_id"], seed=SAMPLE_SEED)
 
 
 def sample_rows(star: Star) -> DataFrame:
-    return grouped.sample_rows(star.items, SAMPLE_ROWS, seed=7)
+    return grouped.sample_rows(star.items, SAMPLE_ROWS, SAMPLE_SEED, ["item_uuid", "item_id", "item_description"])
 
 
 def preview_limit(star: Star) -> DataFrame:
@@ -241,19 +295,21 @@ def preview_limit(star: Star) -> DataFrame:
 
 
 def table_counts(star: Star) -> DataFrame:
-    return reports.table_counts(
-        {
-            "dim_customers": star.lake.table("dim_customers"),
-            "dim_item_family": star.families,
-            "dim_items": star.items,
-            "fact_transactions": star.fact,
-            "stg_transactions": star.stg,
-        }
-    )
+    return reports.table_counts({name: star.lake.table(name) for name in SUMMED})
+
+
+def full_build(star: Star) -> DataFrame:
+    """Rows and sums of all tables of a whole build."""
+    return reports.table_sums(run_batch(star.spark, star.raw, star.raw_families, star.path("full_build")), SUMMED)
+
+
+def built_customers(star: Star) -> DataFrame:
+    """The customer mart of a whole build."""
+    return run_batch(star.spark, star.raw, star.raw_families, star.path("entry"))["etl_customers"]
 
 
 def quality_report(star: Star) -> DataFrame:
-    return quality.quality_report(star.raw, star.fact, star.items, star.families, star.dates, star.places)
+    return quality.quality_report(star.lines, star.fact, star.items, star.families, star.dates, star.places)
 
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
@@ -265,12 +321,15 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "typed_load": typed_load,
     "ctas_replace": ctas_replace,
     "publish_marts": publish_marts,
+    "warehouse": warehouse,
+    "full_build": full_build,
     "incremental_load": incremental_load,
-    "landing_inventory": landing_inventory,
+    "incremental_fact": incremental_fact,
+    "landing_inventory": lambda star: files.rows_per_file(star.spark, star.sf_dir, ORDER_TABLES),
     "stg_transactions": planned("stg_transactions"),
     "dim_item_family": planned("dim_item_family"),
-    "dim_date": lambda star: dim.calendar_of(star.stg),
-    "dim_location": feed_locations,
+    "dim_date": lambda star: with_lines(star, star.dates, "date"),
+    "dim_location": lambda star: with_lines(star, star.places, "country_name"),
     "dim_items": planned("dim_items"),
     "dim_customers": planned("dim_customers"),
     "fact_transactions": planned("fact_transactions"),
@@ -278,7 +337,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "int_transactions": planned("int_transactions"),
     "int_invoices": planned("int_invoices"),
     "int_customers": planned("int_customers"),
-    "invoice_first": lambda star: as_published(marts.invoice_first(star.transactions, star.dates, star.places)),
+    "invoice_first": lambda star: as_published(marts.invoice_first(star.timed(), star.dates, star.places)),
     "customer_mode_category": lambda star: as_published(
         marts.customer_mode_category(star.transactions, star.lake.keys_unique)
     ),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# Columns of the raw feed.
 RAW_SALES = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -42,6 +43,7 @@ def _struct(**kinds: T.DataType) -> T.StructType:
 _INT, _LONG, _TEXT, _DAY, _YES = T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.BooleanType()
 _WALL_CLOCK = T.TimestampNTZType()
 
+# Columns of the tables.
 TABLES: dict[str, T.StructType] = {
     "stg_transactions": _struct(
         invoice_id=_TEXT,

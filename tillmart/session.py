@@ -24,20 +24,30 @@ def build_session(app_name: str = "tillmart", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """New path under the folder the cluster names for checkpoints.
+def application_dir(spark: SparkSession) -> str:
+    """Folder of this application under the folder the cluster names for checkpoints.
 
-    All paths of an application are in one folder with its id, to be removed when
-    it is done with. Only a local session may fall back to a folder of its own.
+    Only a local session may fall back to a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tillmart-")
         spark.sparkContext.setCheckpointDir(base)
-    application = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/tillmart/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tillmart/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """New path under the application's folder."""
+    return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_working_tables(spark: SparkSession) -> None:
+    """Removes the application's folder, when nothing reads it any more."""
+    from tillmart.sources.files import remove
+
+    remove(spark, application_dir(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,25 +1,47 @@
-"""Files in and out: CSV, Parquet, and the list of a landing folder."""
+"""Files in and out: CSV, Parquet, and the rows of a folder's files."""
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 RETAIL_ENCODING = "ISO-8859-1"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
+MALFORMED = "malformed_line"
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
     """CSV with a header row that must match ``schema``; doubled quotes are one quote.
 
-    Records end at line breaks, so that large files are split between tasks.
+    The column ``MALFORMED`` has the whole text of a record with too few or too many
+    fields, and NULL for others. Records end at line breaks, so that large files are
+    split between tasks; a record with a quoted line break then is two malformed lines.
+    With ``multi_line`` it is one record, and each file is read by one task.
     """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([*schema, T.StructField(MALFORMED, T.StringType())]))
         .option("header", True)
         .option("enforceSchema", False)
         .option("encoding", encoding)
         .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        # a record's fields are counted only if all are read
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
+def well_formed(lines: DataFrame) -> DataFrame:
+    """The records of ``read_csv`` that are not malformed, without that column.
+
+    Spark refuses to read the column of malformed records alone, as a count of rows would, so
+    the condition asks for a field, too.
+    """
+    field = F.coalesce(F.col(lines.columns[0]), F.lit(""))
+    return lines.filter(F.col(MALFORMED).isNull() & (F.length(field) >= 0)).drop(MALFORMED)
+
+
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     (
         df.write.mode("overwrite")
@@ -56,12 +78,30 @@ def write_partitions(df: DataFrame, path: str, *columns: str, dynamic: bool = Tr
     )
 
 
-def landing_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Name, size and time of each file; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length", "modificationTime")
-    )
+def rows_per_file(spark: SparkSession, folder: str, tables: list[str]) -> DataFrame:
+    """Rows of each table's files under ``folder``, by the name below it."""
+    rows = spark.read.schema("none int").parquet(*[f"{folder}/{table}.parquet" for table in tables])
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]*)?$", 1)
+    return rows.groupBy(name.alias("file")).agg(F.count("*").alias("n_rows"))
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _path(spark, path)
+    return system.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _path(spark, path)
+    system.delete(where, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly under ``path``, the latest first."""
+    system, where = _path(spark, path)
+    found = sorted(system.listStatus(where), key=lambda status: -status.getModificationTime()) if system.exists(where) else []
+    return [status.getPath().getName() for status in found]

@@ -2,8 +2,8 @@
 
 Every line item becomes one line of the feed, all columns text. Some values
 are made unreadable or odd on purpose, by rules over the keys, so that the
-feed has what a real one has: fees, damaged goods, missing descriptions,
-returns, anonymous buyers, dates in a wrong format. Lookups are left joins,
+feed has what a real one has: fees, damaged goods, missing descriptions and
+numbers, returns, anonymous buyers, dates in a wrong format, torn records. Lookups are left joins,
 so a line is never lost.
 """
 
@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _description(part_key, line_number, name):
+def _description(key, part_key, line_number, name):
     upper = F.upper(name)
     text = (
         F.when(line_number == 7, F.concat(upper, F.lit(" LARGE EDITION")))
@@ -41,7 +41,8 @@ def _description(part_key, line_number, name):
     )
     for divisor, odd in reversed(ODD_DESCRIPTIONS):
         text = F.when(part_key % divisor == 0, F.lit(odd).cast("string")).otherwise(text)
-    return text
+    # a quoted line break, which tears the record in two
+    return F.when((key % 229 == 0) & (line_number == 2), F.concat(upper, F.lit("\nSECOND LINE"))).otherwise(text)
 
 
 def _invoice_time(moment, year):
@@ -85,6 +86,7 @@ def _order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, line, item = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     quantity, buyer = F.col("l_quantity").cast("int"), F.col("buyer")
+    signed = F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity)
     return (
         _table(spark, sf_dir, "lineitem")
         .join(_order_texts(spark, sf_dir), key == F.col("o_orderkey"), "left")
@@ -100,19 +102,23 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                 )
             )
             .alias("StockCode"),
-            _description(item, line, F.col("p_name")).alias("Description"),
+            _description(key, item, line, F.col("p_name")).alias("Description"),
             F.when(key % 211 == 0, "n/a")
-            .otherwise(F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).cast("string"))
+            .when(key % 233 == 0, F.lit(None).cast("string"))
+            .otherwise(F.concat(signed.cast("string"), F.when(key % 251 == 0, ".75").otherwise("")))
             .alias("Quantity"),
             F.when(key % 199 == 0, "unknown")
+            .when(key % 241 == 0, F.lit(None).cast("string"))
             .when((key % 5 == 0) & (line == 7), F.col("next_day_time"))
             .otherwise(F.col("time"))
             .alias("InvoiceDate"),
             F.when(key % 223 == 0, "free")
+            .when(key % 239 == 0, F.lit(None).cast("string"))
             .otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
             .alias("UnitPrice"),
             F.when(key % 10 == 0, F.lit(None).cast("string"))
             .when(key % 101 == 0, "x")
+            .when(key % 107 == 0, "1e3")
             .when(key % 3 == 0, F.concat(buyer, F.lit(".0")))
             .otherwise(buyer)
             .alias("CustomerID"),

@@ -1,10 +1,15 @@
-"""Catalog tables: typed loads, create-or-replace and published copies."""
+"""Catalog tables over written folders: typed loads, create-or-replace, published views."""
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tillmart.schemas import as_published, conform
+from tillmart.schemas import conform
+from tillmart.sources.files import folders, remove
+
+#: Versions of a replaced table that stay: the current one, and one for those who still read it.
+KEPT_VERSIONS = 2
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -25,27 +30,49 @@ def in_database(spark: SparkSession, name: str, location: str | None = None):
         spark.catalog.setCurrentDatabase(before)
 
 
+def _folder(spark: SparkSession, table: str) -> str:
+    location = spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri
+    return f"{location.rstrip('/')}/{table}"
+
+
 def create_or_replace(df: DataFrame, table: str) -> None:
-    """Table with the rows of ``df``, which may read the table it replaces.
+    """``table`` with the rows of ``df``, which may read the table it replaces.
 
-    The rows are written in full beside the old table before they take its
-    name, so a write that fails leaves the old table as it was.
+    The rows are written to a folder of their own before the name is switched to it
+    in one step, so there is never no table, a write that fails changes nothing, and
+    nothing is moved or copied.
     """
-    spark, fresh = df.sparkSession, f"{table}__new"
-    df.write.mode("overwrite").format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark, folder, version = df.sparkSession, _folder(df.sparkSession, table), uuid.uuid4().hex
+    df.write.parquet(f"{folder}/{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT * FROM parquet.`{folder}/{version}`")
+    for name in [name for name in folders(spark, folder) if name != version][KEPT_VERSIONS - 1 :]:
+        remove(spark, f"{folder}/{name}")
 
 
-def load_typed(spark: SparkSession, path: str, table: str, schema: T.StructType) -> None:
-    """Parquet folder into a table of ``schema``; a rerun replaces, never appends."""
-    create_or_replace(conform(spark.read.parquet(path), schema), table)
+def over_folder(spark: SparkSession, path: str, table: str, columns: list[str]) -> None:
+    """``table`` as the columns of a Parquet folder, read in place; a former table of the name is replaced in one step."""
+    shown = ", ".join(f"`{column}`" for column in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT {shown} FROM parquet.`{path}`")
 
 
-def publish_view(df: DataFrame, name: str) -> None:
-    as_published(df).createOrReplaceTempView(name)
+def load_typed(spark: SparkSession, path: str, table: str, schema: T.StructType) -> None:
+    """Table of ``schema`` over a Parquet folder; a rerun replaces, never appends.
+
+    A folder that has the schema's columns is read in place. One of other types is cast
+    into a new folder, and a value that does not fit raises.
+    """
+    rows = spark.read.parquet(path)
+    kinds = {field.name: field.dataType for field in rows.schema}
+    if all(kinds.get(field.name) == field.dataType for field in schema):
+        over_folder(spark, path, table, schema.fieldNames())
+    else:
+        create_or_replace(conform(rows, schema), table)
 
 
 def publish_table(spark: SparkSession, source: str, target: str) -> None:
-    """Copy of a table for consumers, with money as double."""
-    create_or_replace(as_published(spark.table(source)), target)
+    """View of a table for consumers, with money as double."""
+    shown = [
+        f"CAST(`{field.name}` AS DOUBLE) AS `{field.name}`" if isinstance(field.dataType, T.DecimalType) else f"`{field.name}`"
+        for field in spark.table(source).schema
+    ]
+    spark.sql(f"CREATE OR REPLACE VIEW `{target}` AS SELECT {', '.join(shown)} FROM `{source}`")

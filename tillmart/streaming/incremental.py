@@ -1,14 +1,51 @@
-"""Loading what is new in a landing folder into the staging table."""
+"""Loading what is new in a landing folder into the staging table, and the fact after it."""
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tillmart.operators.staging import STAGING_COLUMNS, typed_sales
+from tillmart.session import written
+from tillmart.sources.files import exists, read_parquet, write_parquet
 
-# A transaction id holds the load, the task and the row of the task.
-LOAD_SHIFT, TASK_SHIFT = 50, 30
+# Spark's own row ids hold the task above this many bits.
 SPARK_TASK_SHIFT = 33
+LOADS = "load_id bigint, first_id bigint, n_rows bigint"
+
+
+def first_id(spark: SparkSession, loads: str, load_id: int) -> int:
+    """Id after all those of earlier loads."""
+    before = f"{loads}/load_id={load_id - 1}"
+    if exists(spark, before):
+        row = spark.read.parquet(before).first()
+        return row.first_id + row.n_rows
+    if not exists(spark, loads):
+        return 0
+    earlier = spark.read.schema(LOADS).parquet(loads).filter(F.col("load_id") < load_id)
+    return earlier.agg(F.max(F.col("first_id") + F.col("n_rows"))).first()[0] or 0
+
+
+def numbered(rows: DataFrame, load_id: int, loads: str, name: str = "transaction_id") -> DataFrame:
+    """``rows`` with running ids that go on where the loads before this one end.
+
+    The rows are written and counted per task; an id is the load's first one, plus the
+    rows of earlier tasks, plus the place in the task. ``loads`` has a row for each load, so
+    a load that is run again takes its first id again.
+    """
+    spark = rows.sparkSession
+    held = written(rows.withColumn("_place", F.monotonically_increasing_id()), "load")
+    held = held.select(
+        *rows.columns,
+        F.shiftright("_place", SPARK_TASK_SHIFT).alias("_task"),
+        F.col("_place").bitwiseAND(F.lit((1 << SPARK_TASK_SHIFT) - 1)).alias("_row"),
+    )
+    # one row per task
+    sizes = held.groupBy("_task").agg(F.count("*").alias("_size"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_task", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    begin = first_id(spark, loads, load_id)
+    write_parquet(held.agg(F.lit(begin).cast("bigint").alias("first_id"), F.count("*").alias("n_rows")).coalesce(1), f"{loads}/load_id={load_id}")
+    return held.join(starts, "_task").select(*rows.columns, (F.lit(begin) + F.col("_start") + F.col("_row")).alias(name))
 
 
 def load_new(
@@ -17,20 +54,24 @@ def load_new(
     schema: T.StructType,
     target: str,
     checkpoint: str,
-    transform: Callable[[DataFrame, int], DataFrame],
     files_per_load: int | None = None,
+    follow: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
-    """Append the Parquet files of ``source`` that no earlier call has loaded.
+    """Append the Parquet files of ``source`` that no earlier call has loaded to the staging table ``target``.
 
-    ``files_per_load`` cuts a large backlog into several loads.
+    ``files_per_load`` cuts a large backlog into several loads. ``follow`` gets each
+    load's staged rows and its number, to carry them on.
 
     Each load writes its own ``load_id`` partition and overwrites it when the
     same load is run again after a failure, so a file's rows are in the table
-    exactly once.
+    exactly once, with the same ids.
     """
 
     def write(batch: DataFrame, load_id: int) -> None:
-        transform(batch, load_id).write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
+        path = f"{target}/load_id={load_id}"
+        write_parquet(stage_load(batch, load_id, f"{target}-loads"), path)
+        if follow:
+            follow(read_parquet(spark, path), load_id)
 
     reader = spark.readStream.schema(schema)
     if files_per_load:
@@ -45,19 +86,11 @@ def load_new(
     )
 
 
-def stage_load(raw: DataFrame, load_id: int) -> DataFrame:
+def stage_load(raw: DataFrame, load_id: int, loads: str) -> DataFrame:
     """Staging rows of one load, with transaction ids no other load uses."""
-    if load_id >> (63 - LOAD_SHIFT):
-        raise ValueError("too many loads for a transaction id")
-    spark_id = F.col("_id")
-    task = F.shiftright(spark_id, SPARK_TASK_SHIFT)
-    row = spark_id.bitwiseAND(F.lit((1 << SPARK_TASK_SHIFT) - 1))
-    fits = (task < 1 << (LOAD_SHIFT - TASK_SHIFT)) & (row < 1 << TASK_SHIFT)
-    packed = F.lit(load_id << LOAD_SHIFT).bitwiseOR(F.shiftleft(task, TASK_SHIFT)).bitwiseOR(row)
-    refused = F.raise_error(F.lit("load too large for a transaction id"))
-    return (
-        typed_sales(raw)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("transaction_id", F.when(fits, packed).otherwise(refused))
-        .select(STAGING_COLUMNS)
-    )
+    return numbered(typed_sales(raw), load_id, loads).select(STAGING_COLUMNS)
+
+
+def fact_follows(build: Callable[[DataFrame], DataFrame], target: str) -> Callable[[DataFrame, int], None]:
+    """A ``follow`` that writes the fact rows of a load as that load's partition of ``target``."""
+    return lambda staged, load_id: write_parquet(build(staged), f"{target}/load_id={load_id}")
