@@ -1,5 +1,9 @@
 """Column and table helpers the corpus operators share."""
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -37,3 +41,53 @@ def base32_of_hex(digest: Column) -> Column:
         digits = F.lpad(F.conv(F.substring(digest, start, 5), 16, 32), 4, "0")
         parts.append(F.translate(F.upper(digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
     return F.concat(*parts)
+
+
+def kept(name: str, make: Callable):
+    """What ``make`` has made in this process first: Python workers outlive tasks, and so does what they remember."""
+    held = vars(sys.modules.setdefault("_tillmart_kept", ModuleType("_tillmart_kept")))
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
+class Remembered(dict):
+    """Values by key, worked out once by ``find``; at most twice ``most`` of them, those used last, and no long keys."""
+
+    most, longest = 250_000, 64
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def find(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are below 256; these are one character in every form, in either case."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def byte_signs() -> dict[str, str]:
+    """The signs that byte-level tokenizers have for the bytes of blanks, and of letters below 256."""
+    from tokenizers import pre_tokenizers
+
+    signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letters = [char for char in map(chr, range(256)) if char.isalpha() or char == " "]
+    return {char: signs.pre_tokenize_str(char)[0][0] for char in letters}

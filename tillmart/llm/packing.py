@@ -13,6 +13,7 @@ an id are packed one by one; a null id is kept; other columns are not read; an e
 table gives no rows.
 """
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -21,23 +22,21 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, text_of
 from tillmart.session import written
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 500_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, place long"
 
 
-class WordIds(dict):
+class WordIds(Remembered):
     """Token ids, as little-endian unsigned 32-bit numbers, of words without blanks and line breaks.
 
     The tokenizer drops white space and works on each word by itself, so a text's
-    ids are those of its words in order. Its vocabulary keeps letters apart from
-    other signs and ignores case, so a word in ASCII letters with one full stop or comma
-    is looked up as letters and sign.
+    ids are those of its words in order. It ignores case and keeps letters apart from
+    other signs, so a word with a full stop or comma at its end is looked up as word and
+    sign, and a word in letters goes straight to the merges.
     """
 
     def __init__(self, path: str):
@@ -46,30 +45,28 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.signs = byte_signs()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
+    def find(self, word: str) -> bytes:
         if word[-1:] in (".", ",") and word[:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
+            return self[word[:-1]] + self[word[-1]]
+        if word.isalpha() and is_latin(word):
+            signs = "".join(map(self.signs.__getitem__, word.lower()))
+            ids = [token.id for token in self.tokenizer.model.tokenize(signs)]
         else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = text.lower() if is_latin(text) else text
+        return b"".join(map(self.__getitem__, words.replace("\n", " ").split(" ")))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all texts, written: each has its task and its place among that task's pieces of its length."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, part = WordIds(tokenizer), TaskContext.get().partitionId()
+        words, part = kept(f"ids of {tokenizer}", lambda: WordIds(tokenizer)), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
         for frame in frames:
@@ -93,18 +90,13 @@ def best_pattern(worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
 
     ``worth[l]`` is that of a piece of length ``l``; lengths without pieces have none.
     """
-    lengths = np.flatnonzero(worth > 0)
-    values = worth[lengths]
     best, chosen = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        n = fitting[room]
-        best[room], chosen[room] = best[room - 1], 0
-        if n:
-            total = values[:n] + best[room - lengths[:n]]
-            top = total.argmax()
-            if total[top] > best[room]:
-                best[room], chosen[room] = total[top], lengths[top]
+        # worth of a piece of length 1, 2, ..., and the best of what it leaves
+        total = worth[1 : room + 1] + best[:room][::-1]
+        top = total.argmax()
+        best[room] = total[top]
+        chosen[room] = top + 1 if worth[top + 1] > 0 else 0
     pattern, room = [], capacity
     while room > 0:
         if chosen[room]:
@@ -157,7 +149,7 @@ def best_fit(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
     return packed
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rounds: int = 100, step: float = 0.5, rest: int = 20_000) -> dict[tuple[int, ...], int]:
+def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rounds: int = 30, step: float = 0.5, rest: int = 20_000) -> dict[tuple[int, ...], int]:
     """Configurations (lengths, longest first) and how many sequences take each; together they hold ``counts`` exactly.
 
     Each pass solves the linear program of what is left and keeps whole copies of the
