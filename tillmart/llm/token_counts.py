@@ -18,28 +18,30 @@ empty table gives no rows.
 """
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, text_of
 
 COUNTS = "doc_id long, section int, start long, stop long, n_tokens double, n_crossing long"
 RULES = ("first", "most", "share")
-#: Chunks whose spans a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Bytes of a start and a stop.
+PAIR = 8
 #: White space other than blanks and line breaks; a text with it is encoded in one go.
 ODD_SPACE = re.compile(r"[^\S \n]")
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
-class Spans(dict):
+class Spans(Remembered):
     """Starts and stops of the tokens of a chunk: blanks and line breaks, then other characters up to the next.
 
     The byte-level tokenizer never lets a token go on from other characters into white
-    space, so the tokens of a text are those of its chunks in order.
+    space, so the tokens of a text are those of its chunks in order. Letters with a blank
+    before them go straight to the merges; a full stop or comma at their end is a token.
     """
 
     def __init__(self, path: str):
@@ -48,27 +50,31 @@ class Spans(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, chunk: str) -> tuple[bytes, bytes]:
-        if len(self) > REMEMBERED:
-            self.clear()
-        found = self.encode(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = found
-        return found
-
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        offsets = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-        return offsets[:, 0].tobytes(), offsets[:, 1].tobytes()
+        self.signs = byte_signs()
+
+    def find(self, chunk: str) -> bytes:
+        if chunk[-1:] in (".", ",") and chunk[1:-1].isalpha() and chunk[0] == " ":
+            return self[chunk[:-1]] + struct.pack("<2i", len(chunk) - 1, len(chunk))
+        if chunk[1:].isalpha() and chunk[0] == " " and is_latin(chunk):
+            signs = [self.signs[char] for char in chunk]
+            # the character of each byte
+            of_byte = [place for place, sign in enumerate(signs) for _ in sign]
+            spans, start = [], 0
+            for token in self.tokenizer.model.tokenize("".join(signs)):
+                stop = start + len(token.value)
+                spans += of_byte[start], of_byte[stop - 1] + 1
+                start = stop
+        else:
+            spans = [end for span in self.tokenizer.encode(chunk, add_special_tokens=False).offsets for end in span]
+        return struct.pack(f"<{len(spans)}i", *spans)
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         chunks = [text] if ODD_SPACE.search(text) else CHUNK.findall(text)
-        found = [self[chunk] for chunk in chunks]
-        begins = np.cumsum([0, *map(len, chunks[:-1])]) if chunks else np.zeros(0, np.int64)
-        shift = np.repeat(begins, [len(starts) // 8 for starts, _ in found])
-        starts = np.frombuffer(b"".join(starts for starts, _ in found), np.int64)
-        stops = np.frombuffer(b"".join(stops for _, stops in found), np.int64)
-        return starts + shift, stops + shift
+        found = list(map(self.__getitem__, chunks))
+        begins = np.cumsum([0, *map(len, chunks)])[:-1]
+        shift = np.repeat(begins, np.fromiter(map(len, found), np.int64, len(found)) // PAIR)
+        spans = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
+        return spans[:, 0] + shift, spans[:, 1] + shift
 
 
 def lines_of(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -103,20 +109,21 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
 
+    def count_in(text: str, spans: Spans) -> tuple[np.ndarray, ...]:
+        begins, ends = lines_of(text)
+        return begins, ends, *allocate(*spans.of(text), begins, ends, rule)
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        spans = Spans(tokenizer)
+        spans = kept(f"spans of {tokenizer}", lambda: Spans(tokenizer))
         for frame in frames:
-            parts = []
-            for key, whole in zip(frame["doc_id"], frame["text"]):
-                begins, ends = lines_of(whole)
-                counts, crossing = allocate(*spans.of(whole), begins, ends, rule)
-                parts.append(
-                    pd.DataFrame(
-                        {"doc_id": key, "section": np.arange(len(begins)), "start": begins, "stop": ends, "n_tokens": counts, "n_crossing": crossing}
-                    )
-                )
-            if parts:
-                yield pd.concat(parts).astype({"doc_id": "Int64"})
+            for at in range(0, len(frame), 1000):
+                part = frame.iloc[at : at + 1000]
+                found = [count_in(text, spans) for text in part["text"]]
+                sections = [len(own[0]) for own in found]
+                out = {"doc_id": part["doc_id"].repeat(sections).array, "section": np.concatenate([np.arange(n) for n in sections])}
+                for place, name in enumerate(("start", "stop", "n_tokens", "n_crossing")):
+                    out[name] = np.concatenate([own[place] for own in found])
+                yield pd.DataFrame(out).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInPandas(count, COUNTS)
