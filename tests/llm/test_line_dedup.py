@@ -72,13 +72,13 @@ def test_first_occurrence_in_other_context(spark):
 
 def test_edge_rows(spark):
     line = "one two three four five six seven eight nine ten"
-    long = "\n".join(f"row {i} of a text that has very many lines in it" for i in range(3_000))
+    long = "\n".join(f"row {i} of a text that has very many lines in it" for i in range(120))
     rows = [(1, line), (1, line), (2, line), (2, f"{line}\nmore"), (None, f"{line}\nnone"), (3, None), (4, ""), (5, "\n\n"), (6, long), (7, long + "\nend")]
     assert found(spark, rows, 10) == plain(rows, 10)
     docs = spark.createDataFrame([(*r, 1, "k", "l") for r in rows], DOC)
     kept = line_dedup.dedup_lines(docs, drop_emptied=True, removed="n")
     assert kept.columns == [*docs.columns, "n"]
-    assert sorted(((r["doc_id"], r["n"]) for r in kept.collect()), key=str) == sorted([(2, 1), (None, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 3_000)], key=str)
+    assert sorted(((r["doc_id"], r["n"]) for r in kept.collect()), key=str) == sorted([(2, 1), (None, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 120)], key=str)
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
