@@ -47,6 +47,10 @@ def test_query(spark):
         row, after = by_id[key], by_id[ids[(place + 1) % len(ids)]]
         assert row["near_next"] == 1 - bits(row["fingerprint"], after["fingerprint"]) / 128
         assert row["near_edited"] == 1 - bits(row["fingerprint"], row["edited_fingerprint"]) / 128
+    distinct = {r["fingerprint"] for r in rows}
+    for row in rows:
+        want = sum(bits(row["fingerprint"], other) <= queries.RADIUS for other in distinct) - 1
+        assert row["n_near"] == (want if row["doc_id"] % 50 == 0 else None)
     assert statistics.mean(r["near_edited"] for r in rows) > statistics.mean(r["near_next"] for r in rows) + 0.1
 
 
@@ -89,5 +93,5 @@ def test_neighbours_against_brute_force(spark, radius):
 
 
 def test_no_python_in_the_plan(spark):
-    plan = queries.op9_fingerprints(spark, SF_DIR)._jdf.queryExecution().toString()
+    plan = fp.fingerprint_edits(read_table(spark, SF_DIR, "documents"))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, packing, secret_scan, token_counts, warc
 from tillmart.llm.common import read_table, text_of
-from tillmart.session import shared_dir
+from tillmart.session import shared_dir, written
 
 
 def tokenizer_path(name: str) -> str:
@@ -89,8 +89,18 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+#: Fingerprints of which more than this many bits differ are no neighbours.
+RADIUS = 3
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents and their edits; of every document whose id 50 divides, also how many other
+    distinct fingerprints of all documents are within ``RADIUS`` (``n_near``, else null)."""
+    found = written(fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents")), "fingerprints")
+    asked = found.withColumn("query", F.when(F.col("doc_id") % 50 == 0, F.col("fingerprint")))
+    near = fingerprints.within_radius(asked.select(F.col("query").alias("fingerprint")), found, RADIUS)
+    counts = written(near.groupBy("query").agg((F.count("*") - 1).alias("n_near")), "near")
+    return asked.join(counts, "query", "left").drop("query")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
