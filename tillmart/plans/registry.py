@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.functions import columns as fn
 from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports, staging
-from tillmart.plans.batch import LOADED, PUBLISHED, Lake, load_warehouse, run_batch
+from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, Lake, load_warehouse, run_batch
 from tillmart.schemas import RAW_FAMILIES, RAW_SALES, TABLES, as_published
 from tillmart.session import shared_dir
 from tillmart.sources import files, order_tables, tables
@@ -168,10 +168,11 @@ def typed_load(star: Star) -> DataFrame:
 
 
 def warehouse(star: Star) -> DataFrame:
-    """Rows and sums of the loaded tables and of the published views of a whole build."""
-    out, name = star.path("warehouse"), star.database("warehouse")
-    run_batch(star.spark, star.raw, star.raw_families, out)
-    load_warehouse(star.spark, out, name, star.path("warehouse_db"))
+    """Rows and sums of the loaded tables and of the published views over the written star schema and marts."""
+    for table in BUILDERS:
+        star.lake.table(table)
+    name = star.database("warehouse")
+    load_warehouse(star.spark, star.lake.out, name, star.path("warehouse_db"))
     loaded = {table: star.spark.table(f"{name}.{table}") for table in [*LOADED, *PUBLISHED]}
     return reports.table_sums(loaded, {table: SUMMED[PUBLISHED.get(table, table)] for table in loaded})
 
