@@ -180,7 +180,11 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rounds: int = 30, step
 
 
 def slots(spark: SparkSession, packed: dict[tuple[int, ...], int]) -> DataFrame:
-    """Which numbers of a length go to which configuration: at most one row per configuration and length."""
+    """Which numbers of a length go to which configuration: at most one row per configuration and length.
+
+    Its size does not grow with the corpus: ``plan`` makes ``rounds`` configurations a pass and at most
+    ``rest`` more, of at most ``capacity`` lengths.
+    """
     rows, taken, first = [], {}, 0
     for pattern, copies in packed.items():
         offset = 0
