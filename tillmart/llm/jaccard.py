@@ -8,13 +8,18 @@ link; the wide sketch has more than ``d`` blocks, so linked sets agree in a bloc
 sketch of ``BITS`` bits drops pairs that are too far apart, and the sets themselves
 decide.
 
-Three things keep the join in bounds without losing a link:
+Four things keep the join in bounds without losing a link:
 
 * Equal sets are one class.
-* At most ``d`` blocks of a set differ in a linked one, so its ``d + 1`` rarest blocks
-  hold a common one. Blocks that many sets share, such as those of a common passage,
-  are no keys as long as a set has enough rarer ones.
-* In a group with the same key all sets are compared with one of them. Jaccard
+* At most ``d`` blocks of a set differ in a linked one, so of any ``d + 1`` of its blocks,
+  first in one order for all sets, one is common. A first join, over the fullest blocks
+  only, tells which sets share one with any other set.
+* These sets are joined again by more and so finer blocks, rare ones first. Blocks that many
+  sets share, such as those of a common passage, are no keys as long as a set has enough
+  rarer ones. Edits are in blocks of their own, and a set with more than ``d`` such blocks
+  links with nothing, so of many copies that differ too much few are left.
+* In a group with the same key all sets are compared with the one that has the fewest
+  blocks of its own, such as the text that the others were copied from. Jaccard
   distance is a metric, so this tells which of the others can link; only those of
   these that are in different components are compared.
 
@@ -34,31 +39,25 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import Remembered, kept, text_of
 from tillmart.llm.components import components
-from tillmart.session import written
+from tillmart.session import shared_dir, written
+from tillmart.sources.files import remove
 
 BITS = 1024
-#: Blocks of the wide sketch per symmetric difference allowed.
-SPARE = 1.3
-#: Words whose hashes a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Blocks of the wide sketch per symmetric difference allowed, in the first join and in the second.
+SPARE, FINE = 1.3, 4.0
 #: Larger sizes than any text has.
 TOP_SIZE = 1 << 40
-PROFILE = (
-    "doc_id long, n long, node long, sketch array<long>, keys array<long>,"
-    "n_even int, n_odd int, keep_even int, keep_odd int"
-)
+MEMBER = "doc_id long, n long, node long, keys array<long>"
+PROFILE = "node long, n long, sketch array<long>, shingles array<long>, keys array<long>, n_even int, n_odd int, keep_even int, keep_odd int"
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
+class WordHashes(Remembered):
+    def find(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest
 
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = code = xxh3_64_intdigest(word)
-        return code
+        return xxh3_64_intdigest(word)
 
 
 def mix(values: np.ndarray, seed: int) -> np.ndarray:
@@ -101,86 +100,107 @@ class Bands:
         return (top + top * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
 
 
-def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
-    """Keys of the blocks, and how many of a set's rarest keys are enough to find all links.
+def node_of(shingles: np.ndarray) -> int:
+    """A number for the set; 0 for the empty one."""
+    if not len(shingles):
+        return 0
+    whole = np.bitwise_xor.reduce(mix(shingles, 16), keepdims=True) ^ np.uint64(len(shingles))
+    return int(mix(whole, 17).astype(np.int64)[0])
+
+
+def block_keys(shingles: np.ndarray, band: int, bands: Bands, spare: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys of the blocks, their n-grams, and how many keys, first in any order that all sets have, find all links.
 
     A key is a hash of band, block and the block's bits; its lowest bit is that of the
     band. Blocks without bits are left out, unless so many have none that a linked set
     may agree in these only.
     """
     differ = bands.differing(band)
-    blocks = int(SPARE * differ) + 1
+    blocks = int(spare * differ) + 1
     place = (mix(shingles, 11) >> np.uint64(16)) % np.uint64(blocks)
     order = np.argsort(place, kind="stable")
     place = place[order]
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     bits = np.bitwise_xor.reduceat(mix(shingles, 12)[order], first)
     full = place[first]
+    held = np.diff(np.append(first, len(place)))
     enough = differ + 1
     if len(full) <= differ:
-        held = np.zeros(blocks, np.uint64)
-        held[full.astype(np.int64)] = bits
-        full, bits, enough = np.arange(blocks, dtype=np.uint64), held, blocks
+        at, all_bits, all_held = full.astype(np.int64), np.zeros(blocks, np.uint64), np.zeros(blocks, np.int64)
+        all_bits[at], all_held[at] = bits, held
+        full, bits, held, enough = np.arange(blocks, dtype=np.uint64), all_bits, all_held, blocks
     keys = mix(bits ^ mix((full << np.uint64(12)) + np.uint64(band), 13), 14)
-    return (keys & ~np.uint64(1)) | np.uint64(band & 1), enough
+    return (keys & ~np.uint64(1)) | np.uint64(band & 1), held, enough
+
+
+def own_bands(shingles: np.ndarray, bands: Bands) -> list[int]:
+    """The band of the set and the one below, whose sets it may link with."""
+    band = bands.of(len(shingles))
+    return [own for own in (band, band - 1) if own >= 0]
 
 
-def profile(key: int | None, shingles: np.ndarray, bands: Bands) -> tuple:
-    size = len(shingles)
-    if not size:
-        return key, 0, 0, [], [], 0, 0, 0, 0
-    band = bands.of(size)
+def coarse_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
+    """The keys of the first join: as many as find all links, those of the fullest blocks, as these are rarely equal by chance."""
+    found = [np.zeros(0, np.uint64)]
+    for band in own_bands(shingles, bands) if len(shingles) else []:
+        keys, held, enough = block_keys(shingles, band, bands, SPARE)
+        found.append(keys[np.lexsort((keys, -held))[:enough]])
+    return np.concatenate(found).astype(np.int64)
+
+
+def profile(shingles: np.ndarray, bands: Bands) -> tuple:
+    """A row of ``PROFILE``: narrow sketch, and all keys of the second join with the number that is enough."""
     found, count, keep = [], [0, 0], [0, 0]
-    for own in (band, band - 1):
-        if own >= 0:
-            keys, enough = block_keys(shingles, own, bands)
-            found.append(keys)
-            count[own & 1], keep[own & 1] = len(keys), enough
+    for band in own_bands(shingles, bands):
+        keys, _, enough = block_keys(shingles, band, bands, FINE)
+        found.append(keys)
+        count[band & 1], keep[band & 1] = len(keys), enough
     narrow = np.bincount((mix(shingles, 15) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
     sketch = np.packbits(narrow.astype(np.uint8)).view(np.int64)
-    node = mix(np.bitwise_xor.reduce(mix(shingles, 16), keepdims=True) ^ np.uint64(size), 17)
-    return key, size, int(node.astype(np.int64)[0]), sketch, np.concatenate(found).astype(np.int64), *count, *keep
+    return node_of(shingles), len(shingles), sketch, shingles.astype(np.int64), np.concatenate(found).astype(np.int64), *count, *keep
 
 
-def profiles(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    names = [column.split()[0] for column in PROFILE.split(",")]
+def over_sets(docs: DataFrame, n: int, schema: str, rows_of) -> DataFrame:
+    """The rows that ``rows_of`` gives for (id, set) of each document."""
+    names = [column.split()[0] for column in schema.split(", ")]
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = kept("word hashes", WordHashes)
         for frame in frames:
             for at in range(0, len(frame), 1000):
                 part = frame.iloc[at : at + 1000]
-                rows = [profile(key, shingles_of(text, n, hashes), bands) for key, text in zip(part["doc_id"], part["text"])]
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+                rows = [row for key, text in zip(part["doc_id"], part["text"]) for row in rows_of(key, shingles_of(text, n, hashes))]
+                out = pd.DataFrame(rows, columns=names)
+                yield out.astype({"doc_id": "Int64"}) if "doc_id" in names else out
 
-    return written(docs.mapInPandas(work, PROFILE), "profiles")
+    return docs.mapInPandas(work, schema)
 
 
-def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of the texts."""
-    bands = Bands(1, 2)
+def members_of(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """Each document with its set's size, number and keys of the first join."""
+    return over_sets(docs, n, MEMBER, lambda key, own: [(key, len(own), node_of(own), coarse_keys(own, bands))])
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for frame in frames:
-            for at in range(0, len(frame), 1000):
-                sets = [shingles_of(text, n, hashes) for text in frame["text"].iloc[at : at + 1000]]
-                nodes = [profile(None, own, bands)[2] for own in sets]
-                yield pd.DataFrame({"node": nodes, "shingles": [own.astype(np.int64) for own in sets]})
 
-    return docs.mapInPandas(work, "node long, shingles array<long>")
+def partnered(members: DataFrame) -> DataFrame:
+    """The sets (node) that share a key of the first join with a set of another class."""
+    group = Window.partitionBy("key")
+    rows = members.select("node", F.explode("keys").alias("key"))
+    beside = rows.withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)}).filter("low < high")
+    return beside.select("node").distinct()
+
 
+def rare_keys(sets: DataFrame) -> DataFrame:
+    """(key, node, alone): keys that several sets share, cut to the rarest that are enough for each set and band.
 
-def rare_keys(found: DataFrame) -> DataFrame:
-    """(key, node) of the keys that sets of different classes share, cut to the rarest that are enough for each set and band."""
-    rows = found.filter("n > 0").select("node", F.explode("keys").alias("key")).repartition("key")
-    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("f")).filter("low < high")
-    both = rows.join(shared.select("key", "f"), "key").dropDuplicates(["key", "node"])
-    limits = found.filter("n > 0").groupBy("node").agg(*[F.max(c).alias(c) for c in ("n_even", "n_odd", "keep_even", "keep_odd")])
+    ``alone`` is the share of the set's blocks in the band that no other set has.
+    """
+    rows = sets.select("node", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "node"])
+    sizes = rows.groupBy("key").agg(F.count("*").alias("f")).filter("f > 1")
     odd = F.col("key").bitwiseAND(F.lit(1)) == 1
     own = Window.partitionBy("node", "odd")
     ranked = (
-        both.join(limits, "node")
+        rows.join(sizes, "key")
+        .join(sets.select("node", "n_even", "n_odd", "keep_even", "keep_odd").distinct(), "node")
         .select(
             "key",
             "node",
@@ -189,10 +209,19 @@ def rare_keys(found: DataFrame) -> DataFrame:
             F.when(odd, F.col("n_odd")).otherwise(F.col("n_even")).alias("keys"),
             F.when(odd, F.col("keep_odd")).otherwise(F.col("keep_even")).alias("keep"),
         )
-        .withColumn("alone", F.col("keys") - F.count("*").over(own))
+        .withColumn("unshared", F.col("keys") - F.count("*").over(own))
         .withColumn("rank", F.row_number().over(own.orderBy("f", "key")))
     )
-    return ranked.filter(F.col("alone") + F.col("rank") <= F.col("keep")).select("key", "node")
+    kept = ranked.filter(F.col("unshared") + F.col("rank") <= F.col("keep"))
+    return kept.select("key", "node", (F.col("unshared") / F.col("keys")).alias("alone"))
+
+
+def in_groups(keyed: DataFrame) -> DataFrame:
+    """Rows of keys that several sets have kept, with the ``hub`` all others are compared with."""
+    keyed = written(keyed, "keys")
+    hub = F.min_by("node", F.struct("alone", "node")).alias("hub")
+    groups = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), hub).filter("low < high")
+    return written(keyed.join(groups.select("key", "hub"), "key"), "groups")
 
 
 def _hamming(a: str, b: str) -> Column:
@@ -206,54 +235,65 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
     sized = pairs.join(first, "a").join(second, "b").select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("sizes"))
-    return sized.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("total"))
+    # a set is there as often as rows repeat its text and id
+    return sized.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("total")).distinct()
+
 
+def partnered_docs(docs: DataFrame, n: int, bands: Bands) -> tuple[DataFrame, DataFrame]:
+    """All documents with their sets' sizes and numbers, and one document id for each set that has found a partner."""
+    spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "keyed")
+    members_of(docs, n, bands).write.parquet(path)
+    keyed = spark.read.parquet(path)
+    classes = keyed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    chosen = written(partnered(keyed).join(classes, "node").select("doc_id").distinct(), "chosen")
+    members = written(keyed.drop("keys"), "members")
+    remove(spark, path)
+    return members, chosen
 
-def find_links(found: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+
+def find_links(docs: DataFrame, chosen: DataFrame, n: int, bands: Bands) -> DataFrame:
     """Links between classes (node ids) that connect all sets that are connected; not each pair within a component."""
+    num, den = bands.num, bands.den
     linked = F.col("common") * den >= F.col("total") * num
-    keyed = written(rare_keys(found), "keys")
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").select("key", "a")
-    starred = written(keyed.join(hubs, "key").withColumnRenamed("node", "b"), "stars")
-    classes = found.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = starred.select(F.col("b").alias("node")).distinct().join(classes, "node").select("doc_id").distinct()
-    texts = docs.join(written(chosen, "chosen"), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
-    sets = written(shingle_sets(texts, n).dropDuplicates(["node"]), "sets")
-
-    pairs = starred.filter("a <> b").select("a", "b").distinct()
+    texts = docs.join(chosen, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    profiles = over_sets(texts, n, PROFILE, lambda _, own: [profile(own, bands)] if len(own) else [])
+    sets = written(profiles, "sets")
+
+    starred = in_groups(rare_keys(sets))
+    pairs = starred.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     tried = written(compare(pairs, sets), "tried")
     links = tried.filter(linked).select("a", "b")
     labels = components(links)
 
-    far = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(1 - F.col("common") / F.col("total"))
+    far = F.when(F.col("node") == F.col("hub"), F.lit(0.0)).otherwise(1 - F.col("common") / F.col("total"))
     reach = (den - num) / den + 1e-9
-    distances = starred.join(tried, ["a", "b"], "left").select("key", F.col("b").alias("node"), far.alias("far"))
-    sizes = found.filter("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    compared = tried.select(F.col("a").alias("hub"), F.col("b").alias("node"), "common", "total")
     placed = (
-        distances.join(labels, "node", "left")
+        starred.join(compared, ["hub", "node"], "left")
+        .select("key", "node", far.alias("far"))
+        .join(labels, "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
         .withColumn("cell", F.floor(F.col("far") / reach))
     )
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    left = written(placed.join(open_keys, "key", "left_semi").join(sizes.select("node", "n"), "node"), "open")
+    left = placed.join(open_keys, "key", "left_semi").join(sets.select("node", "n", "sketch").distinct(), "node")
+    left = written(left, "open")
     x = left.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))).alias("x")
     y = left.alias("y")
+    bound = F.floor((F.col("x.n") + F.col("y.n")) * (den - num) / (den + num))
     near = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.cell") == F.col("y.cell"))
         & (F.col("x.label") < F.col("y.label"))
         & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
-        # a set that is the group's own comparison set has been compared
+        # the hub has been compared with all
         & (F.col("x.far") > 0)
         & (F.col("y.far") > 0)
         & (F.col("x.n") * den >= F.col("y.n") * num)
         & (F.col("y.n") * den >= F.col("x.n") * num)
+        & (_hamming("x.sketch", "y.sketch") <= bound)
     )
-    more = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    first = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    second = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    bound = F.floor((F.col("n_a") + F.col("n_b")) * (den - num) / (den + num))
-    close = more.join(first, "a").join(second, "b").filter(_hamming("sketch_a", "sketch_b") <= bound).select("a", "b")
+    close = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     late = compare(close, sets).filter(linked).select("a", "b")
     return links.unionByName(late)
 
@@ -263,16 +303,18 @@ def jaccard_groups(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): sets link when ``den * intersection >= num * union``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    found = profiles(rows, n, Bands(num, den))
-    labels = components(find_links(found, rows, n, num, den))
-    classes = found.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
+    bands = Bands(num, den)
+    members, chosen = partnered_docs(rows, n, bands)
+    labels = components(find_links(rows, chosen, n, bands))
+    classes = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     names = written(labelled.join(named, "label").select("node", "component_id"), "names")
     # empty sets are spread over the join, and keep their own id
-    members = found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id")).alias("node"))
+    node = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id"))
+    named_members = members.select("doc_id", F.col("n").alias("n_shingles"), node.alias("node")).join(names, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id"))
-    return members.join(names, "node", "left").select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
+    return named_members.select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
