@@ -21,7 +21,8 @@ the text column is replaced and all other columns are kept; an empty table gives
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillmart.llm.common import WORD, fresh, text_of
-from tillmart.session import written
+from tillmart.session import shared_dir, written
+from tillmart.sources.files import remove
 
 MIN_WORDS = 10
 
@@ -70,7 +71,9 @@ def windows_of(docs: DataFrame, min_words: int) -> DataFrame:
 
 def repeats_of(docs: DataFrame, min_words: int) -> DataFrame:
     """(id, k, lines): the line numbers that are repeats, per document."""
-    windows = written(windows_of(docs, min_words), "windows")
+    spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "windows")
+    windows_of(docs, min_words).write.parquet(path)
+    windows = spark.read.parquet(path)
     places = windows.groupBy("fingerprint").agg(
         F.min(F.struct("id", "k", "place")).alias("low"), F.max(F.struct("id", "k", "place")).alias("high")
     )
@@ -80,7 +83,9 @@ def repeats_of(docs: DataFrame, min_words: int) -> DataFrame:
     firsts = matched.groupBy(*content).agg(F.min(place).alias("original"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = matched.join(written(firsts, "originals"), content).filter(~place.eqNullSafe(F.col("original")))
     lines = later.select("id", "k", F.explode(F.sequence("first", "last")).alias("pos"))
-    return lines.groupBy("id", "k").agg(F.collect_set("pos").alias("lines"))
+    repeats = written(lines.groupBy("id", "k").agg(F.collect_set("pos").alias("lines")), "repeats")
+    remove(spark, path)
+    return repeats
 
 
 def without_lines(text: Column, lines: Column) -> Column:
