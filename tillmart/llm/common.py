@@ -54,7 +54,7 @@ def kept(name: str, make: Callable):
 class Remembered(dict):
     """Values by key, worked out once by ``find``; at most twice ``most`` of them, those used last, and no long keys."""
 
-    most, longest = 250_000, 64
+    most, longest = 150_000, 64
 
     def __init__(self):
         super().__init__()
