@@ -81,8 +81,9 @@ def write_partitions(df: DataFrame, path: str, *columns: str, dynamic: bool = Tr
 def rows_per_file(spark: SparkSession, folder: str, tables: list[str]) -> DataFrame:
     """Rows of each table's files under ``folder``, by the name below it."""
     rows = spark.read.schema("none int").parquet(*[f"{folder}/{table}.parquet" for table in tables])
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]*)?$", 1)
-    return rows.groupBy(name.alias("file")).agg(F.count("*").alias("n_rows"))
+    sizes = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    name = F.regexp_extract("path", r"([^/]+\.parquet)(/[^/]*)?$", 1)
+    return sizes.groupBy(name.alias("file")).agg(F.sum("n").alias("n_rows"))
 
 
 def _path(spark: SparkSession, path: str):
