@@ -27,6 +27,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Rows that a Python worker gets at once, as texts may be long; Spark's own default is 10,000.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets Python workers have ``BATCH_ROWS`` rows at once, unless the session says otherwise."""
+    setting, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(setting) == default:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import small_batches, text_of
 
 WORDS = re.compile(r"\w+")
 LEAKS = "doc_id long, item_id long, score double, start long, stop long"
@@ -227,6 +227,7 @@ def find_leaks(
 ) -> DataFrame:
     """Documents with the items that leak into them: best score (1 is an exact copy) and its span in words."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     found = spark.createDataFrame([], LEAKS)
     for items in item_blocks(benchmark, item_id, item_text, n, block_grams):

@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillmart.llm.common import Remembered, kept, text_of
+from tillmart.llm.common import Remembered, kept, small_batches, text_of
 from tillmart.llm.components import components
 from tillmart.session import shared_dir, written
 from tillmart.sources.files import remove
@@ -162,6 +162,7 @@ def profile(shingles: np.ndarray, bands: Bands) -> tuple:
 
 def over_sets(docs: DataFrame, n: int, schema: str, rows_of) -> DataFrame:
     """The rows that ``rows_of`` gives for (id, set) of each document."""
+    small_batches(docs.sparkSession)
     names = [column.split()[0] for column in schema.split(", ")]
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

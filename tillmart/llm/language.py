@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import small_batches, text_of
 
 UNKNOWN = "und"
 #: Code points hashed at once, so a very long text is worked off in pieces.
@@ -74,6 +74,7 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sizes:
             # bucket -1 holds the number of texts
             yield pd.DataFrame({"lang": name, "bucket": np.append(full, -1), "n": np.append(held[full], texts[name])})
 
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), text_of(text).alias("text")).filter("lang is not null")
     counted = rows.mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counted.toPandas()
@@ -104,6 +105,7 @@ def scores_of(texts: list[str], model: Model) -> np.ndarray:
 
 def predict(df: DataFrame, model: Model, *, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """``df`` with the most probable language of each text and its probability."""
+    small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("pred string, score double")

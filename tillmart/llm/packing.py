@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, text_of
+from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, small_batches, text_of
 from tillmart.session import written
 
 CAPACITY = 4096
@@ -39,6 +39,8 @@ class WordIds(Remembered):
     sign, and a word in letters goes straight to the merges.
     """
 
+    most = 250_000
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -81,6 +83,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text:
             names = [column.split()[0] for column in PIECES.split(", ")]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     return written(rows.mapInPandas(cut, PIECES), "pieces")
 

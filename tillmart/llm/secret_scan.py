@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillmart.llm.common import text_of
+from tillmart.llm.common import small_batches, text_of
 
 FINDING = "start int, rank int, kind string, version int, `end` int"
 SCANNED = f"blob string, scanned array<string>, findings array<struct<start:int,rank:int,kind:string,version:int,`end`:int>>"
@@ -103,6 +103,7 @@ class Ledger:
         The scans of an ingest are one append, so an ingest that fails and runs again
         scans once more at worst; the same findings of a blob count once.
         """
+        small_batches(self.spark)
         filed = versions.select(
             F.col(path).cast("string").alias("path"), F.col(version).cast("string").alias("version"), text_of(text).alias("text")
         ).withColumn("blob", F.sha2("text", 256))

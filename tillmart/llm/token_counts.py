@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, text_of
+from tillmart.llm.common import Remembered, byte_signs, is_latin, kept, small_batches, text_of
 
 COUNTS = "doc_id long, section int, start long, stop long, n_tokens double, n_crossing long"
 RULES = ("first", "most", "share")
@@ -125,5 +125,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
                     out[name] = np.concatenate([own[place] for own in found])
                 yield pd.DataFrame(out).astype({"doc_id": "Int64"})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInPandas(count, COUNTS)
