@@ -114,3 +114,30 @@ def test_large_counts_need_no_more_than_the_bound():
     counts[0] = 0
     total = int((counts * np.arange(201)).sum())
     assert sum(packing.plan(counts, 200).values()) <= total / 200 * 1.001 + 1
+
+
+@pytest.mark.parametrize("kind", ["documents", "log-normal", "flat"])
+def test_configurations_reach_the_bound(kind):
+    """Configurations take every piece, in whole copies, and the sequences are within 0.01 % of the dual's bound."""
+    rng = np.random.default_rng(2)
+    lengths = {
+        "documents": lambda: rng.choice(rng.lognormal(5, 1.2, 5_000), 200_000) * rng.uniform(0.95, 1.05, 200_000),
+        "log-normal": lambda: rng.lognormal(4, 1, 200_000),
+        "flat": lambda: rng.integers(1, 1025, 200_000),
+    }[kind]()
+    counts = np.bincount(np.clip(lengths.astype(int), 1, 1024), minlength=1025)
+    left = counts.copy()
+    dealt = list(packing.configurations(left, 1024))
+    assert not left.any() and len(dealt) <= sum(1024 // length for length in range(1, 1025))
+    assert sum(len(pattern) * copies for pattern, copies in dealt) == counts.sum()
+    assert sum(packing.plan(counts, 1024).values()) <= packing.least_sequences(counts, 1024) * 1.0001 + 1
+
+
+def test_bound():
+    """Pieces over half a sequence need one each; the bound holds for any counts."""
+    assert packing.least_sequences(np.bincount([6] * 9, minlength=11), 10) == pytest.approx(9)
+    assert packing.least_sequences(np.bincount([5] * 9, minlength=11), 10) == pytest.approx(4.5)
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        counts = np.array([0, *rng.integers(0, 20, 30)])
+        assert packing.least_sequences(counts, 30) <= sum(packing.plan(counts, 30).values()) + 1e-9

@@ -1,12 +1,13 @@
 """Packing of token pieces into as few fixed-size sequences as possible.
 
 The lengths of all pieces make a histogram of at most ``capacity`` entries. A
-configuration is a multiset of lengths that fits one sequence. The linear program
-"cover the histogram with the fewest configurations" is solved by multiplicative
-weights, whose pricing step is a knapsack over ``capacity`` by dynamic programming;
-the solution is rounded down, what is left goes through the same again, and a last
-small rest is packed best-fit decreasing. Only the histogram is on the driver: pieces
-find their place by their number within their length.
+configuration is a multiset of lengths that fits one sequence. The linear program is
+"cover the histogram with the fewest configurations". Its dual, which gives each length
+a worth of which no configuration has more than one, bounds the sequences from below
+(``least_sequences``). Configurations are priced within the counts that are left, by subset
+sums over ``capacity``, and dealt in whole copies until nothing is left, so there is
+nothing to round; how far they are above the bound is the gap. Only the histogram is on
+the driver: pieces find their place by their number within their length.
 
 Defined results: a null text is empty and gives the end mark alone; rows that repeat
 an id are packed one by one; a null id is kept; other columns are not read; an empty
@@ -110,30 +111,69 @@ def best_pattern(worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return best[capacity], np.array(pattern, np.int64)
 
 
-def configurations(counts: np.ndarray, capacity: int, rounds: int, step: float) -> list[tuple[np.ndarray, float]]:
-    """Fractional cover of ``counts`` by configurations: multiplicative weights, priced by the knapsack.
+def least_sequences(counts: np.ndarray, capacity: int) -> float:
+    """A lower bound of the linear program, by a solution of its dual that the knapsack makes feasible.
 
-    A length starts with the worth of its share of a sequence, and loses worth as
-    configurations use it in proportion to its count. Each configuration enters with
-    as many copies as its scarcest length allows of a ``step`` of the counts.
+    Worth of a length is its share of a sequence; lengths under a threshold may be worth nothing, and
+    those that leave no more than it are then worth a whole sequence. The best threshold counts.
     """
-    full = np.flatnonzero(counts)
-    worth = np.zeros(capacity + 1)
-    worth[full] = full / capacity
-    used, found = np.zeros(capacity + 1), {}
-    for _ in range(rounds):
-        _, pattern = best_pattern(worth, capacity)
-        if not len(pattern):
-            break
-        lengths, times = np.unique(pattern, return_counts=True)
-        copies = (step * counts[lengths] / times).min()
-        used[lengths] += copies * times
-        worth[lengths] *= np.exp(-copies * times / counts[lengths] * 2)
-        key = tuple(pattern)
-        found[key] = found.get(key, 0.0) + copies
-        if (used[full] >= counts[full]).all():
-            break
-    return [(np.array(pattern), copies) for pattern, copies in found.items()]
+    sizes = np.arange(capacity + 1)
+    pieces, tokens = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts * sizes / capacity))
+    low = np.arange(capacity // 2 + 1)
+    bounds = tokens[capacity - low + 1] - tokens[low] + pieces[-1] - pieces[capacity - low + 1]
+    least = int(bounds.argmax())
+    worth = np.where(sizes > capacity - least, 1.0, np.where(sizes < least, 0.0, sizes / capacity)) * (counts > 0)
+    return float((counts * worth).sum() / max(1.0, best_pattern(worth, capacity)[0]))
+
+
+def configurations(counts: np.ndarray, capacity: int, rest: int = 0) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Configurations and their whole copies, until at most ``rest`` pieces of ``counts`` are left; takes from ``counts``.
+
+    A configuration has the longest length left and is the fullest that the counts allow; of equally
+    full ones, that with the longest lengths, so short pieces last. A full one is worth a whole
+    sequence to the dual, so it is in a solution of the linear program. It is copied until the counts of
+    one of its lengths no longer hold it, so there are at most sum(capacity / length) of them.
+    ``reach[i]`` has a bit for each sum of the ``i`` shortest lengths within their counts.
+    """
+    lengths = [int(length) for length in np.flatnonzero(counts)]
+    left, whole = [int(counts[length]) for length in lengths], (1 << (capacity + 1)) - 1
+    reach, changed, pieces = [1] * (len(lengths) + 1), 0, sum(left)
+    while pieces > rest:
+        while not left[-1]:
+            left.pop()
+        top = len(left) - 1
+        for i in range(changed, top):
+            sums, many, step = reach[i], min(left[i], capacity // lengths[i]), 1
+            while many:
+                sums |= (sums << (min(step, many) * lengths[i])) & whole
+                many -= min(step, many)
+                step *= 2
+            reach[i + 1] = sums
+        changed, room, used = top, -1, []
+        for times in range(min(left[top], capacity // lengths[top]), 0, -1):
+            free = capacity - times * lengths[top]
+            filled = (reach[top] & ((1 << (free + 1)) - 1)).bit_length() - 1
+            if room < 0 or times * lengths[top] + filled > used[0][1] * lengths[top] + room:
+                room, used = filled, [(top, times)]
+            if filled == free:
+                break
+        for i in range(top - 1, -1, -1):
+            if not room:
+                break
+            times = min(left[i], room // lengths[i])
+            while not reach[i] >> (room - times * lengths[i]) & 1:
+                times -= 1
+            if times:
+                used.append((i, times))
+                room -= times * lengths[i]
+        copies = min(left[i] // times for i, times in used)
+        for i, times in used:
+            left[i] -= copies * times
+            pieces -= copies * times
+            counts[lengths[i]] -= copies * times
+            if left[i] < capacity // lengths[i]:
+                changed = min(changed, i)
+        yield tuple(lengths[i] for i, times in used for _ in range(times)), copies
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
@@ -152,41 +192,24 @@ def best_fit(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
     return packed
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rounds: int = 30, step: float = 0.5, rest: int = 20_000) -> dict[tuple[int, ...], int]:
+def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rest: int = 0) -> dict[tuple[int, ...], int]:
     """Configurations (lengths, longest first) and how many sequences take each; together they hold ``counts`` exactly.
 
-    Each pass solves the linear program of what is left and keeps whole copies of the
-    configurations that leave at most ``room`` free, which is 0 until a pass gets
-    nowhere. At most ``rest`` pieces, or those that no configuration fits, are left to best fit.
+    All pieces go by configurations, but for the last ``rest`` at most, which best fit packs.
     """
-    left, packed, room = counts.astype(np.int64).copy(), {}, 0
-
-    def take(pattern: np.ndarray | tuple, copies: int) -> None:
-        key = tuple(sorted((int(x) for x in pattern), reverse=True))
-        packed[key] = packed.get(key, 0) + copies
-
-    while left.any() and room <= capacity:
-        before = left.sum()
-        for pattern, copies in sorted(configurations(left, capacity, rounds, step), key=lambda x: -x[1]):
-            lengths, times = np.unique(pattern, return_counts=True)
-            whole = int(min(np.ceil(copies), (left[lengths] // times).min())) if pattern.sum() >= capacity - room else 0
-            if whole:
-                left[lengths] -= whole * times
-                take(pattern, whole)
-        if left.sum() <= rest:
-            break
-        if left.sum() > 0.98 * before:
-            room = 2 * room + 1
+    left, packed = counts.astype(np.int64).copy(), {}
+    for pattern, copies in configurations(left, capacity, rest):
+        packed[pattern] = packed.get(pattern, 0) + copies
     for pattern, copies in best_fit(left, capacity).items():
-        take(pattern, copies)
+        packed[pattern] = packed.get(pattern, 0) + copies
     return packed
 
 
 def slots(spark: SparkSession, packed: dict[tuple[int, ...], int]) -> DataFrame:
     """Which numbers of a length go to which configuration: at most one row per configuration and length.
 
-    Its size does not grow with the corpus: ``plan`` makes ``rounds`` configurations a pass and at most
-    ``rest`` more, of at most ``capacity`` lengths.
+    Its size does not grow with the corpus: ``plan`` makes at most sum(capacity / length) configurations
+    of at most ``capacity`` lengths.
     """
     rows, taken, first = [], {}, 0
     for pattern, copies in packed.items():
