@@ -100,3 +100,49 @@ def test_edge_rows(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     assert dc.find_leaks(docs, bench.limit(0)).count() == 0
     assert dc.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def plain_leaks(docs, items, threshold=0.5):
+    """All pairs aligned whole."""
+    numbers = {}
+    code = lambda text: np.array([numbers.setdefault(w, len(numbers) + 1) for w in dc.words_of(text)], int)
+    docs, items = ([(key, code(text)) for key, text in rows] for rows in (docs, items))
+    return {(d, i) for d, doc in docs for i, item in items if len(item) and dc.last_row(item, doc)[0] / len(item) >= threshold}
+
+
+@pytest.mark.parametrize("kind", ["every 3rd", "every 4th", "last", "random", "words put in"])
+def test_short_edited_items(spark, kind):
+    """Items of 1 to 20 words with words replaced or put in: the same leaks as of all pairs."""
+    rng = random.Random(kind)
+    items, docs = [], []
+    for key, size in enumerate([*range(1, 21)] * 4):
+        item = words(rng, size)
+        edited = list(item)
+        for place in range(size):
+            if kind.startswith("every") and place % int(kind[6]) == int(kind[6]) - 1 or kind == "last" and place == size - 1:
+                edited[place] = "swapped"
+            if kind == "random" and rng.random() < 0.25:
+                edited[place] = "swapped"
+        if kind == "words put in":
+            edited = [word for own in item for word in (own, "put")]
+        items.append((key, " ".join(item)))
+        docs.append((key, " ".join(words(rng, 15) + edited + words(rng, 15))))
+    got = dc.find_leaks(spark.createDataFrame([(*r, "", 0) for r in docs], DOC), spark.createDataFrame([(*r, 0) for r in items], ITEM)).collect()
+    want = plain_leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert len(want) > 60 or kind == "random" and len(want) > 45
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=8), min_size=1, max_size=4), st.lists(st.integers(0, 6), max_size=40), st.sampled_from([0.4, 0.5, 0.8]))
+def test_seeds_lose_nothing(items, doc, threshold):
+    """Few different words, so seeds, stretches and scores of all kinds come up."""
+    text = lambda numbers: " ".join(f"w{n}" for n in numbers)
+    own = dc.Items([(key, text(item)) for key, item in enumerate(items)], threshold)
+    found = own.numbers(dc.words_of(text(doc)))
+    counts = np.bincount(found, minlength=own.size) + np.bincount(own.pairs_in(found), minlength=own.size)
+    counts[0] = 0
+    own.choose(counts)
+    got = {(item, score) for item, score, _, _ in dc.leaks_in(found, own, threshold)}
+    scores = {(key, dc.last_row(own.words[key], found)[0] / len(own.words[key])) for key in range(len(items))}
+    assert got == {(key, score) for key, score in scores if score >= threshold}

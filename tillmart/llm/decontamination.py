@@ -1,19 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are runs of letters, digits and underscores, lower case. The n-grams of the
-test items are counted over the whole corpus; of every ``window`` n-grams in a row of
-an item, the rarest is a seed, so an unedited run of ``n + window - 1`` words of an item
-holds one. Where a seed is in a document, the passage around it is aligned with the
-item, and the alignment's score over the item's length tells a leak, edited or not.
+"""Benchmark decontamination: rare words and word pairs as seeds, then Smith-Waterman alignment.
+
+Words are runs of letters, digits and underscores, lower case. A leak is a passage whose
+alignment with an item scores at least ``threshold`` of the item's length. The seeds of an
+item are chosen so that every such alignment holds one: say it matches m of L words in r
+runs; between runs is an edit of cost c or more, so it scores at most m - c (r - 1), and
+m - r word pairs of the item are matched. For any t, either at least t pairs are, and one
+of the L - t rarest pairs is among them, or m is at least (threshold L - c t) / (1 - c), and
+one of the L - m + 1 rarest words is. Words and pairs of the items are counted over the whole
+corpus, and each item has the t whose seeds are fewest there. Where a seed is in a document,
+the stretch that an alignment can reach is held against the same bound, then aligned.
 
 The items' seeds and words go to the tasks in blocks of at most ``block_grams``
-n-grams; each block is a pass over the documents, so what a task holds is bounded
+words; each block is a pass over the documents, so what a task holds is bounded
 however many items there are.
 
-Defined results: null texts and empty texts have no words and no leaks; an item of
-fewer than ``n`` words is too short to tell a leak from chance and never leaks; items
-that repeat an id are aligned one by one, and the best score of the pair counts; rows
-that repeat a document id likewise; null ids are kept; other columns are not read.
+Defined results: null texts and empty texts have no words and no leaks; items of one or
+two words leak like others; items that repeat an id are aligned one by one, and the best
+score of the pair counts; rows that repeat a document id likewise; null ids are kept; other
+columns are not read.
 """
 
 import re
@@ -51,17 +55,21 @@ def gram_codes(ids: np.ndarray, n: int) -> np.ndarray:
 
 
 class Items:
-    """Words of a block of test items as numbers, their n-grams, and the seeds among them."""
+    """Words of a block of test items as numbers, their word pairs, and the seeds among both.
+
+    Words have their numbers as places in ``seeds`` and ``counts``, pairs the places after them.
+    """
 
-    def __init__(self, rows: list[tuple[int | None, str]], n: int):
-        self.n = n
+    def __init__(self, rows: list[tuple[int | None, str]], threshold: float):
+        self.threshold = threshold
         self.vocabulary: dict[str, int] = {}
         self.ids = [key for key, _ in rows]
         self.words = [self.numbers(words_of(text), learn=True) for _, text in rows]
-        self.grams = [gram_codes(words, n) for words in self.words]
-        self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.grams]))
-        self.seeds = self.codes
-        self.places: list[list[tuple[int, int]]] = []
+        grams = [gram_codes(words, 2) for words in self.words]
+        self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]))
+        self.pairs = [np.searchsorted(self.codes, own) + len(self.vocabulary) + 1 for own in grams]
+        self.seeds = np.zeros(0, bool)
+        self.places: dict[int, np.ndarray] = {}
 
     @classmethod
     def of(cls, fields: dict) -> "Items":
@@ -70,6 +78,10 @@ class Items:
         vars(items).update(fields)
         return items
 
+    @property
+    def size(self) -> int:
+        return len(self.vocabulary) + 1 + len(self.codes)
+
     def numbers(self, words: list[str], learn: bool = False) -> np.ndarray:
         if learn:
             for word in words:
@@ -77,21 +89,42 @@ class Items:
         known = self.vocabulary.get
         return np.fromiter((known(word, 0) for word in words), np.int64, len(words))
 
-    def choose(self, counts: np.ndarray, window: int) -> None:
-        """Keeps the rarest n-gram of every ``window`` in a row; ties go to the smaller code."""
-        chosen = set()
-        rarity = {int(code): (int(count), int(code)) for code, count in zip(self.codes, counts)}
-        for grams in self.grams:
-            codes = [int(code) for code in grams]
-            for start in range(max(1, len(codes) - window + 1) if codes else 0):
-                chosen.add(min(codes[start : start + window], key=rarity.__getitem__))
-        self.seeds = np.array(sorted(chosen), np.uint64)
-        where: dict[int, list[tuple[int, int]]] = {code: [] for code in chosen}
-        for item, grams in enumerate(self.grams):
-            for place, code in enumerate(grams):
-                if int(code) in where:
-                    where[int(code)].append((item, place))
-        self.places = [where[int(code)] for code in self.seeds]
+    def pairs_in(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs that begin at each word; 0 where no item has the pair."""
+        found = np.zeros(len(words), np.int64)
+        at, code = hits_of(gram_codes(words, 2), self.codes)
+        found[at] = code + len(self.vocabulary) + 1
+        return found
+
+    def choose(self, counts: np.ndarray) -> None:
+        """Seeds each item by those rare words and pairs that every leak has one of, and that are fewest in the corpus."""
+        where: dict[int, list[tuple[int, int]]] = {}
+        chosen: set[int] = set()
+        for own, pairs in zip(self.words, self.pairs):
+            size = len(own)
+            words, pairs = (x[np.lexsort((x, counts[x]))] for x in (own, pairs))
+            sums = [np.concatenate([[0], np.cumsum(counts[x])]) for x in (words, pairs)]
+            best = None
+            for least in range(1, size + 1):
+                n_words = max(0, size - fewest_matches(size, self.threshold, least) + 1)
+                total = sums[0][n_words] + sums[1][size - least]
+                if best is None or total < best[0]:
+                    best = (total, n_words, size - least)
+            if best:
+                chosen.update(words[: best[1]].tolist(), pairs[: best[2]].tolist())
+        self.seeds = np.zeros(self.size, bool)
+        self.seeds[sorted(chosen)] = True
+        for item, both in enumerate(zip(self.words, self.pairs)):
+            for numbers in both:
+                for place in np.flatnonzero(self.seeds[numbers]):
+                    where.setdefault(int(numbers[place]), []).append((item, int(place)))
+        self.places = {number: np.array(found) for number, found in where.items()}
+
+
+def fewest_matches(size: int, threshold: float, pairs: int) -> int:
+    """How many words an alignment of that score matches at least, if it matches fewer than ``pairs`` word pairs."""
+    cost = min(MISMATCH, GAP)
+    return max(1, int(np.ceil(max(threshold * size, (threshold * size - cost * pairs) / (1 - cost)) - 1e-9)))
 
 
 def hits_of(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,11 +163,10 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return score, stop - back, stop
 
 
-def windows_of(starts: np.ndarray, reach: int, size: int) -> list[tuple[int, int]]:
-    """Stretches of a document around the places where an item may begin, joined where they overlap."""
+def windows_of(lows: np.ndarray, highs: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of a document, in order, joined where they overlap."""
     found: list[list[int]] = []
-    for start in np.unique(starts):
-        low, high = max(0, int(start) - reach // 2), min(size, int(start) + reach + reach // 2)
+    for low, high in zip(lows.tolist(), highs.tolist()):
         if found and low <= found[-1][1]:
             found[-1][1] = max(found[-1][1], high)
         else:
@@ -144,54 +176,81 @@ def windows_of(starts: np.ndarray, reach: int, size: int) -> list[tuple[int, int
 
 def leaks_in(words: np.ndarray, items: Items, threshold: float) -> Iterator[tuple[int, float, int, int]]:
     """Item, score and span (words) of the best passage for each item that leaks into a document."""
-    at, seed = hits_of(gram_codes(words, items.n), items.seeds)
-    begins: dict[int, list[int]] = {}
-    for place, code in zip(at, seed):
-        for item, inside in items.places[code]:
-            begins.setdefault(item, []).append(int(place) - inside)
-    for item, starts in sorted(begins.items()):
-        own = items.words[item]
+    pairs = items.pairs_in(words)
+    begins: list[np.ndarray] = []
+    for numbers in (words, pairs):
+        for at in np.flatnonzero(items.seeds[numbers]).tolist():
+            item, inside = items.places[int(numbers[at])].T
+            begins.append(np.stack([item, at - inside]))
+    if not begins:
+        return
+    items_at, starts_at = np.concatenate(begins, axis=1)
+    order = np.lexsort((starts_at, items_at))
+    seeded = np.stack([items_at, starts_at])[:, order]
+    firsts = np.flatnonzero(np.diff(seeded[0], prepend=-1))
+    held, cost = np.zeros(items.size, bool), min(MISMATCH, GAP)
+    for first, starts in zip(firsts, np.split(seeded[1], firsts[1:])):
+        item = int(seeded[0, first])
+        own, size = items.words[item], len(items.words[item])
+        # words between those of the item cost a gap each, so no alignment strays further
+        reach = int(size * (1 - threshold) / GAP + 1e-9)
+        lows, highs = np.maximum(starts - reach, 0), np.minimum(starts + size + reach, len(words))
+        base, end = lows[0], highs[-1]
+        inside = []
+        for numbers, those, most in ((words, own, size), (pairs, items.pairs[item], size - 1)):
+            held[those] = True
+            sums = np.concatenate([[0], np.cumsum(held[numbers[base:end]])])
+            held[those] = False
+            inside.append(np.minimum(sums[highs - base] - sums[lows - base], most))
+            if len(inside) == 1 and inside[0].max() < threshold * size - 1e-9:
+                break
+        if len(inside) == 1:
+            continue
+        able = (1 - cost) * inside[0] + cost * (inside[1] + 1) >= threshold * size - 1e-9
+        able &= inside[0] >= threshold * size - 1e-9
         best = (0.0, 0, 0)
-        for low, high in windows_of(np.array(starts), len(own), len(words)):
+        for low, high in windows_of(lows[able], highs[able]):
             score, start, stop = align(own, words[low:high])
-            best = max(best, (score / len(own), -(low + start), low + stop))
+            best = max(best, (score / size, -(low + start), low + stop))
         if best[0] >= threshold:
             yield item, best[0], -best[1], best[2]
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_grams: int) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, threshold: float, block_grams: int) -> Iterator[Items]:
     """Items in blocks; rows come to the driver one partition at a time and stay there for a block only."""
     rows, grams = [], 0
     chosen = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
     for row in chosen.toLocalIterator():
         size = len(words_of(row["text"]))
-        if size < n:
+        if not size:
             continue
         if rows and grams + size > block_grams:
-            yield Items(rows, n)
+            yield Items(rows, threshold)
             rows, grams = [], 0
         rows.append((row["item_id"], row["text"]))
         grams += size
     if rows:
-        yield Items(rows, n)
+        yield Items(rows, threshold)
 
 
 def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """How often each n-gram of the items is in all documents; a task sends one number per n-gram it has seen."""
+    """How often each word and pair of the items is in all documents; a task sends one number for each that it has seen."""
     held = docs.sparkSession.sparkContext.broadcast(vars(items))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Items.of(held.value)
-        seen = np.zeros(len(own.codes), np.int64)
+        seen = np.zeros(own.size, np.int64)
         for frame in frames:
             for text in frame["text"]:
-                _, codes = hits_of(gram_codes(own.numbers(words_of(text)), own.n), own.codes)
-                seen += np.bincount(codes, minlength=len(seen))
+                words = own.numbers(words_of(text))
+                for numbers in (words, own.pairs_in(words)):
+                    np.add.at(seen, numbers, 1)
+        seen[0] = 0
         full = np.flatnonzero(seen)
         yield pd.DataFrame({"code": full, "n": seen[full]})
 
     found = docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(len(items.codes), np.int64)
+    counts = np.zeros(items.size, np.int64)
     counts[found["code"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=np.int64)
     return counts
 
@@ -220,8 +279,6 @@ def find_leaks(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    n: int = 3,
-    window: int = 2,
     threshold: float = 0.5,
     block_grams: int = 1_000_000,
 ) -> DataFrame:
@@ -230,8 +287,8 @@ def find_leaks(
     small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     found = spark.createDataFrame([], LEAKS)
-    for items in item_blocks(benchmark, item_id, item_text, n, block_grams):
-        items.choose(corpus_counts(rows, items), window)
+    for items in item_blocks(benchmark, item_id, item_text, threshold, block_grams):
+        items.choose(corpus_counts(rows, items))
         found = found.union(block_leaks(rows, items, threshold))
     best = F.max(F.struct("score", (-F.col("start")).alias("back"), "stop")).alias("best")
     return (
