@@ -95,3 +95,20 @@ def test_neighbours_against_brute_force(spark, radius):
 def test_no_python_in_the_plan(spark):
     plan = fp.fingerprint_edits(read_table(spark, SF_DIR, "documents"))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_radius_blocks_and_ids(spark):
+    """Copies with a word changed are neighbours, by id; wide radii find what all pairs find."""
+    rows = queries.op9_fingerprints(spark, SF_DIR).collect()
+    for row in rows:
+        want = [r["doc_id"] for r in rows if 0 < bits(row["fingerprint"], r["fingerprint"]) <= queries.RADIUS]
+        assert row["near_ids"] == (",".join(map(str, sorted(want))) if row["doc_id"] % 50 == 0 else None)
+    rng = random.Random(20)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(200)) for _ in range(40)]
+    changed = [" ".join("swapped" if i == 100 else word for i, word in enumerate(text.split())) for text in texts]
+    terms = spark.createDataFrame(list(enumerate(texts + changed)), "key int, text string")
+    found = fp.fingerprint_rows(terms, ["key"], "text").select("key", fp.as_text("f0", "f1").alias("fingerprint"))
+    by_key = {r["key"]: r["fingerprint"] for r in found.collect()}
+    got = {(r["query"], r["fingerprint"]) for r in fp.within_radius(found, found, queries.RADIUS).collect()}
+    assert got == {(a, b) for a in by_key.values() for b in by_key.values() if bits(a, b) <= queries.RADIUS}
+    assert sum((by_key[k], by_key[k + 40]) in got for k in range(40)) >= 38

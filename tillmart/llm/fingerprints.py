@@ -6,8 +6,9 @@ of a term votes for or against, and the fingerprint has the bits that win. Two c
 are held in one 64-bit sum, 32 bits each, so a text may have 2^30 characters.
 
 ``within_radius`` finds all fingerprints within a Hamming radius. A fingerprint is cut into
-``radius + 2`` blocks of hex digits; at least two of them agree with those of a
-neighbour, so there is a table for each pair of blocks, with these two in front.
+blocks, each with a radius of its own; these add up to so much that a neighbour is within
+the radius of one block at least. A query asks for all values of a block within its radius,
+and a pair is taken at the first block that has it, so it comes once.
 
 Defined results: a null text is the empty text; all texts without letters and digits have
 the same terms; equal texts have equal fingerprints; a bit without majority is 0; rows that
@@ -154,20 +155,29 @@ def fingerprint_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     )
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Bits in which two fingerprints, as hex texts, differ."""
-    part = lambda x, at: F.conv(F.substring(x, at, 8), 16, 10).cast("long")
-    return reduce(lambda x, y: x + y, (F.bit_count(part(a, at).bitwiseXOR(part(b, at))) for at in range(1, DIGITS, 8)))
+def halves(fingerprint: Column) -> list[Column]:
+    """The two 64-bit halves of a hex text, as signed numbers."""
+    part = lambda at: F.conv(F.substring(fingerprint, at, 8), 16, 10).cast("long")
+    return [F.shiftleft(part(at), 32).bitwiseOR(part(at + 8)) for at in (1, 17)]
 
 
-def block_tables(fingerprint: Column, radius: int) -> Column:
-    """The keys of a fingerprint in all tables: table number and the two blocks in front."""
+def split_bits(value: int) -> tuple[int, int]:
+    return _signed(value >> 64), _signed(value & ((1 << 64) - 1))
+
+
+def blocks_of(radius: int) -> list[tuple[list[int], int]]:
+    """Blocks (their bits) with radii of at most 2: if all were exceeded, more than ``radius`` bits would differ."""
     if not 0 <= radius <= DIGITS - 2:
         raise ValueError(f"radius must be 0 to {DIGITS - 2}")
-    blocks = radius + 2
-    cuts = [DIGITS * i // blocks for i in range(blocks + 1)]
-    block = [F.substring(fingerprint, cuts[i] + 1, cuts[i + 1] - cuts[i]) for i in range(blocks)]
-    return F.array(*[F.concat(F.lit(f"{i}.{j}:"), block[i], block[j]) for i, j in combinations(range(blocks), 2)])
+    n = max(4, radius // 3 + 1)
+    cuts = [BITS * i // n for i in range(n + 1)]
+    radii = [radius // n - (i > radius % n) for i in range(n)]
+    return [(list(range(cuts[i], cuts[i + 1])), own) for i, own in enumerate(radii) if own >= 0]
+
+
+def changes(bits: list[int], radius: int) -> list[int]:
+    """All sets of at most ``radius`` of these bits, as numbers."""
+    return [sum(1 << bit for bit in some) for size in range(radius + 1) for some in combinations(bits, size)]
 
 
 def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int) -> DataFrame:
@@ -175,13 +185,32 @@ def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int) -> D
 
     Both tables have a column ``fingerprint``; null ones have no neighbours.
     """
-    keyed = [df.select("fingerprint").dropna().distinct().select("fingerprint", F.explode(block_tables(F.col("fingerprint"), radius)).alias("key")) for df in (queries, fingerprints)]
-    apart = distance(F.col("query"), F.col("fingerprint"))
-    return (
-        keyed[0]
-        .withColumnRenamed("fingerprint", "query")
-        .join(keyed[1], "key")
-        .select("query", "fingerprint", apart.alias("distance"))
-        .filter(F.col("distance") <= radius)
-        .distinct()
-    )
+    blocks = blocks_of(radius)
+    masks = [split_bits(sum(1 << bit for bit in bits)) for bits, _ in blocks]
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        f0, f1 = halves(F.col("fingerprint"))
+        return df.select("fingerprint").dropna().distinct().select(F.col("fingerprint").alias(name), f0.alias(f"{name}0"), f1.alias(f"{name}1"))
+
+    def key(block: int, name: str) -> Column:
+        parts = [F.col(f"{name}{i}").bitwiseAND(F.lit(masks[block][i])) for i in (0, 1)]
+        return F.struct(F.lit(block).alias("block"), parts[0].alias("k0"), parts[1].alias("k1"))
+
+    spark = queries.sparkSession
+    # which values of a block are asked for is the same for all queries
+    listed = [(block, *split_bits(change)) for block, (bits, own) in enumerate(blocks) for change in changes(bits, own)]
+    asked_for = F.broadcast(spark.createDataFrame(listed, "block int, c0 long, c1 long"))
+    own_mask = [F.array(*[F.lit(mask[i]) for mask in masks])[F.col("block")] for i in (0, 1)]
+    asked = rows(queries, "query").crossJoin(asked_for).select(
+        "query", "query0", "query1", "block",
+        *[F.col(f"query{i}").bitwiseAND(own_mask[i]).bitwiseXOR(F.col(f"c{i}")).alias(f"k{i}") for i in (0, 1)],
+    )
+    held = rows(fingerprints, "other").select("*", F.explode(F.array(*[key(block, "other") for block in range(len(blocks))])).alias("k"))
+    held = held.select("other", "other0", "other1", F.col("k.block").alias("held_block"), F.col("k.k0").alias("h0"), F.col("k.k1").alias("h1"))
+    apart = [F.col(f"query{i}").bitwiseXOR(F.col(f"other{i}")) for i in (0, 1)]
+    total = F.bit_count(apart[0]) + F.bit_count(apart[1])
+    same = (F.col("block") == F.col("held_block")) & (F.col("k0") == F.col("h0")) & (F.col("k1") == F.col("h1")) & (total <= radius)
+    for block, (_, own) in enumerate(blocks[:-1]):
+        within = reduce(lambda x, y: x + y, (F.bit_count(apart[i].bitwiseAND(F.lit(masks[block][i]))) for i in (0, 1)))
+        same &= (F.col("block") <= block) | (within > own)
+    return asked.join(held, same).select("query", F.col("other").alias("fingerprint"), total.alias("distance"))

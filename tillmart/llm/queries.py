@@ -95,17 +95,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Fingerprints of which more than this many bits differ are no neighbours.
-RADIUS = 3
+RADIUS = 20
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edits; of every document whose id 50 divides, also how many other
-    distinct fingerprints of all documents are within ``RADIUS`` (``n_near``, else null)."""
+    distinct fingerprints of all documents are within ``RADIUS`` (``n_near``, else null), and the ids of the
+    documents that have these, ascending (``near_ids``, with commas between)."""
     found = written(fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents")), "fingerprints")
     asked = found.withColumn("query", F.when(F.col("doc_id") % 50 == 0, F.col("fingerprint")))
-    near = fingerprints.within_radius(asked.select(F.col("query").alias("fingerprint")), found, RADIUS)
-    counts = written(near.groupBy("query").agg((F.count("*") - 1).alias("n_near")), "near")
-    return asked.join(counts, "query", "left").drop("query")
+    near = written(fingerprints.within_radius(asked.select(F.col("query").alias("fingerprint")), found, RADIUS), "near")
+    counts = near.groupBy("query").agg((F.count("*") - 1).alias("n_near"))
+    others = near.filter("query <> fingerprint").join(found.select("doc_id", "fingerprint"), "fingerprint")
+    ids = others.groupBy("query").agg(F.array_join(F.sort_array(F.collect_list("doc_id")).cast("array<string>"), ",").alias("near_ids"))
+    both = written(counts.join(ids, "query", "left").withColumn("near_ids", F.coalesce("near_ids", F.lit(""))), "neighbours")
+    return asked.join(both, "query", "left").drop("query")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
