@@ -55,21 +55,28 @@ def base32_of_hex(digest: Column) -> Column:
 
 
 def kept(name: str, make: Callable):
-    """What ``make`` has made in this process first: Python workers outlive tasks, and so does what they remember."""
+    """What ``make`` has made under this name in this process: Python workers outlive tasks, and so does what they remember.
+
+    A process keeps one thing. When another name is asked for, as in the next stage of a pipeline, the former one goes.
+    """
     held = vars(sys.modules.setdefault("_tillmart_kept", ModuleType("_tillmart_kept")))
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    if held.get("kept_name") != name:
+        held.update(kept_name=None, kept_value=None)
+        held.update(kept_value=make(), kept_name=name)
+    return held["kept_value"]
 
 
 class Remembered(dict):
-    """Values by key, worked out once by ``find``; at most twice ``most`` of them, those used last, and no long keys."""
+    """Values by key, worked out once by ``find``; those used last, in at most ``most_bytes``, and no long keys."""
 
-    most, longest = 150_000, 64
+    most_bytes, longest = 36_000_000, 64
+    #: Bytes of an entry besides key and value: its place in the table, and two object headers.
+    entry_bytes = 190
 
     def __init__(self):
         super().__init__()
         self.older: dict = {}
+        self.held_bytes = 0
 
     def find(self, key):
         raise NotImplementedError
@@ -79,9 +86,12 @@ class Remembered(dict):
         if value is None:
             value = self.find(key)
         if len(key) <= self.longest:
-            if len(self) >= self.most:
+            weight = self.entry_bytes + len(key) + (len(value) if isinstance(value, bytes) else 0)
+            if self.held_bytes + weight > self.most_bytes // 2:
                 self.older = dict(self)
                 self.clear()
+                self.held_bytes = 0
+            self.held_bytes += weight
             self[key] = value
         return value
 

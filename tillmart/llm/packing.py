@@ -40,8 +40,6 @@ class WordIds(Remembered):
     sign, and a word in letters goes straight to the merges.
     """
 
-    most = 250_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
