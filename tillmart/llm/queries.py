@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, packing, secret_scan, token_counts, warc
+from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, packing, phrases, secret_scan, token_counts, warc
 from tillmart.llm.common import read_table
 from tillmart.session import shared_dir, written
 
@@ -116,6 +116,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to five words of each language."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_fingerprints,
         op10_jaccard_join,
+        op13_phrases,
     )
 }
 
@@ -216,6 +222,35 @@ SELECT w.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(reach
 FROM w JOIN reach ON reach.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
+OP13_SQL = r"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda w: w <> '') AS words
+    FROM documents, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS s(p)),
+total AS (SELECT lang, sum(len(words)) AS n FROM piece GROUP BY lang),
+f AS (
+    SELECT lang, size, words[i:i + size - 1] AS words, count(*) AS f
+    FROM piece, generate_series(1, 5) AS a(size), generate_series(1, len(words) - size + 1) AS b(i)
+    GROUP BY ALL HAVING count(*) >= 100),
+cut AS (
+    SELECT c.lang, c.words, c.size, c.f AS a, l.f AS l, r.f AS r, n, k,
+           (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM f AS c JOIN total USING (lang), generate_series(1, c.size - 1) AS s(k)
+    JOIN f AS l ON l.lang = c.lang AND l.words = c.words[1:k] JOIN f AS r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+    WHERE c.size > 1),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_part AS (
+    SELECT lang, words[i:i + size - 1] AS words, max(f) AS outer_f
+    FROM (SELECT lang, words, f, len(words) AS total FROM f), generate_series(2, 4) AS a(size), generate_series(1, total - size + 1) AS b(i)
+    WHERE size < total GROUP BY ALL),
+ranked AS (
+    SELECT best.lang, array_to_string(best.words, ' ') AS phrase, a, l, r, n, score,
+           row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, array_to_string(best.words, ' ')) AS rank
+    FROM best LEFT JOIN inner_part ON inner_part.lang = best.lang AND inner_part.words = best.words
+    WHERE outer_f IS NULL OR 100 * outer_f < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op10_jaccard_join": OP10_SQL, "op13_phrases": OP13_SQL}
