@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, packing, phrases, secret_scan, token_counts, warc
+from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, merkle, packing, phrases, secret_scan, token_counts, warc
 from tillmart.llm.common import read_table
 from tillmart.session import shared_dir, written
 
@@ -116,6 +116,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, held against documents some of which have lost their line breaks."""
+    return merkle.verify(read_table(spark, sf_dir, "documents"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of two to five words of each language."""
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_fingerprints,
         op10_jaccard_join,
+        op12_merkle,
         op13_phrases,
     )
 }
@@ -222,6 +228,68 @@ SELECT w.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(reach
 FROM w JOIN reach ON reach.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
+# CRC-32 of the sixteen half bytes.
+CRC_STEPS = """0x00000000 0x1db71064 0x3b6e20c8 0x26d930ac 0x76dc4190 0x6b6b51f4 0x4db26158 0x5005713c
+0xedb88320 0xf00f9344 0xd6d6a3e8 0xcb61b38c 0x9b64c2b0 0x86d3d2d4 0xa00ae278 0xbdbdf21c"""
+_STEPS = ", ".join(str(int(step, 16)) for step in CRC_STEPS.split())
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes and runs of the trees over ``leaves`` (tree, pos, digest), level by level."""
+    return f"""
+{name}_node AS (
+    SELECT tree, 0 AS level, pos, digest FROM {leaves}
+    UNION ALL
+    SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS total FROM {name}_node) WHERE total > 1 GROUP BY tree, level, pos // 3),
+{name}_sized AS (SELECT *, count(*) OVER (PARTITION BY tree, level) AS total FROM {name}_node),
+{name}_run AS (
+    SELECT tree, level, pos // 3 AS run, list(digest ORDER BY pos) AS digests FROM {name}_sized WHERE total > 1 GROUP BY tree, level, pos // 3),
+{name}_root AS (SELECT tree, digest AS root FROM {name}_sized WHERE total = 1),
+{name}_way AS (
+    SELECT l.tree, l.pos, list(array_to_string(digests[:p], '') || '|' || array_to_string(digests[p + 2:], '') ORDER BY r.level) AS way
+    FROM (SELECT l.*, r.level, r.digests, (l.pos // (3 ** r.level)::BIGINT) % 3 AS p
+          FROM {leaves} AS l JOIN {name}_run AS r ON r.tree = l.tree AND r.run = l.pos // (3 ** (r.level + 1))::BIGINT) AS r
+    JOIN {leaves} AS l USING (tree, pos) GROUP BY l.tree, l.pos)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(_field_sql(name) for name in merkle.FIELDS)
+_SEEN = " || ".join(_field_sql(name) for name in [*merkle.FIELDS[:-1], "seen_text"])
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+    SELECT doc_id, list_reduce(
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+        lambda a, b: xor(([{_STEPS}])[1 + (xor(xor(([{_STEPS}])[1 + (xor(a, b) & 15)]::BIGINT, a >> 4), b >> 4) & 15)]::BIGINT,
+                         xor(([{_STEPS}])[1 + (xor(a, b) & 15)]::BIGINT, a >> 4) >> 4),
+        4294967295) AS inverse
+    FROM documents),
+doc AS (
+    SELECT documents.*, CASE WHEN inverse % 2 = 1 THEN replace(text, chr(10), '') ELSE text END AS seen_text
+    FROM documents JOIN crc USING (doc_id)),
+leaf AS (
+    SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_LEAF}) AS digest, sha256({_SEEN}) AS seen,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos
+    FROM doc),
+{_tree_sql("low", "leaf")},
+tops AS (SELECT '' AS tree, tree AS source, root AS digest, row_number() OVER (ORDER BY tree) - 1 AS pos FROM low_root),
+{_tree_sql("high", "tops")},
+told AS (
+    SELECT doc_id, leaf.digest AS leaf, seen, tops.digest AS subroot, root, list_concat(coalesce(low_way.way, []), coalesce(high_way.way, [])) AS way
+    FROM leaf JOIN tops ON tops.source = leaf.tree JOIN high_root ON true
+    LEFT JOIN low_way ON low_way.tree = leaf.tree AND low_way.pos = leaf.pos LEFT JOIN high_way ON high_way.pos = tops.pos),
+folded AS (
+    SELECT *, CASE WHEN len(way) = 0 THEN seen ELSE
+        list_reduce(way, lambda a, b: sha256(split_part(b, '|', 1) || a || split_part(b, '|', 2)), seen) END AS folded_root
+    FROM told)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(way, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
+
 OP13_SQL = r"""
 WITH piece AS (
     SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda w: w <> '') AS words
@@ -253,4 +321,4 @@ SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op10_jaccard_join": OP10_SQL, "op13_phrases": OP13_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op10_jaccard_join": OP10_SQL, "op12_merkle": OP12_SQL, "op13_phrases": OP13_SQL}
