@@ -54,5 +54,5 @@ def test_language_stage_rejects(spark):
 
 def test_registered(spark):
     assert contract.queries()["pipeline"] is pipeline.run
-    wanted = {f"op{n}_" for n in range(1, 11)}
+    wanted = {f"op{n}_" for n in range(1, 14)}
     assert {name.split("_")[0] + "_" for name in contract.queries() if name.startswith("op")} == wanted

@@ -5,6 +5,7 @@ from base64 import b32encode
 from collections import defaultdict
 from hashlib import sha1
 
+from tests.compare import assert_same, connect
 from tests.conftest import SF_DIR
 from tillmart.llm import queries, warc
 from tillmart.llm.common import read_table
@@ -86,3 +87,7 @@ def test_archives_are_cut(spark, monkeypatch):
     path, rows = back(spark, pages)
     assert len(rows) == 20
     assert spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).count() == 7
+
+
+def test_query_against_sql(spark):
+    assert assert_same(queries.op3_warc(spark, SF_DIR), connect(SF_DIR).sql(queries.OP3_SQL)) > 0

@@ -4,7 +4,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmart.llm import chat, decontamination, fingerprints, jaccard, language, line_dedup, merkle, packing, phrases, secret_scan, token_counts, warc
+from tillmart.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    hyperminhash,
+    jaccard,
+    language,
+    line_dedup,
+    merkle,
+    packing,
+    phrases,
+    secret_scan,
+    token_counts,
+    warc,
+)
 from tillmart.llm.common import read_table
 from tillmart.session import shared_dir, written
 
@@ -116,6 +130,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: four words, similarity 0.8."""
+    return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), n=4, num=80, den=100)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, held against documents some of which have lost their line breaks."""
     return merkle.verify(read_table(spark, sf_dir, "documents"))
@@ -139,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_fingerprints,
         op10_jaccard_join,
+        op11_hyperminhash,
         op12_merkle,
         op13_phrases,
     )
@@ -207,27 +227,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
-OP10_SQL = r"""
+
+def _groups_sql(n: int, percent: int) -> str:
+    """Documents with their word n-grams, the sizes of their sets, and the documents that each reaches by links."""
+    return rf"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words
     FROM documents),
 g AS (
-    SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN words ELSE words[i:i + 2] END AS gram
-    FROM w, generate_series(1, greatest(len(words) - 2, 1)) AS s(i) WHERE len(words) > 0),
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < {n} THEN words ELSE words[i:i + {n} - 1] END AS gram
+    FROM w, generate_series(1, greatest(len(words) - {n} + 1, 1)) AS s(i) WHERE len(words) > 0),
 n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
 pair AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM g AS x JOIN g AS y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
 link AS (
     SELECT a, b FROM pair JOIN n AS x ON a = x.doc_id JOIN n AS y ON b = y.doc_id
-    WHERE 100 * common >= 90 * (x.size + y.size - common)),
+    WHERE 100 * common >= {percent} * (x.size + y.size - common)),
 reach AS (
     SELECT doc_id AS node, doc_id AS other FROM w
     UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a)
+"""
+
+
+OP10_SQL = _groups_sql(3, 90) + """
 SELECT w.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(reach.other) AS component_id
 FROM w JOIN reach ON reach.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
+OP11_SQL = _groups_sql(4, 80) + """
+SELECT w.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(reach.other) AS component_id,
+       min(reach.other) = w.doc_id AS kept
+FROM w JOIN reach ON reach.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
 # CRC-32 of the sixteen half bytes.
 CRC_STEPS = """0x00000000 0x1db71064 0x3b6e20c8 0x26d930ac 0x76dc4190 0x6b6b51f4 0x4db26158 0x5005713c
 0xedb88320 0xf00f9344 0xd6d6a3e8 0xcb61b38c 0x9b64c2b0 0x86d3d2d4 0xa00ae278 0xbdbdf21c"""
@@ -321,4 +354,12 @@ SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op10_jaccard_join": OP10_SQL, "op12_merkle": OP12_SQL, "op13_phrases": OP13_SQL}
+    return {
+        "op3_warc": OP3_SQL,
+        "op4_line_dedup": OP4_SQL,
+        "op6_chat_format": OP6_SQL,
+        "op10_jaccard_join": OP10_SQL,
+        "op11_hyperminhash": OP11_SQL,
+        "op12_merkle": OP12_SQL,
+        "op13_phrases": OP13_SQL,
+    }
