@@ -3,17 +3,19 @@
 Texts are lower-cased (A-Z), split into pieces at ``.,;:!?`` and line breaks, and pieces
 into words at blanks and tabs. All counts are per language.
 
-The n-grams of a level are found in two passes over the encoded texts. In the first, n-grams are
+Words are counted as the texts are encoded. Longer n-grams are found in two passes over the encoded texts, first pairs,
+then phrases of three words and more. In the first pass, n-grams are
 dealt by hash to partitions. A summary of a partition has at most as many counters as its
 mass (all its n-gram occurrences) divided by ``least``, and one more. Each task makes
 summaries of its texts, they are shuffled by partition and merged; too many counters are cut by
 taking the first one that is too many from all. What a count loses by that, in all tasks and merges together, is less than
-``least``, so every n-gram that occurs ``least`` times survives. The survivors are marked in a bitmap of
+``least``, so every n-gram that occurs ``least`` times survives; as summaries carry what they have lost, those that cannot
+have occurred that often even with it go. The survivors are marked in a bitmap of
 fixed size, and the second pass counts, exactly and by its words, each n-gram that is marked;
 one that is marked by chance is counted like others and dropped with those below ``least``.
 
-The levels are single words, pairs, and longer phrases. A phrase is counted only where all its words, or
-all its pairs, are marked, as it is no more frequent than they are.
+A pair is counted only where both its words are frequent, a phrase only where all its pairs are, as it is no more
+frequent than they are. For that the frequent words, then pairs, are marked in a bitmap, too.
 
 A phrase's score is its lowest over all cuts into two: 1000 * count * words / (count of the first part *
 count of the rest), rounded down. All parts of a frequent phrase are frequent and so counted exactly.
@@ -24,6 +26,7 @@ more frequent phrase, then the first in byte order; other columns are not read;
 Words are told apart by 64-bit hashes.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +34,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tillmart.llm.common import Remembered, fresh, kept, small_batches, text_of
+from tillmart.llm.common import Remembered, kept, small_batches, text_of
 from tillmart.session import written
 
 #: Bits of the bitmap that marks what survives: 8 MB, however large the corpus is.
 MARK_BITS = 26
 #: Counters that a task holds before it sends its summaries on and begins anew; words it takes before it sums them up.
-HELD, BUFFER = 1_500_000, 1_500_000
+HELD, BUFFER = 1_000_000, 500_000
+#: Words that a task counts before it sends the counts on.
+COUNTED = 100_000
 LONGEST = 5
 LETTERS = bytes(range(65, 91))
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -74,31 +79,42 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def encode(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, n, codes): the texts as word codes, pieces ended by 0; and (code, word) of all words, some more than once."""
+    """(lang, n, codes): the texts as word codes, pieces ended by 0; and (lang, code, word, n): how often some texts have each word."""
+
+    def rows_of(counts: dict[str, Counter], codes: Codes) -> Iterator[pd.DataFrame]:
+        for lang, own in counts.items():
+            words = list(own)
+            for at in range(0, len(words), COUNTED // 5):
+                part = words[at : at + COUNTED // 5]
+                told = np.fromiter(map(codes.__getitem__, part), np.uint64, len(part)).view(np.int64)
+                spelled = [word.decode("utf-8", "surrogatepass") for word in part]
+                yield pd.DataFrame([(1, lang, 0, told, spelled, [own[word] for word in part])], columns=names)
+        counts.clear()
+
+    names = ["kind", "lang", "n", "codes", "words", "counts"]
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, spelled = kept("word codes", Codes), {}
+        codes, counts = kept("word codes", Codes), {}
         for frame in frames:
             rows = []
             for lang, text in zip(frame["lang"], frame["text"]):
                 words = words_of(text)
                 own = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-                new = {word: code for word, code in zip(words, own.tolist()) if word not in spelled}
-                new.pop(b"\n", None)
-                if len(spelled) > 100_000:
-                    spelled.clear()
-                spelled.update(dict.fromkeys(new))
-                rows.append((0, lang, int((own > 0).sum()), own.view(np.int64), None))
-                if new:
-                    told = np.fromiter(new.values(), np.uint64, len(new)).view(np.int64)
-                    rows.append((1, None, 0, told, [word.decode("utf-8", "surrogatepass") for word in new]))
-            yield pd.DataFrame(rows, columns=["kind", "lang", "n", "codes", "words"])
+                seen = counts.setdefault(lang, Counter())
+                seen.update(words)
+                breaks = seen.pop(b"\n", 0)
+                rows.append((0, lang, len(words) - breaks, own.view(np.int64), None, None))
+            yield pd.DataFrame(rows, columns=names)
+            if sum(map(len, counts.values())) > COUNTED:
+                yield from rows_of(counts, codes)
+        yield from rows_of(counts, codes)
 
     small_batches(docs.sparkSession)
-    both = written(docs.mapInPandas(work, "kind int, lang string, n long, codes array<long>, words array<string>"), "encoded")
+    schema = "kind int, lang string, n long, codes array<long>, words array<string>, counts array<long>"
+    both = written(docs.mapInPandas(work, schema), "encoded")
     texts = both.filter("kind = 0 and n > 0").select("lang", "n", "codes")
-    spelled = both.filter("kind = 1").select(F.explode(F.arrays_zip("codes", "words")).alias("w"))
-    return texts, spelled.select(F.col("w.codes").alias("code"), F.col("w.words").alias("word"))
+    spelled = both.filter("kind = 1").select("lang", F.explode(F.arrays_zip("codes", "words", "counts")).alias("w"))
+    return texts, spelled.select("lang", F.col("w.codes").alias("code"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
 
 
 class Tokens:
@@ -108,7 +124,7 @@ class Tokens:
         self.codes = codes.view(np.uint64)
         self.langs = np.repeat(langs, lengths)
 
-    def grams(self, size: int, marks: np.ndarray | None, marked: int) -> tuple[np.ndarray, np.ndarray]:
+    def grams(self, size: int, marks: np.ndarray, marked: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of the n-grams within pieces all of whose ``marked``-grams have a mark."""
         n = len(self.codes) - size + 1
         if n <= 0:
@@ -117,11 +133,8 @@ class Tokens:
         for i in range(1, size):
             inside &= self.codes[i : i + n] > 0
         places = np.flatnonzero(inside)
-        if marks is not None:
-            for i in range(size - marked + 1):
-                if not len(places):
-                    break
-                places = places[is_marked(marks, self.keys(places + i, marked))]
+        for i in range(size - marked + 1):
+            places = places[is_marked(marks, self.keys(places + i, marked))]
         return places, self.keys(places, size)
 
     def keys(self, places: np.ndarray, size: int) -> np.ndarray:
@@ -164,7 +177,8 @@ def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, d
 class Summary:
     """A Misra-Gries summary for each hash partition: sorted keys with counts, so a partition is a stretch of them.
 
-    ``capacity`` has the most counters of each partition, ``begins`` its least key.
+    ``capacity`` has the most counters of each partition, ``begins`` its least key, and ``lost`` how much less than
+    the truth a count of it is at most.
     """
 
     def __init__(self, capacity: np.ndarray):
@@ -175,6 +189,12 @@ class Summary:
 
     def clear(self) -> None:
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.lost = np.zeros(len(self.capacity), np.int64)
+
+    @property
+    def ends(self) -> np.ndarray:
+        """Where the keys of each partition begin, and the end of the last one's."""
+        return np.append(np.searchsorted(self.keys, self.begins), len(self.keys))
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Counts of the same key are added; a partition with too many counters loses the first one that is too many from all."""
@@ -182,17 +202,22 @@ class Summary:
         totals = np.zeros(len(self.keys), np.int64)
         np.add.at(totals, inverse, np.concatenate([self.counts, counts]))
         self.counts = totals
-        ends = np.append(np.searchsorted(self.keys, self.begins), len(self.keys))
-        sizes = np.diff(ends)
-        over = np.flatnonzero(sizes > self.capacity)
+        ends = self.ends
+        over = np.flatnonzero(np.diff(ends) > self.capacity)
         for part in over.tolist():
             own = self.counts[ends[part] : ends[part + 1]]
             place = len(own) - 1 - int(self.capacity[part])
-            own -= np.partition(own, place)[place]
+            cut = np.partition(own, place)[place]
+            own -= cut
+            self.lost[part] += cut
         if len(over):
             left = self.counts > 0
             self.keys, self.counts = self.keys[left], self.counts[left]
 
+    def able(self, least: int) -> np.ndarray:
+        """The keys that may have occurred ``least`` times."""
+        return self.keys[self.counts + np.repeat(self.lost, np.diff(self.ends)) >= least]
+
 
 def partitions_of(mass: int, least: int) -> int:
     """Hash partitions, a power of two, so that a summary has about 30,000 counters; 256 at least, as tasks share them out."""
@@ -205,26 +230,67 @@ def to_rows(schema: str):
     return lambda *columns: pa.RecordBatch.from_arrays([column if isinstance(column, pa.Array) else pa.array(column) for column in columns], names)
 
 
-def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: np.ndarray | None = None, marked: int = 1):
-    """(lang, words, n) of the n-grams of ``sizes`` that occur ``least`` times, written, and the bitmap of what survived.
+def grams_of(batches: Iterator[pa.RecordBatch], sizes: list[int], given, marked: int) -> Iterator[tuple]:
+    """(tokens, names of the languages, size, places, keys) of the n-grams in batches of texts."""
+    for tokens, names in token_batches(batches):
+        for size in sizes:
+            yield tokens, names, size, *tokens.grams(size, given.value, marked)
+
+
+def marks_of(keys: DataFrame, n_parts: int) -> np.ndarray:
+    """A bitmap of the ``keys`` (part, key); each of its slices is made in one task."""
+    slice_bits = (1 << MARK_BITS) // n_parts
+    as_marks = to_rows("part int, bits binary")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: dict[int, np.ndarray] = {}
+        for batch in batches:
+            places = (batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+            parts = places // slice_bits
+            for part in np.unique(parts).tolist():
+                slices.setdefault(part, np.zeros(slice_bits, np.uint8))[places[parts == part] - part * slice_bits] = 1
+        for part, bits in slices.items():
+            yield as_marks(np.array([part], np.int32), pa.array([np.packbits(bits).tobytes()], pa.binary()))
+
+    bitmap = np.zeros((1 << MARK_BITS) // 8, np.uint8)
+    # a slice a partition, so as many bytes as the bitmap has
+    for row in keys.repartition("part").mapInArrow(mark, "part int, bits binary").collect():
+        begin = row["part"] * slice_bits // 8
+        bitmap[begin : begin + slice_bits // 8] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap
+
+
+def marks_of_frequent(found: DataFrame, size: int, n_parts: int = 256) -> np.ndarray:
+    """The bitmap of n-grams (lang, words) of ``size``."""
+    from xxhash import xxh3_64_intdigest
+
+    as_keys, shift = to_rows("part int, key long"), np.uint64(64 - (n_parts - 1).bit_length())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [xxh3_64_intdigest(name) for name in batch.column("lang").to_pylist()]
+            words = batch.column("words").flatten().to_numpy(zero_copy_only=False)
+            tokens = Tokens(np.array(hashes, np.uint64), np.full(len(hashes), size), words)
+            keys = tokens.keys(np.arange(len(hashes)) * size, size)
+            yield as_keys((keys >> shift).astype(np.int32), keys.view(np.int64))
+
+    return marks_of(found.select("lang", "words").mapInArrow(work, "part int, key long"), n_parts)
+
+
+def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: np.ndarray, marked: int) -> DataFrame:
+    """(lang, words, n) of the n-grams of ``sizes`` that occur ``least`` times, written.
 
     ``mass`` is not less than all words. ``marks`` has the ``marked``-grams that are frequent.
     """
     spark: SparkSession = texts.sparkSession
     n_parts = partitions_of(mass * len(sizes), least)
     shift = np.uint64(64 - (n_parts - 1).bit_length())
-    given = spark.sparkContext.broadcast(marks) if marks is not None else None
-
-    def keys_of(batches):
-        for tokens, _ in token_batches(batches):
-            for size in sizes:
-                yield tokens.grams(size, given and given.value, marked)[1]
-
-    as_mass = to_rows("part int, n long")
+    given = spark.sparkContext.broadcast(marks)
+    as_mass, as_counts, as_keys = to_rows("part int, n long"), to_rows("part int, key long, n long"), to_rows("part int, key long")
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_parts, np.int64)
-        for keys in keys_of(batches):
+        for *_, keys in grams_of(batches, sizes, given, marked):
             seen += np.bincount((keys >> shift).astype(np.int64), minlength=n_parts)
         full = np.flatnonzero(seen)
         yield as_mass(full.astype(np.int32), seen[full])
@@ -233,27 +299,26 @@ def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: n
     capacity = np.ones(n_parts, np.int64)
     capacity[weighed["part"].to_numpy(int)] = weighed["n"].to_numpy(np.int64) // least + 1
     room = spark.sparkContext.broadcast(capacity)
-    as_counts = to_rows("part int, key long, n long")
 
     def rows_of(summary: Summary) -> Iterator[pa.RecordBatch]:
+        """The counters, and for each partition that has lost something a row with that below zero."""
+        losing = np.flatnonzero(summary.lost)
+        yield as_counts(losing.astype(np.int32), np.zeros(len(losing), np.int64), -summary.lost[losing])
         for at in range(0, len(summary.keys), 100_000):
             keys, counts = summary.keys[at : at + 100_000], summary.counts[at : at + 100_000]
             yield as_counts((keys >> shift).astype(np.int32), keys.view(np.int64), counts)
 
     def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = Summary(room.value)
-        for keys in keys_of(batches):
+        for *_, keys in grams_of(batches, sizes, given, marked):
             summary.merge(*np.unique(keys, return_counts=True))
             if len(summary.keys) > HELD:
                 yield from rows_of(summary)
                 summary.clear()
         yield from rows_of(summary)
 
-    slice_bytes = (1 << MARK_BITS) // 8 // n_parts
-    as_marks = to_rows("part int, bits binary")
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Merges the summaries of the task's partitions as they come, and marks what is left."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Merges the summaries of the task's partitions as they come; the keys that may be frequent are left."""
         summary, held, size = Summary(room.value), [], 0
 
         def settle() -> None:
@@ -262,25 +327,21 @@ def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: n
                 held.clear()
 
         for batch in batches:
-            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
+            parts, keys, counts = (batch.column(name).to_numpy() for name in ("part", "key", "n"))
+            lost = counts < 0
+            np.add.at(summary.lost, parts[lost], -counts[lost])
+            held.append((keys[~lost].view(np.uint64), counts[~lost]))
             size += batch.num_rows
-            if size > BUFFER // 4:
+            if size > BUFFER:
                 settle()
                 size = 0
         settle()
-        ends = np.append(np.searchsorted(summary.keys, summary.begins), len(summary.keys))
-        for part in np.flatnonzero(np.diff(ends)).tolist():
-            places = (summary.keys[ends[part] : ends[part + 1]] >> np.uint64(64 - MARK_BITS)).astype(np.int64) - part * slice_bytes * 8
-            bits = np.zeros(slice_bytes * 8, np.uint8)
-            bits[places] = 1
-            yield as_marks(np.array([part], np.int32), pa.array([np.packbits(bits).tobytes()], pa.binary()))
+        keys = summary.able(least)
+        yield as_keys((keys >> shift).astype(np.int32), keys.view(np.int64))
 
     counted = texts.mapInArrow(summarize, "part int, key long, n long")
-    survived = counted.repartition("part").mapInArrow(mark, "part int, bits binary")
-    bitmap = np.zeros((1 << MARK_BITS) // 8, np.uint8)
-    for row in survived.toLocalIterator():
-        bitmap[row["part"] * slice_bytes : (row["part"] + 1) * slice_bytes] = np.frombuffer(row["bits"], np.uint8)
-    found = spark.sparkContext.broadcast(bitmap)
+    survived = counted.repartition("part").mapInArrow(merge, "part int, key long")
+    found = spark.sparkContext.broadcast(marks_of(survived, n_parts))
     as_exact = to_rows("lang string, words array<long>, n long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,29 +355,26 @@ def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: n
             listed = pa.ListArray.from_arrays(ends.astype(np.int32), own[held].view(np.int64))
             return as_exact(pa.array([names[code] for code in words[:, 0].tolist()], pa.string()), listed, counts)
 
-        for tokens, names in token_batches(batches):
-            for size in sizes:
-                places, own = tokens.grams(size, given and given.value, marked)
-                kept_ = is_marked(found.value, own)
-                places, own = places[kept_], own[kept_]
-                own, first, n = np.unique(own, return_index=True, return_counts=True)
-                places = places[first]
-                spelled = np.zeros((len(own), LONGEST + 1), np.uint64)
-                spelled[:, 0] = tokens.langs[places]
-                for i in range(size):
-                    spelled[:, i + 1] = tokens.codes[places + i]
-                keys, first, inverse = np.unique(np.concatenate([keys, own]), return_index=True, return_inverse=True)
-                totals = np.zeros(len(keys), np.int64)
-                np.add.at(totals, inverse, np.concatenate([counts, n]))
-                counts, words = totals, np.concatenate([words, spelled])[first]
-                if len(keys) > HELD // 4:
-                    yield exact()
-                    keys, counts, words = keys[:0], counts[:0], words[:0]
+        for tokens, names, size, places, own in grams_of(batches, sizes, given, marked):
+            often = is_marked(found.value, own)
+            own, first, n = np.unique(own[often], return_index=True, return_counts=True)
+            places = places[often][first]
+            spelled = np.zeros((len(own), LONGEST + 1), np.uint64)
+            spelled[:, 0] = tokens.langs[places]
+            for i in range(size):
+                spelled[:, i + 1] = tokens.codes[places + i]
+            keys, first, inverse = np.unique(np.concatenate([keys, own]), return_index=True, return_inverse=True)
+            totals = np.zeros(len(keys), np.int64)
+            np.add.at(totals, inverse, np.concatenate([counts, n]))
+            counts, words = totals, np.concatenate([words, spelled])[first]
+            if len(keys) > HELD // 4:
+                yield exact()
+                keys, counts, words = keys[:0], counts[:0], words[:0]
         if len(keys):
             yield exact()
 
     exact_counts = texts.mapInArrow(count, "lang string, words array<long>, n long").groupBy("lang", "words")
-    return written(exact_counts.agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "frequent"), bitmap
+    return written(exact_counts.agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "frequent")
 
 
 def scored(phrases: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
@@ -348,13 +406,12 @@ def maximal(phrases: DataFrame) -> DataFrame:
 
 
 def spell(phrases: DataFrame, spelled: DataFrame) -> DataFrame:
-    """``phrase`` in place of the word codes."""
-    row, wide = fresh(phrases, "row", "code")
-    numbered = written(phrases.withColumn(row, F.monotonically_increasing_id()), "phrases")
-    each = numbered.select(row, F.posexplode("words").alias("place", wide))
-    known = spelled.join(each.select(F.col(wide).alias("code")).distinct(), "code", "left_semi").groupBy("code").agg(F.min("word").alias("word"))
-    told = each.join(known, each[wide] == known["code"]).groupBy(row).agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("told"))
-    return numbered.join(told, row).withColumn("phrase", F.array_join(F.col("told.word"), " ")).drop(row, "told", "words")
+    """``phrase`` in place of the word codes; ``spelled`` (lang, words, word) has the frequent words."""
+    numbered = written(phrases.withColumn("row", F.monotonically_increasing_id()), "phrases")
+    each = numbered.select("row", "lang", F.posexplode("words").alias("place", "code"))
+    known = spelled.select("lang", F.col("words")[0].alias("code"), "word")
+    told = each.join(known, ["lang", "code"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("told"))
+    return numbered.join(told, "row").withColumn("phrase", F.array_join(F.col("told.word"), " ")).drop("row", "told", "words")
 
 
 def first_of_each_language(rows: DataFrame, order: list[Column], top: int, name: str) -> DataFrame:
@@ -374,12 +431,14 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     texts, spelled = encode(rows)
     totals = written(texts.groupBy("lang").agg(F.sum("n").alias("words_n")), "totals")
     mass = totals.agg(F.sum("words_n")).first()[0] or 0
-    words, marks = frequent(texts, [1], least, mass)
-    pairs, marks = frequent(texts, [2], least, mass, marks, 1)
+    told = spelled.groupBy("lang", "code").agg(F.sum("n").alias("n"), F.min("word").alias("word")).filter(F.col("n") >= least)
+    words = written(told.select("lang", F.array("code").alias("words"), "n", "word"), "words")
+    pairs = frequent(texts, [2], least, mass, marks_of_frequent(words, 1), 1)
     phrases = pairs
     if longest > 2:
-        phrases = pairs.unionByName(frequent(texts, list(range(3, longest + 1)), least, mass, marks, 2)[0])
-    best = spell(scored(maximal(phrases), words.unionByName(phrases), totals), spelled)
+        phrases = pairs.unionByName(frequent(texts, list(range(3, longest + 1)), least, mass, marks_of_frequent(pairs, 2), 2))
+    counts = words.drop("word").unionByName(phrases)
+    best = spell(scored(maximal(phrases), counts, totals), words)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     ranked = first_of_each_language(best, order, top, "rank")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", F.col("words_n").alias("n"), "score")
