@@ -43,6 +43,8 @@ MARK_BITS = 26
 HELD, BUFFER = 1_000_000, 500_000
 #: Words that a task counts before it sends the counts on.
 COUNTED = 100_000
+#: Words of a task that makes summaries, where there are more tasks than two for each core: the more a task has read, the fewer rows it sends.
+TASK_WORDS = 20_000_000
 LONGEST = 5
 LETTERS = bytes(range(65, 91))
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -377,6 +379,14 @@ def frequent(texts: DataFrame, sizes: list[int], least: int, mass: int, marks: n
     return written(exact_counts.agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "frequent")
 
 
+def frequent_words(spelled: DataFrame, least: int) -> DataFrame:
+    """(lang, words, n, word) of the words that occur ``least`` times, written; they are counted by a number, and only those that stay are spelled."""
+    keyed = spelled.withColumn("key", F.xxhash64("lang", "code"))
+    counts = written(keyed.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "word_counts")
+    told = keyed.drop("n").join(counts, "key").groupBy("lang", "code").agg(F.first("n").alias("n"), F.min("word").alias("word"))
+    return written(told.select("lang", F.array("code").alias("words"), "n", "word"), "words")
+
+
 def scored(phrases: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
     """Each phrase with ``l``, ``r``, ``score`` of its lowest-scoring cut, and ``words_n``, the words of its language."""
     part = counts.select(F.col("lang").alias("part_lang"), F.col("words").alias("part"), F.col("n").alias("part_n"))
@@ -431,8 +441,8 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     texts, spelled = encode(rows)
     totals = written(texts.groupBy("lang").agg(F.sum("n").alias("words_n")), "totals")
     mass = totals.agg(F.sum("words_n")).first()[0] or 0
-    told = spelled.groupBy("lang", "code").agg(F.sum("n").alias("n"), F.min("word").alias("word")).filter(F.col("n") >= least)
-    words = written(told.select("lang", F.array("code").alias("words"), "n", "word"), "words")
+    texts = texts.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, mass // TASK_WORDS))
+    words = frequent_words(spelled, least)
     pairs = frequent(texts, [2], least, mass, marks_of_frequent(words, 1), 1)
     phrases = pairs
     if longest > 2:

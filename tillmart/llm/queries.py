@@ -164,7 +164,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-OP3_SQL = """
+_HTTP = len("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: " + warc.END)
+
+OP3_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 d AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS digest FROM p),
 digits AS (
@@ -175,8 +177,11 @@ digits AS (
 r AS (SELECT *, max(page_id) OVER (PARTITION BY digest, payload_bytes) AS original FROM d JOIN digits USING (page_id))
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> original THEN original END AS refers_to
-FROM r
+       CASE WHEN page_id <> original THEN original END AS refers_to,
+       replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url,
+       ({_HTTP} + length(payload_bytes::VARCHAR) + CASE WHEN page_id = original THEN payload_bytes ELSE 0 END)::BIGINT AS block_bytes,
+       true AS intact
+FROM r JOIN pages USING (page_id)
 """
 
 OP4_SQL = f"""
