@@ -10,6 +10,7 @@ from tests.conftest import SF_DIR
 from tests.feed import sales
 from tillmart.operators import staging
 from tillmart.__main__ import main
+from tillmart.plans.builds import Builds
 from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, Lake, run_batch
 from tillmart.plans.registry import QUERIES, Star, queries, star_of
 from tillmart.schemas import RAW_SALES, TABLES
@@ -87,8 +88,8 @@ def test_command_line(spark, tmp_path):
     for flags, unknown in (("exact", 0), ("null-unknown", 1)):
         sales_csv.write_bytes("\n".join([header, "1,22423,,1,12/1/10 8:26,2.55,17850,Hong Kong", ""]).encode())
         main(["--sales", str(sales_csv), "--families", str(families_csv), "--out", out, "--flags", flags])
-        assert spark.read.parquet(f"{out}/dim_items").filter("is_unknown_item").count() == unknown
-    assert spark.read.parquet(f"{out}/int_customers").first().country_name == "Hong Kong"
+        assert Builds(spark, out).table("dim_items").filter("is_unknown_item").count() == unknown
+    assert Builds(spark, out).table("int_customers").first().country_name == "Hong Kong"
 
 
 def load(spark, where, **options):

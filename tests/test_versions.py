@@ -1,0 +1,136 @@
+"""Numbered builds: readers always see one whole build, whatever happens to the next one."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_DIR
+from tests.feed import families, sales
+from tillmart.plans import batch
+from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, load_warehouse, run_batch
+from tillmart.plans.builds import MONTHLY, PLAIN, POINTER, Builds
+from tillmart.session import shared_dir
+
+FAMILIES = [("85123", "HEART", "DECORATION")]
+
+
+def build(spark, out, *invoices, **options):
+    return run_batch(spark, sales(spark, *[{"InvoiceNo": i} for i in invoices]), families(spark, *FAMILIES), out, **options)
+
+
+def invoices(spark, name):
+    return sorted(r.invoice_id for r in spark.table(f"{name}.etl_invoices").collect())
+
+
+@pytest.fixture
+def place(spark):
+    """Folder and database of a test."""
+    out = shared_dir(spark, "versions")
+    name = "versions_" + out[-8:]
+    yield out, name
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_failing_rerun_leaves_every_view_readable(spark, place, monkeypatch):
+    out, name = place
+    build(spark, out, "1", "2")
+    load_warehouse(spark, out, name)
+    before = {table: spark.table(f"{name}.{table}").count() for table in [*LOADED, *PUBLISHED]}
+    seen = []
+
+    def fails(lake):
+        seen.append(invoices(spark, name))
+        raise RuntimeError("lost")
+
+    monkeypatch.setitem(BUILDERS, "int_customers", fails)
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            build(spark, out, "3", "4", "5")
+        load_warehouse(spark, out, name)
+    assert seen == [["1", "2"]] * 2
+    assert {table: spark.table(f"{name}.{table}").count() for table in before} == before
+    monkeypatch.undo()
+    assert Builds(spark, out).whole() == [1]
+    build(spark, out, "3", "4", "5")
+    assert invoices(spark, name) == ["1", "2"]
+    load_warehouse(spark, out, name)
+    assert invoices(spark, name) == ["3", "4", "5"]
+    # what the failed builds left is gone
+    assert Builds(spark, out).whole() == [1, 4]
+    for table in BUILDERS:
+        kept = {row["build"] for row in spark.read.parquet(f"{out}/{table}/{PLAIN}").select("build").distinct().collect()}
+        assert kept == {1, 4}
+
+
+def test_one_view_switches_all(spark, place):
+    out, name = place
+    build(spark, out, "1")
+    load_warehouse(spark, out, name)
+    old = spark.table(f"{name}.etl_invoices")
+    build(spark, out, "2", "3")
+    texts = {table: spark.sql(f"SHOW CREATE TABLE {name}.{table}").first()[0] for table in [*LOADED, *PUBLISHED, *PUBLISHED.values()]}
+    load_warehouse(spark, out, name)
+    for table, text in texts.items():
+        assert spark.sql(f"SHOW CREATE TABLE {name}.{table}").first()[0] == text
+    # a reader from before the switch goes on with its build
+    assert [r.invoice_id for r in old.collect()] == ["1"]
+    assert invoices(spark, name) == ["2", "3"]
+    spark.sql(f"CREATE OR REPLACE VIEW {name}.{POINTER} AS SELECT 1 AS build")
+    assert invoices(spark, name) == ["1"]
+
+
+def test_only_the_current_build_is_read(spark, place):
+    out, name = place
+    for invoice in ("1", "2"):
+        build(spark, out, invoice)
+        load_warehouse(spark, out, name)
+    plan = spark.table(f"{name}.fact_transactions")._jdf.queryExecution().executedPlan().toString()
+    assert "build" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    files = spark.table(f"{name}.fact_transactions").select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("build=2" in r.f for r in files)
+
+
+def test_old_builds_go_but_those_that_are_read(spark, place):
+    out, name = place
+    build(spark, out, "1")
+    load_warehouse(spark, out, name)
+    for invoice in ("2", "3", "4"):
+        build(spark, out, invoice)
+    assert Builds(spark, out).whole() == [1, 3, 4]
+    assert invoices(spark, name) == ["1"]
+    load_warehouse(spark, out, name)
+    build(spark, out, "5")
+    assert Builds(spark, out).whole() == [4, 5] and invoices(spark, name) == ["4"]
+
+
+def test_layouts_may_change(spark, place):
+    out, name = place
+    for number, monthly in enumerate((True, False, True, False), 1):
+        build(spark, out, str(number), monthly=monthly)
+        if number > 1:
+            assert invoices(spark, name) == [str(number - 1)]
+        load_warehouse(spark, out, name)
+        assert invoices(spark, name) == [str(number)]
+        assert [r.invoice_id for r in spark.table(f"{name}.fact_transactions").collect()] == [str(number)]
+        layouts = Builds(spark, out).layouts(number)
+        assert set(layouts) == set(BUILDERS) and (layouts["fact_transactions"] == MONTHLY) == monthly
+
+
+def test_builds_at_once_have_numbers_of_their_own(spark, place):
+    builds = Builds(spark, place[0])
+    assert [builds.begin() for _ in range(3)] == [1, 2, 3]
+    assert builds.whole() == [] and builds.current() is None and builds.clean() == []
+    with pytest.raises(ValueError):
+        builds.table("dim_date")
+    builds.finish(2, {"dim_date": PLAIN})
+    assert builds.clean() == [1] and builds.begin() == 4
+
+
+def test_readers_outside_the_catalog(spark, place, monkeypatch):
+    out, _ = place
+    build(spark, out, "1")
+    builds = Builds(spark, out)
+    assert builds.table("int_invoices").count() == 1
+    monkeypatch.setitem(batch.BUILDERS, "int_invoices", lambda lake: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        build(spark, out, "2", "3")
+    assert builds.table("fact_transactions").count() == 1

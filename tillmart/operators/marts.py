@@ -32,6 +32,11 @@ def int_items(fact: DataFrame, items: DataFrame, families: DataFrame, transactio
         F.sum("quantity_amount").alias("total_quantity"),
         _transactions(transactions_unique).alias("total_transactions"),
     )
+    return described_sales(sales, items, families)
+
+
+def described_sales(sales: DataFrame, items: DataFrame, families: DataFrame) -> DataFrame:
+    """Sales by item with the item's and its family's columns; items without a family go."""
     described = items.select("item_uuid", "item_description", "item_family_id", *FLAGS).join(
         families, "item_family_id"
     )
@@ -104,11 +109,11 @@ def _invoice_measures() -> list[Column]:
     ]
 
 
-def _has(flag: str) -> str:
+def has(flag: str) -> str:
     return flag.replace("is_", "has_", 1)
 
 
-def _named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
+def named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Grouped rows with the names of day and place, looked up by their keys."""
     days = dim_date.select("date_id", "date", "day_of_week")
     return (
@@ -125,7 +130,7 @@ def _named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFr
             "total_invoice_amount",
             "total_quantity",
             "total_items",
-            *[_has(flag) for flag in INVOICE_FLAGS],
+            *[has(flag) for flag in INVOICE_FLAGS],
         )
     )
 
@@ -133,9 +138,9 @@ def _named_invoices(rolled: DataFrame, dim_date: DataFrame, dim_location: DataFr
 def int_invoices(transactions: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
     """One row per invoice, day, customer and country."""
     rolled = transactions.groupBy("invoice_id", "date_id", "customer_id", "country_id").agg(
-        *_invoice_measures(), *[F.bool_or(flag).alias(_has(flag)) for flag in INVOICE_FLAGS]
+        *_invoice_measures(), *[F.bool_or(flag).alias(has(flag)) for flag in INVOICE_FLAGS]
     )
-    return _named_invoices(rolled, dim_date, dim_location)
+    return named_invoices(rolled, dim_date, dim_location)
 
 
 def _of_first_line(column: str) -> Column:
@@ -166,10 +171,10 @@ def invoice_first(timed: DataFrame, dim_date: DataFrame, dim_location: DataFrame
             _of_first_line("customer_id"),
             _of_first_line("country_id"),
             *_invoice_measures(),
-            *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(_has(flag)) for flag in INVOICE_FLAGS],
+            *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(has(flag)) for flag in INVOICE_FLAGS],
         )
     )
-    return _named_invoices(rolled, dim_date, dim_location)
+    return named_invoices(rolled, dim_date, dim_location)
 
 
 def category_counts(transactions: DataFrame, *keys: str) -> DataFrame:
@@ -218,15 +223,14 @@ def int_customers(transactions: DataFrame, transactions_unique: bool = False) ->
     tells). Anonymous sales form one group per country, without a favourite.
     The favourite joins the grouped rows, not the transactions.
     """
-    favorites = favorite_category(transactions.filter(F.col("customer_id").isNotNull())).select(
-        "customer_id", F.col("item_category").alias("favorite_category")
-    )
-    return (
-        transactions.groupBy("customer_id", "country_name")
-        .agg(*_customer_measures(transactions_unique))
-        .join(favorites, "customer_id", "left")
-        .select("customer_id", "country_name", *_customer_columns())
-    )
+    rolled = transactions.groupBy("customer_id", "country_name").agg(*_customer_measures(transactions_unique))
+    return with_favorites(rolled, category_counts(transactions.filter(F.col("customer_id").isNotNull()), "customer_id"))
+
+
+def with_favorites(rolled: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rolled-up customers with the category each has most often in ``counts``."""
+    favorites = top_category(counts, "customer_id").select("customer_id", F.col("item_category").alias("favorite_category"))
+    return rolled.join(favorites, "customer_id", "left").select("customer_id", "country_name", *_customer_columns())
 
 
 def customer_mode_category(transactions: DataFrame, transactions_unique: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillmart.operators import dimensions as dim, marts, quality, staging
+from tillmart.plans.builds import MONTHLY, PLAIN, POINTER, Builds
 from tillmart.schemas import TABLES, as_published, conform
 from tillmart.sources.files import read_parquet, write_parquet, write_partitions
 from tillmart.sources.tables import in_database, load_typed, over_folder, publish_table
@@ -38,7 +39,7 @@ class Lake:
     are fixed, no step repeats another's work, a lost executor costs one step,
     and the planner knows real sizes when it picks a side to broadcast.
     ``monthly`` lays the fact and the transactions mart out by month, which changes
-    their folders, not their columns.
+    their folders, not their columns. With ``build``, the tables are those of that build (``Builds``).
     """
 
     def __init__(
@@ -50,6 +51,7 @@ class Lake:
         locations: DataFrame | None = None,
         monthly: bool = False,
         flags: str = "exact",
+        build: int | None = None,
     ):
         self.spark = spark
         self.raw_sales = raw_sales
@@ -58,6 +60,7 @@ class Lake:
         self.locations = locations
         self.monthly = monthly
         self.flags = FLAG_READINGS[flags]
+        self.build = build
         self._written: dict[str, DataFrame] = {}
         self._unique: bool | None = None
 
@@ -65,12 +68,20 @@ class Lake:
         """The table's rows, not yet written."""
         return BUILDERS[name](self)
 
+    def layout(self, name: str) -> str:
+        return MONTHLY if self.monthly and name in DATED else PLAIN
+
+    def folder(self, name: str) -> str:
+        if self.build is None:
+            return f"{self.out}/{name}"
+        return Builds(self.spark, self.out).folder(name, self.layout(name), self.build)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._written:
-            path, rows = f"{self.out}/{name}", self.plan(name)
+            path, rows = self.folder(name), self.plan(name)
             if name in TABLES:
                 rows = conform(rows, TABLES[name])
-            if self.monthly and name in DATED:
+            if self.layout(name) == MONTHLY:
                 when = F.col(DATED[name])
                 write_partitions(rows.withColumns({"year": F.year(when), "month": F.month(when)}), path, *MONTH, dynamic=False)
             else:
@@ -84,7 +95,7 @@ class Lake:
         """A month's rows of a table of ``DATED``; of a monthly build, only that month's folder is read."""
         rows = self.table(name)
         if self.monthly:
-            rows = read_parquet(self.spark, f"{self.out}/{name}")
+            rows = read_parquet(self.spark, self.folder(name))
             return rows.filter((F.col("year") == year) & (F.col("month") == month)).drop(*MONTH)
         when: Column = F.col(DATED[name])
         return rows.filter((F.year(when) == year) & (F.month(when) == month))
@@ -137,20 +148,39 @@ def run_batch(
     monthly: bool = False,
     flags: str = "exact",
 ) -> dict[str, DataFrame]:
-    """Write every table under ``out``; a rerun replaces them all. Options: see ``Lake`` and ``FLAG_READINGS``."""
-    lake = Lake(spark, raw_sales, raw_families, out, locations, monthly, flags)
+    """Write every table as a new build under ``out``; the builds before it stay as they are until it is whole.
+
+    Options: see ``Lake`` and ``FLAG_READINGS``.
+    """
+    builds = Builds(spark, out)
+    lake = Lake(spark, raw_sales, raw_families, out, locations, monthly, flags, builds.begin())
     tables = {name: lake.table(name) for name in BUILDERS}
+    builds.finish(lake.build, {name: lake.layout(name) for name in BUILDERS})
+    builds.clean()
     for published, source in PUBLISHED.items():
         tables[published] = as_published(tables[source])
     return tables
 
 
 def load_warehouse(spark: SparkSession, out: str, database: str, location: str | None = None) -> None:
-    """Catalog tables of a finished build, over its folders: star schema, marts, and their published views."""
+    """Catalog tables of the last whole build: star schema, marts, and their published views.
+
+    All of them turn to that build in one step. Where ``out`` has the tables of a ``Lake`` without builds, they are read in place.
+    """
+    builds = Builds(spark, out)
+    build = builds.current()
     with in_database(spark, database, location):
-        for name in LOADED:
-            load_typed(spark, f"{out}/{name}", name, TABLES[name])
+        if build is None:
+            for name in LOADED:
+                load_typed(spark, f"{out}/{name}", name, TABLES[name])
+            for source in PUBLISHED.values():
+                over_folder(spark, f"{out}/{source}", source, read_parquet(spark, f"{out}/{source}").drop(*MONTH).columns)
+        else:
+            if not spark.catalog.tableExists(POINTER):
+                builds.switch(build)
+            for name in [*LOADED, *PUBLISHED.values()]:
+                builds.define(name, builds.table(name, build).drop(*MONTH).columns)
         for published, source in PUBLISHED.items():
-            columns = read_parquet(spark, f"{out}/{source}").drop(*MONTH).columns
-            over_folder(spark, f"{out}/{source}", source, columns)
             publish_table(spark, source, published)
+        if build is not None:
+            builds.switch(build)

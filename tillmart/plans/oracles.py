@@ -336,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
     items = f"""SELECT item_uuid, item_id, item_family_id, item_description, item_variant, {_FLAGS} FROM items"""
     other_flags = ("is_unknown_item", "is_special_item", "is_modification_item", "is_error_item")
     any_other = "(NOT is_operational_item AND (" + " OR ".join(other_flags) + "))"
-    return {
+    checked = {
         "csv_scan": _with("SELECT * FROM raw"),
         "csv_roundtrip": _with("SELECT * FROM families"),
         "parquet_scan": "SELECT * FROM lineitem",
@@ -509,3 +509,9 @@ FROM sold GROUP BY 1, 2"""
         ),
         "quality_report": _with(_QUALITY),
     }
+    followed = ("dim_customers", "dim_items", "int_items", "int_transactions", "int_invoices", "int_customers")
+    checked |= {f"incremental_{name}": checked[name] for name in followed}
+    checked["incremental_marts"] = _with(
+        _DIM_CUSTOMERS, _CUSTOMERS, _sums({name: name for name in _SUMS if name in followed or name == "fact_transactions"})
+    )
+    return checked

@@ -96,6 +96,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def create(spark: SparkSession, path: str) -> bool:
+    """An empty file, if there is none of the name; whether this call has made it."""
+    system, where = _path(spark, path)
+    return system.createNewFile(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, where = _path(spark, path)
     system.delete(where, True)
