@@ -9,14 +9,14 @@ similarity says, plus by chance, as a register does not have the whole hash.
   that an empty bucket borrows the register of the filled bucket that a fixed table ranks first for it, so that small sets agree
   as often as large ones.
 * **Groups, not pairs.** In a group with a common band each set is held against the group's first one only. Sets that are still apart after
-  that are banded again, ``FINE`` registers to a band, drawn from all of them; in these smaller groups the sets are again
-  held against the first one, then those that are still in different components against each other.
+  that are banded again, ``FINE`` registers to a band, drawn from all of them; in these far smaller groups those that are
+  in different components are held against each other.
 * **Estimate.** The similarity of a candidate pair is estimated from the buckets that either fills, less the agreements that are expected by
   chance for sets of these sizes. A pair that is estimated more than ``MARGIN`` below the threshold goes.
 * **Verification.** The sets themselves decide.
 
 Equal sets are one node throughout. Chances for a pair at a similarity of 0.8: that no band of 51 agrees, 2e-9; that it
-is then missed among the 128 fine bands, 1e-6; that the estimate is 0.2 too low, below 1e-9. A missed pair matters only if nothing else connects its
+is then missed among the 288 fine bands, about 1e-5; that the estimate is 0.2 too low, below 1e-9. A missed pair matters only if nothing else connects its
 documents. For more similar pairs all are far smaller.
 
 Defined results: null texts and texts without words have the empty set, which links with nothing; a text with fewer words than
@@ -36,7 +36,7 @@ from tillmart.llm.jaccard import WordHashes, mix, node_of, shingles_of
 from tillmart.session import written
 
 BUCKETS, BUCKET_BITS, MANTISSA = 256, 8, 10
-COARSE, FINE, FINE_BANDS = 5, 8, 128
+COARSE, FINE, FINE_BANDS = 5, 14, 288
 MARGIN = 0.2
 MEMBER = "doc_id long, n long, node long, registers binary"
 
@@ -226,26 +226,16 @@ def links_of(docs: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> D
     # sets that share a coarse band with one of another component are banded again
     labels = components(links)
     left = apart(starred.select("key", "node"), labels).select("node").distinct()
-    fine = written(in_groups(keyed(nodes.join(left, "node", "left_semi"), FINE)), "fine")
-    groups = with_label(with_label(fine, labels, "node", "label"), labels, "hub", "hub_label").filter("label <> hub_label")
-    second = written(estimated(groups.select(*ordered).distinct().join(first, ["a", "b"], "left_anti"), nodes, least), "pairs")
-
-    more = second.select(F.col("a").alias("node")).unionByName(second.select(F.col("b").alias("node"))).distinct()
-    more_sets = sets_of(docs, docs_of.join(more, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), n)
-    sets = sets.unionByName(more_sets)
-    links = written(links.unionByName(verified(second, sets, num, den)), "links")
-
-    labels = components(links)
-    open_rows = written(apart(fine, labels).filter("node <> hub").join(nodes.select("node", "n"), "node"), "open")
+    fine = apart(in_groups(keyed(nodes.join(left, "node", "left_semi"), FINE)).select("key", "node"), labels)
+    open_rows = written(fine.join(nodes.select("node", "n"), "node"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     able = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & able)
     pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    tried = first.unionByName(second)
-    third = written(estimated(pairs.join(tried, ["a", "b"], "left_anti"), nodes, least), "pairs")
-    rest = third.select(F.col("a").alias("node")).unionByName(third.select(F.col("b").alias("node"))).distinct()
-    rest_sets = sets_of(docs, docs_of.join(rest, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), n)
-    return links.unionByName(verified(third, sets.unionByName(rest_sets), num, den))
+    second = written(estimated(pairs.join(first, ["a", "b"], "left_anti"), nodes, least), "pairs")
+    more = second.select(F.col("a").alias("node")).unionByName(second.select(F.col("b").alias("node"))).distinct()
+    more_sets = sets_of(docs, docs_of.join(more, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), n)
+    return links.unionByName(verified(second, sets.unionByName(more_sets), num, den))
 
 
 def near_duplicates(
