@@ -92,7 +92,7 @@ def test_collisions_of_unrelated_sets():
 def test_bands_find_similar_pairs(size):
     rng = np.random.default_rng(size)
     pairs = [p for p in sets_at(rng, size, 0.8, 400) if len(np.intersect1d(*p)) >= 0.8 * len(np.union1d(*p))]
-    for bands in (hmh.COARSE, hmh.FINE):
+    for bands in (hmh.COARSE, hmh.fine_size(80, 100)):
         keys = [hmh.band_keys(np.stack([hmh.filled(hmh.registers_of(pair[side])) for pair in pairs]), bands) for side in (0, 1)]
         assert ((keys[0] == keys[1]).any(axis=1)).all()
 

@@ -9,14 +9,14 @@ similarity says, plus by chance, as a register does not have the whole hash.
   that an empty bucket borrows the register of the filled bucket that a fixed table ranks first for it, so that small sets agree
   as often as large ones.
 * **Groups, not pairs.** In a group with a common band each set is held against the group's first one only. Sets that are still apart after
-  that are banded again, ``FINE`` registers to a band, drawn from all of them; in these far smaller groups those that are
+  that are banded again, more registers to a band, drawn from all of them; in these far smaller groups those that are
   in different components are held against each other.
 * **Estimate.** The similarity of a candidate pair is estimated from the buckets that either fills, less the agreements that are expected by
   chance for sets of these sizes. A pair that is estimated more than ``MARGIN`` below the threshold goes.
 * **Verification.** The sets themselves decide.
 
 Equal sets are one node throughout. Chances for a pair at a similarity of 0.8: that no band of 51 agrees, 2e-9; that it
-is then missed among the 288 fine bands, about 1e-5; that the estimate is 0.2 too low, below 1e-9. A missed pair matters only if nothing else connects its
+is then missed among the 256 fine bands, about 1e-5; that the estimate is 0.2 too low, below 1e-9. A missed pair matters only if nothing else connects its
 documents. For more similar pairs all are far smaller.
 
 Defined results: null texts and texts without words have the empty set, which links with nothing; a text with fewer words than
@@ -25,6 +25,7 @@ unless all ids in it are null; a very long text has one large set; ties go to th
 """
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from tillmart.llm.jaccard import WordHashes, mix, node_of, shingles_of
 from tillmart.session import written
 
 BUCKETS, BUCKET_BITS, MANTISSA = 256, 8, 10
-COARSE, FINE, FINE_BANDS = 5, 14, 288
+COARSE, FINE_BANDS, EXPECTED = 5, 256, 27
 MARGIN = 0.2
 MEMBER = "doc_id long, n long, node long, registers binary"
 
@@ -72,19 +73,22 @@ def filled(registers: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bands(size: int, count: int) -> np.ndarray:
-    """Which registers make a band: all in turn, each time in another order."""
-    turns = -(-size * count // BUCKETS)
-    orders = [np.argsort(mix(np.arange(BUCKETS, dtype=np.uint64), 40 + turn)) for turn in range(turns)]
-    return np.concatenate(orders)[: size * count].reshape(count, size)
+def fine_size(num: int, den: int) -> int:
+    """Registers to a fine band: as many as leave two sets at the threshold ``EXPECTED`` common bands on the mean."""
+    return max(COARSE, int(np.log(FINE_BANDS / EXPECTED) / np.log(den / num))) if num < den else BUCKETS
 
 
-BANDS = {COARSE: _bands(COARSE, BUCKETS // COARSE), FINE: _bands(FINE, FINE_BANDS)}
+@cache
+def bands_of(size: int) -> np.ndarray:
+    """Which registers make a band: all in turn, each time in another order."""
+    count = BUCKETS // size if size == COARSE else FINE_BANDS
+    orders = [np.argsort(mix(np.arange(BUCKETS, dtype=np.uint64), 40 + turn)) for turn in range(-(-size * count // BUCKETS))]
+    return np.concatenate(orders)[: size * count].reshape(count, size)
 
 
 def band_keys(registers: np.ndarray, size: int) -> np.ndarray:
     """The keys of the bands of ``size`` registers; registers are a row per set, without empty ones."""
-    chosen = BANDS[size]
+    chosen = bands_of(size)
     out = np.broadcast_to(np.arange(len(chosen), dtype=np.uint64) + np.uint64(size << 32), (len(registers), len(chosen))).copy()
     for place in range(size):
         out = mix(out ^ registers[:, chosen[:, place]].astype(np.uint64), 22)
@@ -226,7 +230,7 @@ def links_of(docs: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> D
     # sets that share a coarse band with one of another component are banded again
     labels = components(links)
     left = apart(starred.select("key", "node"), labels).select("node").distinct()
-    fine = apart(in_groups(keyed(nodes.join(left, "node", "left_semi"), FINE)).select("key", "node"), labels)
+    fine = apart(in_groups(keyed(nodes.join(left, "node", "left_semi"), fine_size(num, den))).select("key", "node"), labels)
     open_rows = written(fine.join(nodes.select("node", "n"), "node"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     able = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
