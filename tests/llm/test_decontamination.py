@@ -146,3 +146,20 @@ def test_seeds_lose_nothing(items, doc, threshold):
     got = {(item, score) for item, score, _, _ in dc.leaks_in(found, own, threshold)}
     scores = {(key, dc.last_row(own.words[key], found)[0] / len(own.words[key])) for key in range(len(items))}
     assert got == {(key, score) for key, score in scores if score >= threshold}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=400, codec="utf-8"), max_size=60))
+def test_quick_words_are_the_words(text):
+    quick = [word if isinstance(word, str) else word.decode("latin-1") for word in dc.quick_words(text)]
+    assert quick == dc.words_of(text)
+    items = dc.Items([(1, "a é straße ÿ 1 _ word"), (2, text[::2])], 0.5)
+    assert items.numbers_in(text).tolist() == items.numbers(dc.words_of(text)).tolist()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 2, 7]), max_size=40))
+def test_shortened_numbers_are_whole(numbers):
+    short = dc.shortened(np.array(numbers, np.int64))
+    assert dc.lengthened(short).tolist() == numbers
+    assert not ((short[1:] < 0) & (short[:-1] < 0)).any()

@@ -10,9 +10,12 @@ one of the L - m + 1 rarest words is. Words and pairs of the items are counted o
 corpus, and each item has the t whose seeds are fewest there. Where a seed is in a document,
 the stretch that an alignment can reach is held against the same bound, then aligned.
 
+Texts are cut into words once. A document that has words of the items is written as their numbers, with each run of
+other words as its length; the counts come along. Seeds are looked for in these numbers.
+
 The items' seeds and words go to the tasks in blocks of at most ``block_grams``
 words; each block is a pass over the documents, so what a task holds is bounded
-however many items there are.
+however many items there are. A very long text is one array of numbers; what is aligned at a time is a stretch of it.
 
 Defined results: null texts and empty texts have no words and no leaks; items of one or
 two words leak like others; items that repeat an id are aligned one by one, and the best
@@ -22,12 +25,15 @@ columns are not read.
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmart.llm.common import small_batches, text_of
+from tillmart.llm.common import is_latin, small_batches, text_of
+from tillmart.session import written
 
 WORDS = re.compile(r"\w+")
 LEAKS = "doc_id long, item_id long, score double, start long, stop long"
@@ -40,6 +46,30 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
+#: For each character below 256 itself in lower case if it can be in a word, else a blank.
+WORD_SIGNS = "".join(char.lower() if WORDS.match(char) else " " for char in map(chr, range(256))).encode("latin-1")
+
+
+def quick_words(text: str) -> list[bytes] | list[str]:
+    """``words_of``, as bytes if all characters are below 256."""
+    try:
+        return text.encode("latin-1").translate(WORD_SIGNS).split()
+    except UnicodeEncodeError:
+        return words_of(text)
+
+
+def shortened(numbers: np.ndarray) -> np.ndarray:
+    """Word numbers with each run of words that no item has (number 0) as minus its length."""
+    other = numbers == 0
+    kept = np.flatnonzero(~other | np.concatenate([[True], ~other[:-1]])[: len(numbers)])
+    runs = np.diff(np.append(kept, len(numbers)))
+    return np.where(other[kept], -runs, numbers[kept]).astype(np.int32)
+
+
+def lengthened(numbers: np.ndarray) -> np.ndarray:
+    return np.repeat(np.maximum(numbers, 0), np.maximum(-numbers, 1))
+
+
 def gram_codes(ids: np.ndarray, n: int) -> np.ndarray:
     """A number for each n-gram of word numbers; 0 where one has a word that no item has (number 0)."""
     if len(ids) < n:
@@ -86,8 +116,19 @@ class Items:
         if learn:
             for word in words:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
-        known = self.vocabulary.get
-        return np.fromiter((known(word, 0) for word in words), np.int64, len(words))
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
+
+    def numbers_in(self, text: str) -> np.ndarray:
+        """The numbers of the words of a text."""
+        words = quick_words(text)
+        if words and isinstance(words[0], bytes):
+            return np.fromiter(map(self.quick.get, words, repeat(0)), np.int64, len(words))
+        return self.numbers(words)
+
+    @cached_property
+    def quick(self) -> dict[bytes, int]:
+        """The vocabulary by bytes, for words whose characters are all below 256."""
+        return {word.encode("latin-1"): number for word, number in self.vocabulary.items() if is_latin(word)}
 
     def pairs_in(self, words: np.ndarray) -> np.ndarray:
         """Numbers of the pairs that begin at each word; 0 where no item has the pair."""
@@ -233,42 +274,52 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, threshold: float,
         yield Items(rows, threshold)
 
 
-def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """How often each word and pair of the items is in all documents; a task sends one number for each that it has seen."""
+def numbered_docs(docs: DataFrame, items: Items) -> tuple[DataFrame, np.ndarray]:
+    """The documents that have words of the items, as shortened numbers, written; and how often all documents have each word and pair.
+
+    A task sends one row of counts, of what it has seen.
+    """
     held = docs.sparkSession.sparkContext.broadcast(vars(items))
+    names = ["doc_id", "kind", "numbers", "counts"]
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Items.of(held.value)
         seen = np.zeros(own.size, np.int64)
         for frame in frames:
-            for text in frame["text"]:
-                words = own.numbers(words_of(text))
-                for numbers in (words, own.pairs_in(words)):
-                    np.add.at(seen, numbers, 1)
+            rows = []
+            for key, text in zip(frame["doc_id"], frame["text"]):
+                words = own.numbers_in(text)
+                if words.any():
+                    for numbers in (words, own.pairs_in(words)):
+                        np.add.at(seen, numbers, 1)
+                    rows.append((key, 0, shortened(words), None))
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
         seen[0] = 0
         full = np.flatnonzero(seen)
-        yield pd.DataFrame({"code": full, "n": seen[full]})
+        yield pd.DataFrame([(None, 1, full.astype(np.int32), seen[full])], columns=names).astype({"doc_id": "Int64"})
 
-    found = docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    both = written(docs.mapInPandas(number, "doc_id long, kind int, numbers array<int>, counts array<long>"), "numbered")
+    each = both.filter("kind = 1").select(F.explode(F.arrays_zip("numbers", "counts")).alias("c"))
+    found = each.groupBy(F.col("c.numbers").alias("code")).agg(F.sum("c.counts").alias("n")).toPandas()
     counts = np.zeros(items.size, np.int64)
     counts[found["code"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=np.int64)
-    return counts
+    return both.filter("kind = 0").select("doc_id", "numbers"), counts
 
 
-def block_leaks(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(vars(items))
+def block_leaks(numbered: DataFrame, items: Items, threshold: float) -> DataFrame:
+    held = numbered.sparkSession.sparkContext.broadcast(vars(items))
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Items.of(held.value)
         for frame in frames:
             rows = []
-            for key, text in zip(frame["doc_id"], frame["text"]):
-                for item, score, start, stop in leaks_in(own.numbers(words_of(text)), own, threshold):
+            for key, numbers in zip(frame["doc_id"], frame["numbers"]):
+                for item, score, start, stop in leaks_in(lengthened(numbers), own, threshold):
                     rows.append((key, own.ids[item], score, start, stop))
             names = [column.split()[0] for column in LEAKS.split(", ")]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "item_id": "Int64"})
 
-    return docs.mapInPandas(find, LEAKS)
+    return numbered.mapInPandas(find, LEAKS)
 
 
 def find_leaks(
@@ -288,8 +339,9 @@ def find_leaks(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     found = spark.createDataFrame([], LEAKS)
     for items in item_blocks(benchmark, item_id, item_text, threshold, block_grams):
-        items.choose(corpus_counts(rows, items))
-        found = found.union(block_leaks(rows, items, threshold))
+        numbered, counts = numbered_docs(rows, items)
+        items.choose(counts)
+        found = found.union(block_leaks(numbered, items, threshold))
     best = F.max(F.struct("score", (-F.col("start")).alias("back"), "stop")).alias("best")
     return (
         found.groupBy("doc_id", "item_id")
