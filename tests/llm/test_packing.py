@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from tests.conftest import SF_DIR
 from tillmart.llm import packing, queries
@@ -13,7 +14,7 @@ from tillmart.llm.common import read_table
 
 PATH = queries.tokenizer_path("word_bpe_49k.json")
 TEXTS = [
-    "", "  \n\n ", "a\tb  c d", "İstanbul ΣΑΣ σ.", "don't I'll ###. x9y 12,3 <|endoftext|> end", "é café. K K ſ",
+    "", "  \n\n ", "a\tb  c d", "İstanbul ΣΑΣ σ.", "don't I'll ###. x9y 12,3 <|endoftext|> end", "hi<|startoftext|>there", "<|ENDOFTEXT|>", "É <|endoftext|>漢", "é café. K K ſ",
     "a.b,c. X, É. Éa, ß. ÀB", "x\x1cy \x1c z", "́ ́a . , .. ,,", "a​ b﻿ c \U0001F600. 漢字. ①, ª. ǅ.", "w" * 300,
 ]
 
@@ -23,8 +24,12 @@ def words():
     return packing.WordIds(PATH)
 
 
+FRESH = Tokenizer.from_file(PATH)
+
+
 def plain_ids(words, text):
-    return words.tokenizer.encode(text or "", add_special_tokens=False).ids
+    """The ids of a tokenizer that nothing has been set on."""
+    return FRESH.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -92,45 +97,85 @@ def test_pricing(worth):
     assert pattern.sum() <= 20
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.lists(st.integers(0, 60), min_size=31, max_size=31), st.sampled_from([0, 5, 10_000]))
-def test_plan_holds_all_pieces(counts, rest):
-    counts = np.array([0, *counts[1:]])
-    packed = packing.plan(counts, 30, rest=rest)
-    held = np.zeros(31, int)
+def held_by(packed, capacity):
+    held = np.zeros(capacity + 1, int)
     for pattern, copies in packed.items():
-        assert sum(pattern) <= 30 and copies > 0
-        for length in pattern:
-            held[length] += copies
-    assert (held == counts).all()
-    total = int((counts * np.arange(31)).sum())
-    # no worse than half full sequences; whole best-fit decreasing is the usual yardstick
-    assert sum(packed.values()) <= -(-total // 30) * 11 / 9 + 4 or sum(packed.values()) <= sum(packing.best_fit(counts, 30).values()) * 1.05 + 1
-
-
-def test_large_counts_need_no_more_than_the_bound():
-    rng = np.random.default_rng(1)
-    counts = np.bincount(np.minimum(rng.geometric(0.02, 300_000), 200), minlength=201)
-    counts[0] = 0
-    total = int((counts * np.arange(201)).sum())
-    assert sum(packing.plan(counts, 200).values()) <= total / 200 * 1.001 + 1
-
-
-@pytest.mark.parametrize("kind", ["documents", "log-normal", "flat"])
-def test_configurations_reach_the_bound(kind):
-    """Configurations take every piece, in whole copies, and the sequences are within 0.01 % of the dual's bound."""
-    rng = np.random.default_rng(2)
-    lengths = {
-        "documents": lambda: rng.choice(rng.lognormal(5, 1.2, 5_000), 200_000) * rng.uniform(0.95, 1.05, 200_000),
-        "log-normal": lambda: rng.lognormal(4, 1, 200_000),
-        "flat": lambda: rng.integers(1, 1025, 200_000),
-    }[kind]()
-    counts = np.bincount(np.clip(lengths.astype(int), 1, 1024), minlength=1025)
-    left = counts.copy()
-    dealt = list(packing.configurations(left, 1024))
-    assert not left.any() and len(dealt) <= sum(1024 // length for length in range(1, 1025))
-    assert sum(len(pattern) * copies for pattern, copies in dealt) == counts.sum()
-    assert sum(packing.plan(counts, 1024).values()) <= packing.least_sequences(counts, 1024) * 1.0001 + 1
+        assert sum(pattern) <= capacity and copies > 0 and list(pattern) == sorted(pattern, reverse=True)
+        np.add.at(held, list(pattern), copies)
+    return held
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=31, max_size=31), st.integers(1, 12))
+def test_plan_holds_all_pieces(counts, groups):
+    counts = np.array([0, *counts[1:]])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(packing, "GROUPS", groups)
+        dealt, bound = packing.priced(counts, 30) if counts.any() else ({}, 0)
+        assert (held_by(dealt, 30) <= counts).all()
+        packed, least = packing.plan_with_bound(counts, 30)
+    assert (held_by(packed, 30) == counts).all()
+    used, fitted = sum(packed.values()), sum(packing.best_fit(counts, 30).values())
+    assert bound <= least <= used + 1e-9 and used <= fitted
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=13, max_size=13))
+def test_best_fit_on_counts(counts):
+    """The same rooms as piece by piece."""
+    counts = np.array([0, *counts[1:]])
+    rooms = []
+    for length in range(12, 0, -1):
+        for _ in range(counts[length]):
+            able = [room for room in rooms if room >= length]
+            if able:
+                rooms.remove(min(able))
+            rooms.append((min(able) if able else 12) - length)
+    packed = packing.best_fit(counts, 12)
+    assert (held_by(packed, 12) == counts).all()
+    assert sorted(12 - sum(p) for p, copies in packed.items() for _ in range(copies)) == sorted(rooms)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 20), st.integers(0, 9), st.integers(0, 4)), min_size=1, max_size=6, unique_by=lambda x: x[0]))
+def test_pricing_within_counts(items):
+    sizes, worth, most = (np.array(x) for x in zip(*sorted(items)))
+    sack = packing.Knapsack(sizes, worth.astype(float), most, 25)
+    best = {0: 0}
+    for size, value, many in zip(sizes, worth, most):
+        best = {r: max(best[w] + k * value for w in best for k in range(many + 1) if w + k * size == r)
+                for r in {w + k * size for w in best for k in range(many + 1)}}
+    assert sack.best[25] == max(value for width, value in best.items() if width <= 25)
+    choice = sack.choice(25)
+    assert (choice <= most).all() and (choice * sizes).sum() <= 25 and (choice * worth).sum() == sack.best[25]
+
+
+HISTOGRAMS = {
+    "n1500": lambda rng: rng.normal(1500, 300, 100_000),
+    "n1800": lambda rng: rng.normal(1800, 400, 100_000),
+    "n1200": lambda rng: rng.normal(1200, 150, 100_000),
+    "1200 to 2299": lambda rng: rng.integers(1200, 2300, 100_000),
+    "flat": lambda rng: rng.integers(1, 4097, 3_000_000),
+    "documents": lambda rng: rng.lognormal(5, 1.2, 250_000),
+}
+#: How many percent over the bound each plan is at most; the bound may be below the linear program itself.
+GAPS = {"n1500": 4.7, "n1800": 3.4, "n1200": 6.3, "1200 to 2299": 5.9, "flat": 0.01, "documents": 0.02}
+
+
+@pytest.mark.parametrize("kind", HISTOGRAMS)
+def test_linear_program_against_best_fit(kind):
+    lengths = HISTOGRAMS[kind](np.random.default_rng(0)).astype(int)
+    counts = np.bincount(np.clip(lengths, 1, 4096), minlength=4097)
+    packed, bound = packing.plan_with_bound(counts)
+    assert (held_by(packed, 4096) == counts).all()
+    used, fitted = sum(packed.values()), sum(packing.best_fit(counts, 4096).values())
+    assert bound <= used <= bound * (1 + GAPS[kind] / 100) + 1 and used <= fitted
+    if kind in ("n1500", "n1200", "1200 to 2299"):
+        # where full sequences are rare, it saves at least a hundredth of what best fit needs
+        assert used < 0.992 * fitted
+    if kind == "documents":
+        dealt, _ = packing.priced(counts, 4096)
+        assert sum(sum(pattern) * copies for pattern, copies in dealt.items()) > 0.85 * (counts * np.arange(4097)).sum()
 
 
 def test_bound():

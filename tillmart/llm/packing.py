@@ -2,12 +2,17 @@
 
 The lengths of all pieces make a histogram of at most ``capacity`` entries. A
 configuration is a multiset of lengths that fits one sequence. The linear program is
-"cover the histogram with the fewest configurations". Its dual, which gives each length
-a worth of which no configuration has more than one, bounds the sequences from below
-(``least_sequences``). Configurations are priced within the counts that are left, by subset
-sums over ``capacity``, and dealt in whole copies until nothing is left, so there is
-nothing to round; how far they are above the bound is the gap. Only the histogram is on
-the driver: pieces find their place by their number within their length.
+"cover the histogram with the fewest configurations". It is solved by multiplicative weights: a length's
+weight is its share of a sequence times ``exp(PULL * share of its pieces that are left)``, and a knapsack by dynamic
+programming prices configurations within the counts that are left. Each of the best, for several
+first pieces, is dealt a ``STEP`` of what its scarcest length has, rounded down to whole copies, so weights of lengths that
+lag behind rise and all lengths run out together. For that, lengths are joined to ``GROUPS`` groups of about as many pieces,
+counted at their longest. What is left in the end goes where best fit puts it, into the room that configurations
+leave or new sequences. The weights on the way are also solutions of the dual, and the best of them is a
+bound: no packing has fewer sequences. If plain best fit needs fewer sequences, its plan is taken. The shortest pieces, with few of the
+tokens, are no part of the program; they go last, into the room that is left.
+
+Only the histogram is on the driver: pieces find their place by their number within their length.
 
 Defined results: a null text is empty and gives the end mark alone; rows that repeat
 an id are packed one by one; a null id is kept; other columns are not read; an empty
@@ -28,6 +33,14 @@ from tillmart.session import written
 
 CAPACITY = 4096
 END_ID = 1
+#: Of the linear program: groups of lengths, how strongly lengths that lag behind pull, the share of a length that is dealt at a
+#: time, first pieces that are tried for each pricing, how near to the best their worth must be, and the share that best fit gets.
+GROUPS, PULL, STEP, MANY, NEAR, REST = 240, 8.0, 0.15, 16, 0.03, 0.01
+TURNS = 1500
+#: Short pieces go last, into the room that is left: those up to this share of a sequence, with this share of all tokens at most.
+SHORT, SHORT_TOKENS = 1 / 8, 0.08
+#: Rows of ``slots`` that are sent to all tasks; more are joined by their length.
+SENT = 200_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, place long"
 
 
@@ -45,7 +58,7 @@ class WordIds(Remembered):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.signs = byte_signs()
 
     def find(self, word: str) -> bytes:
@@ -59,6 +72,10 @@ class WordIds(Remembered):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: str) -> bytes:
+        # these are tokens as they are, but not in capitals
+        if any(token in text.lower() for token in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         words = text.lower() if is_latin(text) else text
         return b"".join(map(self.__getitem__, words.replace("\n", " ").split(" ")))
 
@@ -124,90 +141,175 @@ def least_sequences(counts: np.ndarray, capacity: int) -> float:
     return float((counts * worth).sum() / max(1.0, best_pattern(worth, capacity)[0]))
 
 
-def configurations(counts: np.ndarray, capacity: int, rest: int = 0) -> Iterator[tuple[tuple[int, ...], int]]:
-    """Configurations and their whole copies, until at most ``rest`` pieces of ``counts`` are left; takes from ``counts``.
-
-    A configuration has the longest length left and is the fullest that the counts allow; of equally
-    full ones, that with the longest lengths, so short pieces last. A full one is worth a whole
-    sequence to the dual, so it is in a solution of the linear program. It is copied until the counts of
-    one of its lengths no longer hold it, so there are at most sum(capacity / length) of them.
-    ``reach[i]`` has a bit for each sum of the ``i`` shortest lengths within their counts.
-    """
-    lengths = [int(length) for length in np.flatnonzero(counts)]
-    left, whole = [int(counts[length]) for length in lengths], (1 << (capacity + 1)) - 1
-    reach, changed, pieces = [1] * (len(lengths) + 1), 0, sum(left)
-    while pieces > rest:
-        while not left[-1]:
-            left.pop()
-        top = len(left) - 1
-        for i in range(changed, top):
-            sums, many, step = reach[i], min(left[i], capacity // lengths[i]), 1
-            while many:
-                sums |= (sums << (min(step, many) * lengths[i])) & whole
-                many -= min(step, many)
-                step *= 2
-            reach[i + 1] = sums
-        changed, room, used = top, -1, []
-        for times in range(min(left[top], capacity // lengths[top]), 0, -1):
-            free = capacity - times * lengths[top]
-            filled = (reach[top] & ((1 << (free + 1)) - 1)).bit_length() - 1
-            if room < 0 or times * lengths[top] + filled > used[0][1] * lengths[top] + room:
-                room, used = filled, [(top, times)]
-            if filled == free:
-                break
-        for i in range(top - 1, -1, -1):
-            if not room:
+def best_fit(counts: np.ndarray, capacity: int, begun: dict[tuple[int, ...], int] | None = None) -> dict[tuple[int, ...], int]:
+    """Best-fit decreasing, on counts: each piece goes where it leaves the least room, into ``begun`` sequences or new ones."""
+    rooms: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+    waiting = np.zeros(capacity + 1, np.int64)
+
+    def add(room: int, pattern: tuple[int, ...], copies: int) -> None:
+        if copies:
+            rooms[room].append((pattern, copies))
+            waiting[room] += copies
+
+    for pattern, copies in (begun or {}).items():
+        add(capacity - sum(pattern), pattern, copies)
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        n = int(counts[length])
+        while n:
+            able = np.flatnonzero(waiting[length:])
+            if not len(able):
+                # new sequences take as many as they hold
+                times = capacity // length
+                add(capacity - times * length, (length,) * times, n // times)
+                if n % times:
+                    add(capacity - n % times * length, (length,) * (n % times), 1)
                 break
-            times = min(left[i], room // lengths[i])
-            while not reach[i] >> (room - times * lengths[i]) & 1:
-                times -= 1
-            if times:
-                used.append((i, times))
-                room -= times * lengths[i]
-        copies = min(left[i] // times for i, times in used)
-        for i, times in used:
-            left[i] -= copies * times
-            pieces -= copies * times
-            counts[lengths[i]] -= copies * times
-            if left[i] < capacity // lengths[i]:
-                changed = min(changed, i)
-        yield tuple(lengths[i] for i, times in used for _ in range(times)), copies
-
-
-def best_fit(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
-    """Best-fit decreasing of a small rest: each piece goes where it leaves the least room."""
-    rooms: list[list[list[int]]] = [[] for _ in range(capacity + 1)]
-    for length in np.flatnonzero(counts)[::-1]:
-        for _ in range(counts[length]):
-            room = next((room for room in range(length, capacity + 1) if rooms[room]), None)
-            own = rooms[room].pop() if room is not None else []
-            own.append(int(length))
-            rooms[(room if room is not None else capacity) - length].append(own)
+            room = length + int(able[0])
+            pattern, copies = rooms[room].pop()
+            waiting[room] -= copies
+            # a sequence with the least room that will do has the least room after it has taken one, too
+            times = min(room // length, n)
+            used = min(copies, n // times)
+            add(room, pattern, copies - used)
+            add(room - times * length, pattern + (length,) * times, used)
+            n -= used * times
     packed: dict[tuple[int, ...], int] = {}
     for held in rooms:
-        for own in held:
-            packed[tuple(own)] = packed.get(tuple(own), 0) + 1
+        for pattern, copies in held:
+            own = tuple(sorted(pattern, reverse=True))
+            packed[own] = packed.get(own, 0) + copies
+    return packed
+
+
+def grouped(counts: np.ndarray, groups: int) -> list[np.ndarray]:
+    """The lengths with pieces, in runs with about as many pieces each."""
+    lengths = np.flatnonzero(counts)
+    if len(lengths) <= groups:
+        return [lengths[i : i + 1] for i in range(len(lengths))]
+    before = np.cumsum(counts[lengths]) - counts[lengths]
+    of = before * groups // counts.sum()
+    return np.split(lengths, np.flatnonzero(np.diff(of)) + 1)
+
+
+class Knapsack:
+    """The most worth that fits each room, of at most ``most`` pieces of each size, by dynamic programming over sizes."""
+
+    def __init__(self, sizes: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int):
+        self.best, self.steps, self.n = np.zeros(capacity + 1), [], len(sizes)
+        for item in np.flatnonzero(most > 0)[::-1].tolist():
+            size, left, times = int(sizes[item]), min(int(most[item]), capacity // int(sizes[item])), 1
+            while left:
+                times = min(times, left)
+                width = times * size
+                other = self.best[: capacity + 1 - width] + times * worth[item]
+                better = other > self.best[width:] + 1e-12
+                self.best[width:] = np.where(better, other, self.best[width:])
+                self.steps.append((item, times, width, better))
+                left -= times
+                times *= 2
+
+    def choice(self, room: int) -> np.ndarray:
+        """How many of each size the best choice for ``room`` has."""
+        out = np.zeros(self.n, np.int64)
+        for item, times, width, better in reversed(self.steps):
+            if room >= width and better[room - width]:
+                out[item] += times
+                room -= width
+        return out
+
+
+def priced(counts: np.ndarray, capacity: int) -> tuple[dict[tuple[int, ...], int], float]:
+    """Configurations with their copies, within ``counts`` but for a rest, and a lower bound of the linear program."""
+    tokens = np.cumsum(counts * np.arange(capacity + 1))
+    short = min(int(np.searchsorted(tokens, SHORT_TOKENS * tokens[-1], side="right")) - 1, int(SHORT * capacity))
+    long = counts * (np.arange(capacity + 1) > short)
+    members = grouped(long, GROUPS)
+    sizes = np.array([own[-1] for own in members])
+    total = np.array([counts[own].sum() for own in members])
+    left, bound, dealt, turn = total.copy(), 0.0, [], 0
+    while left.sum() > REST * total.sum() and turn < TURNS:
+        share = left / total
+        weight = sizes / capacity * np.exp(PULL * (share - share.max())) * (left > 0)
+        if turn % 50 == 0:
+            bound = max(bound, dual_bound(counts, members, sizes / capacity * np.exp(PULL * (share - share.max())), capacity))
+        sack = Knapsack(sizes, weight, left, capacity)
+        top = weight + sack.best[capacity - sizes]
+        firsts = [g for g in np.argsort(-np.where(left > 0, top, -1.0), kind="stable")[:MANY].tolist() if left[g] and top[g] >= (1 - NEAR) * sack.best[capacity]]
+        seen = set()
+        for first in firsts:
+            pattern = sack.choice(capacity - int(sizes[first]))
+            pattern[first] += 1
+            held = pattern > 0
+            able = int((left[held] // pattern[held]).min())
+            if able and pattern.tobytes() not in seen:
+                seen.add(pattern.tobytes())
+                copies = min(able, max(1, int(STEP * (left[held] / pattern[held]).min())))
+                left -= copies * pattern
+                dealt.append((pattern, copies))
+        if not seen:
+            break
+        turn += 1
+    return spelled_out(dealt, members, counts), bound
+
+
+def spelled_out(dealt: list[tuple[np.ndarray, int]], members: list[np.ndarray], counts: np.ndarray) -> dict[tuple[int, ...], int]:
+    """Configurations of groups as such of lengths: each takes the longest pieces that its groups still have."""
+    stocks = [[[int(length), int(counts[length])] for length in own] for own in members]
+    packed: dict[tuple[int, ...], int] = {}
+    for pattern, copies in dealt:
+        needs = [(stocks[group], int(pattern[group])) for group in np.flatnonzero(pattern).tolist()]
+        while copies:
+            used = min(copies, *(stock[-1][1] // need for stock, need in needs), copies)
+            own: list[int] = []
+            for stock, need in needs:
+                # whole copies of the longest length, or one copy over several lengths
+                missing = need
+                while missing:
+                    taken = min(missing, stock[-1][1]) if not used else need
+                    own += [stock[-1][0]] * taken
+                    stock[-1][1] -= taken * max(used, 1)
+                    missing -= taken
+                    while stock and not stock[-1][1]:
+                        stock.pop()
+            copies -= max(used, 1)
+            key = tuple(sorted(own, reverse=True))
+            packed[key] = packed.get(key, 0) + max(used, 1)
     return packed
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, *, rest: int = 0) -> dict[tuple[int, ...], int]:
+def dual_bound(counts: np.ndarray, members: list[np.ndarray], weight: np.ndarray, capacity: int) -> float:
+    """The weights as worth of lengths, scaled by what the best configuration of any counts has: a bound for any packing."""
+    worth = np.zeros(capacity + 1)
+    for own, value in zip(members, weight):
+        worth[own] = value
+    return float((counts * worth).sum() / best_pattern(worth, capacity)[0])
+
+
+def plan_with_bound(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[dict[tuple[int, ...], int], float]:
     """Configurations (lengths, longest first) and how many sequences take each; together they hold ``counts`` exactly.
 
-    All pieces go by configurations, but for the last ``rest`` at most, which best fit packs.
+    And a number of sequences that no packing is below. With equal numbers the linear program's plan is taken.
     """
-    left, packed = counts.astype(np.int64).copy(), {}
-    for pattern, copies in configurations(left, capacity, rest):
-        packed[pattern] = packed.get(pattern, 0) + copies
-    for pattern, copies in best_fit(left, capacity).items():
-        packed[pattern] = packed.get(pattern, 0) + copies
-    return packed
+    counts = counts.astype(np.int64)
+    if not counts.any():
+        return {}, 0.0
+    dealt, bound = priced(counts, capacity)
+    left = counts.copy()
+    for pattern, copies in dealt.items():
+        np.subtract.at(left, list(pattern), copies)
+    plans = best_fit(left, capacity, dealt), best_fit(counts, capacity)
+    return min(plans, key=lambda packed: sum(packed.values())), max(bound, least_sequences(counts, capacity))
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY) -> dict[tuple[int, ...], int]:
+    return plan_with_bound(counts, capacity)[0]
 
 
 def slots(spark: SparkSession, packed: dict[tuple[int, ...], int]) -> DataFrame:
     """Which numbers of a length go to which configuration: at most one row per configuration and length.
 
-    Its size does not grow with the corpus: ``plan`` makes at most sum(capacity / length) configurations
-    of at most ``capacity`` lengths.
+    Its size does not grow with the corpus, as the histogram has at most ``capacity`` entries and a
+    turn deals at most ``MANY`` configurations.
     """
     rows, taken, first = [], {}, 0
     for pattern, copies in packed.items():
@@ -233,10 +335,13 @@ def pack(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str =
     histogram = pieces.groupBy("length").agg(F.count("*").alias("n")).toPandas()
     counts = np.zeros(capacity + 1, np.int64)
     counts[histogram["length"].to_numpy(dtype=int)] = histogram["n"].to_numpy(dtype=np.int64)
-    taken = slots(spark, plan(counts, capacity))
+    packed = plan(counts, capacity)
+    taken = slots(spark, packed)
+    if sum(len(set(pattern)) for pattern in packed) <= SENT:
+        taken = F.broadcast(taken)
     numbered = pieces.join(starts, ["length", "part"]).withColumn("number", F.col("first_number") + F.col("place"))
     own = numbered.alias("p").join(
-        F.broadcast(taken.alias("s")),
+        taken.alias("s"),
         (F.col("p.length") == F.col("s.length")) & (F.col("p.number") >= F.col("s.begin")) & (F.col("p.number") < F.col("s.stop")),
     )
     at = F.col("p.number") - F.col("s.begin")
