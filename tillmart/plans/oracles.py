@@ -514,4 +514,47 @@ FROM sold GROUP BY 1, 2"""
     checked["incremental_marts"] = _with(
         _DIM_CUSTOMERS, _CUSTOMERS, _sums({name: name for name in _SUMS if name in followed or name == "fact_transactions"})
     )
+    checked["distinct_estimates"] = _with(
+        f"""SELECT country_name, CAST(sum(total) AS DOUBLE) AS total_sales_amount, count(DISTINCT invoice_id) AS total_invoices,
+  true AS within_error
+FROM sold WHERE date >= DATE '2010-03-01' AND date < DATE '2012-11-01' GROUP BY country_name"""
+    )
+    checked["quarter_sales"] = _with(
+        """SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, day_of_week,
+  CAST(sum(total) AS DOUBLE) AS total_sales_amount, count(*) AS n_lines
+FROM sold WHERE date >= DATE '2010-04-01' AND date < DATE '2010-07-01' GROUP BY 1, 2, 3"""
+    )
+    checked["colocated_transactions"] = checked["int_transactions"]
+    checked["colocated_items"] = checked["int_items"]
+    unreadable = {
+        "rejected_quantity": ("Quantity", _int("Quantity")),
+        "rejected_price": ("UnitPrice", "try_cast(UnitPrice AS DECIMAL(18,4))"),
+        "rejected_customer": ("CustomerID", _int("CustomerID")),
+        "rejected_date": ("InvoiceDate", "try_strptime(InvoiceDate, '%m/%d/%y %H:%M')"),
+    }
+    values = [
+        f"SELECT '{reason}' AS reason, InvoiceNo AS invoice_id, StockCode AS item_id, {column} AS text"
+        f" FROM raw WHERE {column} IS NOT NULL AND {read} IS NULL"
+        for reason, (column, read) in unreadable.items()
+    ]
+    # a torn record is two malformed lines: the text up to the line break in the quoted description, and the rest
+    torn = "torn AS (" + _FEED.split("raw AS (")[1].split("stg AS (")[0].replace(f"NOT ({_TORN})", _TORN).rstrip().rstrip(",")
+    rest = " || ',' || ".join(f"coalesce({column}, '')" for column in ("Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"))
+    halves = [
+        "SELECT 'malformed_line', NULL, NULL, InvoiceNo || ',' || StockCode || ',\"' || upper(name_text) FROM torn_named",
+        f"SELECT 'malformed_line', NULL, NULL, 'SECOND LINE\",' || {rest} FROM torn_named",
+    ]
+    named = torn.replace("SELECT\n", "SELECT p_name AS name_text,\n", 1).replace("torn AS", "torn_named AS", 1)
+    checked["quarantine"] = _with(named, " UNION ALL ".join([*values, *halves]))
+    checked["quarantine_balance"] = _with(
+        f"""SELECT count(*) + count(*) FILTER ({_TORN}) AS n_records, count(*) FILTER (NOT ({_TORN})) AS n_loaded,
+  2 * count(*) FILTER ({_TORN}) AS n_quarantined, true AS adds_up FROM lines"""
+    )
+    checked["landing_manifest"] = _with(
+        """a AS (SELECT count(*) AS n FROM raw WHERE CustomerID IS NULL),
+b AS (SELECT count(*) AS n, count(Quantity) AS known FROM raw WHERE CustomerID IS NOT NULL)""",
+        """SELECT CAST(check_id AS BIGINT) AS check_id, status, CAST(n_files AS BIGINT) AS n_files, CAST(n_rows AS BIGINT) AS n_rows, status <> 'gone' OR NULL AS has_size
+FROM a, b, LATERAL (VALUES (0, 'new', 2, a.n + b.n), (1, 'unchanged', 1, a.n), (1, 'redelivered', 1, a.n), (1, 'gone', 1, b.n), (1, 'new', 1, b.known),
+  (2, 'unchanged', 3, 2 * a.n + b.known)) AS v(check_id, status, n_files, n_rows)""",
+    )
     return checked

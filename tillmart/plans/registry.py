@@ -6,12 +6,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmart.functions import columns as fn
-from tillmart.operators import dimensions as dim, grouped, marts, mining, quality, reports, staging
+from tillmart.operators import colocated, dimensions as dim, grouped, marts, mining, quality, quarantine, reports, staging
 from tillmart.plans.batch import BUILDERS, LOADED, PUBLISHED, Lake, load_warehouse, run_batch
 from tillmart.plans.builds import Builds
 from tillmart.schemas import RAW_FAMILIES, RAW_SALES, TABLES, as_published
 from tillmart.session import shared_dir
 from tillmart.sources import files, order_tables, tables
+from tillmart.sources.landing import Landing
 from tillmart.streaming import incremental
 from tillmart.streaming.following import FOLLOWED, Following
 
@@ -244,6 +245,81 @@ def incremental_marts(star: Star) -> DataFrame:
     return reports.table_sums({name: star.followed.table(name) for name in names}, {name: SUMMED[name] for name in names})
 
 
+#: Months that estimates are made for, and the quarter of a report.
+FIRST_MONTH, LAST_MONTH = "2010-03-01", "2012-10-01"
+QUARTER = (2010, 2)
+
+
+def distinct_estimates(star: Star) -> DataFrame:
+    """Sales from stored monthly sketches, the true number of invoices, and whether the estimate is within its error."""
+    path = star.path("sketches")
+    files.write_parquet(reports.monthly_sketches(star.transactions), path)
+    told = reports.sales_between(files.read_parquet(star.spark, path), FIRST_MONTH, LAST_MONTH)
+    months = F.trunc("date", "month").between(F.lit(FIRST_MONTH).cast("date"), F.lit(LAST_MONTH).cast("date"))
+    true = star.transactions.filter(months).groupBy(F.col("country_name").alias("country")).agg(F.countDistinct("invoice_id").alias("total_invoices"))
+    near = F.abs(F.col("estimated_invoices") - F.col("total_invoices")) <= reports.SKETCH_ERROR * F.col("total_invoices")
+    both = told.join(true, F.col("country_name").eqNullSafe(F.col("country")))
+    return as_published(both.select("country_name", "total_sales_amount", "total_invoices", near.alias("within_error")))
+
+
+def monthly_fact(star: Star) -> DataFrame:
+    """The fact laid out by month."""
+    path, time = star.path("monthly_fact"), F.col("event_timestamp_invoiced_at")
+    files.write_partitions(star.fact.withColumns({"year": F.year(time), "month": F.month(time)}), path, "year", "month", dynamic=False)
+    return files.read_parquet(star.spark, path)
+
+
+def quarter_sales(star: Star) -> DataFrame:
+    return as_published(reports.quarter_sales(monthly_fact(star), star.dates, *QUARTER))
+
+
+def _colocated(star: Star) -> tuple[DataFrame, DataFrame]:
+    """Fact and described items in buckets."""
+    name = star.database("colocated")
+    with _in_database(star, "colocated"):
+        colocated.write_colocated(star.fact, star.items, star.families, ("fact_buckets", "item_buckets"), star.path("colocated"))
+    return star.spark.table(f"{name}.fact_buckets"), star.spark.table(f"{name}.item_buckets")
+
+
+def colocated_transactions(star: Star) -> DataFrame:
+    return _without_id(colocated.transactions(*_colocated(star), star.dates, star.places))
+
+
+def colocated_items(star: Star) -> DataFrame:
+    return as_published(colocated.items_mart(_colocated(star)[0], star.items, star.families))
+
+
+def quarantine_rows(star: Star) -> DataFrame:
+    """Each rejected record and value; those of the same record and reason are as many rows."""
+    return quarantine.rejected(star.lines)
+
+
+def quarantine_balance(star: Star) -> DataFrame:
+    return quarantine.balance(star.lines, star.stg, quarantine.rejected(star.lines))
+
+
+def landing_manifest(star: Star) -> DataFrame:
+    """What three checks of a landing folder find: two files; one of them delivered again and the other rewritten; nothing more."""
+    where = star.fresh("landing_manifest")
+    anonymous = F.col("CustomerID").isNull()
+    parts = {"a": star.raw.filter(anonymous), "b": star.raw.filter(~anonymous)}
+    landing = Landing(star.spark, f"{where}/drops", f"{where}/manifest", RAW_SALES)
+
+    def deliver(name: str, rows: DataFrame) -> None:
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{where}/drops/{name}")
+
+    for name, rows in parts.items():
+        deliver(name, rows)
+    landing.check(0)
+    files.remove(star.spark, f"{where}/drops/b")
+    deliver("again", parts["a"])
+    deliver("b", star.raw.filter(~anonymous & F.col("Quantity").isNotNull()))
+    landing.check(1)
+    landing.check(2)
+    found = landing.history().groupBy("check_id", "status")
+    return found.agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"), F.min(F.col("n_bytes") > 0).alias("has_size"))
+
+
 def with_lines(star: Star, dimension: DataFrame, key: str) -> DataFrame:
     """Every row of the dimension, with the number of staged lines that have its key."""
     lines = star.stg.groupBy(key).agg(F.count("*").alias("n_lines"))
@@ -358,6 +434,13 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "full_build": full_build,
     "incremental_load": incremental_load,
     "incremental_fact": incremental_fact,
+    "distinct_estimates": distinct_estimates,
+    "quarter_sales": quarter_sales,
+    "colocated_transactions": colocated_transactions,
+    "colocated_items": colocated_items,
+    "quarantine": quarantine_rows,
+    "quarantine_balance": quarantine_balance,
+    "landing_manifest": landing_manifest,
     "incremental_marts": incremental_marts,
     **{f"incremental_{name}": followed(name) for name in FOLLOWED if name != "fact_transactions"},
     "landing_inventory": lambda star: files.rows_per_file(star.spark, star.sf_dir, ORDER_TABLES),
