@@ -89,3 +89,10 @@ def test_nothing_to_learn_from(spark):
     (row,) = language.predict(docs, language.train(docs)).collect()
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
     assert language.predict(docs.limit(0), language.train(docs.limit(0))).count() == 0
+
+
+def test_clashing_and_dotted_names(spark):
+    rows = [(1, "the and of that", "en", 1, "x", 2.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, told int, `a.b` string, _best_language double")
+    told = language.predict(docs, language.train(docs))
+    assert told.columns == [*docs.columns, "lang_pred", "score"] and told.first()["a.b"] == "x"

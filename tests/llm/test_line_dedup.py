@@ -85,3 +85,10 @@ def test_edge_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = queries.op4_line_dedup(spark, SF_DIR)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_dotted_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y")], "doc_id long, text string, `a.b` string")
+    for emptied, left in ((False, 2), (True, 1)):
+        out = line_dedup.dedup_lines(docs, drop_emptied=emptied)
+        assert out.columns == docs.columns and out.count() == left

@@ -4,7 +4,7 @@ import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from tests.conftest import SF_DIR
 from tests.llm import test_decontamination, test_jaccard, test_line_dedup, test_packing
-from tillmart.llm import decontamination as dc, packing
+from tillmart.llm import decontamination as dc, line_dedup, packing
 from tillmart.llm.common import read_table
 from tillmart.session import written
 
@@ -25,7 +25,7 @@ def test_stages(spark):
     start, told, cut, single, clean, packed = (rows_of(df) if "text" in df.columns else df.collect() for df in outs)
     assert set(told) <= set(start) and len(told) > 0.95 * len(start)
 
-    want = test_line_dedup.plain(told, 10)
+    want = test_line_dedup.plain(told, line_dedup.MIN_WORDS)
     lost = {key for key, text in want if text != dict(told)[key] and not test_line_dedup.n_words(text)}
     assert sorted(cut) == sorted((key, text) for key, text in want if key not in lost)
 
@@ -56,3 +56,28 @@ def test_registered(spark):
     assert contract.queries()["pipeline"] is pipeline.run
     wanted = {f"op{n}_" for n in range(1, 14)}
     assert {name.split("_")[0] + "_" for name in contract.queries() if name.startswith("op")} == wanted
+
+
+def test_edge_rows(spark, tmp_path):
+    """Nulls in all columns, empty, long and repeated texts, repeated ids, odd column names; and an empty table."""
+    words = "the house and the river of that old town are near to us "
+    rows = [
+        (1, words * 3, "en", "s", 1, "x"),
+        (1, words * 3, "en", "s", 1, "x"),
+        (2, words * 3, None, None, None, None),
+        (None, None, None, None, None, None),
+        (None, words + "or not", "en", "s", 1, "y"),
+        (3, "", "en", "s", 0, "x"),
+        (4, "123 456", "en", "s", 7, "x"),
+        (5, words * 4_000, "en", "s", 7, "x"),
+        (5, "der Fluss und das Haus sind alt und die Stadt ist nah", "de", "s", 7, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `told.row` string")
+    for held in (docs, docs.limit(0)):
+        out = held
+        for name, stage in pipeline.STAGES[:-1]:
+            out = written(stage(spark, out, SF_DIR), f"edge_{name}")
+            assert out.schema.simpleString() == docs.schema.simpleString()
+        packed = pipeline.STAGES[-1][1](spark, out, SF_DIR).collect()
+        assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in out.collect()}
+        assert bool(packed) == (held is docs)

@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillmart.llm.common import small_batches, text_of
+from tillmart.llm.common import fresh, small_batches, text_of
 
 UNKNOWN = "und"
 #: Code points hashed at once, so a very long text is worked off in pieces.
@@ -121,6 +121,7 @@ def predict(df: DataFrame, model: Model, *, text: str = "text", pred: str = "lan
                 score_of[known] = probability.max(axis=1)
             yield pd.DataFrame({"pred": pred_of, "score": score_of})
 
-    rest = [column for column in df.columns if column.lower() not in (pred.lower(), score.lower())]
-    found = df.select(*rest, best(text_of(text)).alias("_best_language"))
-    return found.select(*rest, F.col("_best_language.pred").alias(pred), F.col("_best_language.score").alias(score))
+    rest = [f"`{column}`" for column in df.columns if column.lower() not in (pred.lower(), score.lower())]
+    (told,) = fresh(df, "told")
+    found = df.select(*rest, best(text_of(f"`{text}`")).alias(told))
+    return found.select(*rest, F.col(f"{told}.pred").alias(pred), F.col(f"{told}.score").alias(score))

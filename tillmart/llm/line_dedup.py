@@ -24,7 +24,7 @@ from tillmart.llm.common import WORD, fresh, text_of
 from tillmart.session import shared_dir, written
 from tillmart.sources.files import remove
 
-MIN_WORDS = 10
+MIN_WORDS = 5
 
 
 def _hashes(column: Column) -> list[Column]:
@@ -116,16 +116,17 @@ def dedup_lines(
     ``removed`` names a column for the number of lines taken out. ``drop_emptied`` leaves
     out documents that lost lines and have no word left.
     """
-    rows = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), text_of(f"`{text}`").alias("text"))
     lost_id, lost_key, lost = fresh(docs, "lost_id", "lost_key", "lost")
     repeats = repeats_of(rows, min_words).toDF(lost_id, lost_key, lost)
-    same = docs[doc_id].eqNullSafe(repeats[lost_id]) & (F.xxhash64(text_of(text)) == repeats[lost_key])
+    same = docs[f"`{doc_id}`"].eqNullSafe(repeats[lost_id]) & (F.xxhash64(text_of(f"`{text}`")) == repeats[lost_key])
     joined = docs.join(repeats, same, "left")
-    rebuilt = F.when(F.col(lost).isNotNull(), without_lines(F.col(text), F.col(lost))).otherwise(F.col(text))
-    columns = [rebuilt.alias(column) if column == text else F.col(column) for column in docs.columns]
+    whole = F.col(f"`{text}`")
+    rebuilt = F.when(F.col(lost).isNotNull(), without_lines(whole, F.col(lost))).otherwise(whole)
+    columns = [rebuilt.alias(column) if column == text else F.col(f"`{column}`") for column in docs.columns]
     if removed:
         columns.append(F.coalesce(F.size(lost), F.lit(0)).cast("long").alias(removed))
     if drop_emptied:
         out = joined.select(*columns, F.col(lost).isNotNull().alias(lost_id))
-        return out.filter(~F.col(lost_id) | F.col(text).rlike(WORD)).drop(lost_id)
+        return out.filter(~F.col(lost_id) | whole.rlike(WORD)).drop(lost_id)
     return joined.select(*columns)
