@@ -1,4 +1,10 @@
-"""A training corpus from raw documents: five stages, each on all rows that the one before kept."""
+"""A training corpus from raw documents: five stages, each on all rows that the one before kept.
+
+All stages keep every column, whatever its name, and every row that they do not drop; the last gives pieces. Null and empty texts
+have no language and go in the first. Very long texts go through whole. Rows that repeat an id are
+each judged by their own text; of equal texts, one document stays: that with the smallest id, with all rows that
+have this id; rows without an id have none to lose and stay. An empty table, or one of which nothing is left, gives no rows.
+"""
 
 import os
 import sys
@@ -20,7 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a letter, and those whose language is not clear, go."""
     pred, score = fresh(docs, "lang_pred", "lang_score")
     told = language.predict(docs, language.train(docs), pred=pred, score=score)
-    return told.filter((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
+    return told.filter((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select([f"`{column}`" for column in docs.columns])
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
