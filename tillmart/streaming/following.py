@@ -68,16 +68,19 @@ class State:
         return buckets_of(held)
 
     def compact(self, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """All loads' rows merged into one load's, as a new generation that is read from the moment it is whole.
+        """The rows of all loads but the last merged into one load's, as a new generation that is read from the moment it is whole.
 
-        Not while a load runs.
+        The last load keeps its own, as it may be run again. Not while a load runs.
         """
         rows, now = self.read(), self.generation
         last = rows.agg(F.max(LOAD)).first()[0]
         if last is not None:
-            remove(self.spark, self._folder(now + 1))
-            merged = conform(merge(rows.drop(LOAD)), self.partial)
-            write_partitions(merged, f"{self._folder(now + 1)}/{LOAD}={last}", BUCKET, dynamic=False)
+            folder = self._folder(now + 1)
+            remove(self.spark, folder)
+            merged = conform(merge(rows.filter(F.col(LOAD) < last).drop(LOAD)), self.partial)
+            own = conform(rows.filter(F.col(LOAD) == last), self.partial)
+            for load, held in ((last - 1, merged), (last, own)):
+                write_partitions(held, f"{folder}/{LOAD}={load}", BUCKET, dynamic=False)
             create(self.spark, f"{self.path}/whole/{now + 1}")
             remove(self.spark, self._folder(now))
 
@@ -278,7 +281,7 @@ class Following:
         self._rewrite("int_customers", touched, build)
 
     def compact(self) -> None:
-        """One load's worth of partial rows for all loads, so that merging does not grow with their number."""
+        """Two loads' worth of partial rows for all loads, so that merging does not grow with their number."""
         for name, measures in (("item_sales", ITEM_SALES), ("invoices", INVOICES), ("customers", CUSTOMERS)):
             self.states[name].compact(lambda rows, measures=measures: measures.merged(rows, BUCKET))
         self.states["categories"].compact(
