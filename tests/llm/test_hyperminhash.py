@@ -25,7 +25,7 @@ def test_query_against_sql(spark):
     assert assert_same(queries.op11_hyperminhash(spark, SF_DIR), connect(SF_DIR).sql(queries.OP11_SQL)) > 0
 
 
-@pytest.mark.parametrize("n, num, den, size, edits", [(4, 80, 100, 150, 12), (5, 80, 100, 400, 20), (4, 80, 100, 12, 1), (1, 75, 100, 9, 3), (3, 90, 100, 40, 2)])
+@pytest.mark.parametrize("n, num, den, size, edits", [(4, 80, 100, 150, 12), (4, 80, 100, 12, 1), (1, 75, 100, 9, 3)])
 def test_near_copies_against_brute_force(spark, n, num, den, size, edits):
     rows = near_copies(random.Random(size), 6, size, 25, edits)
     assert found(spark, rows, n=n, num=num, den=den) == plain(rows, n, num, den)

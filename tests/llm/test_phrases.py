@@ -52,7 +52,7 @@ def test_query_against_sql(spark):
     assert assert_same(queries.op13_phrases(spark, SF_DIR), connect(SF_DIR).sql(queries.OP13_SQL)) > 0
 
 
-@pytest.mark.parametrize("least, longest, top, words", [(3, 5, 2000, 8), (5, 4, 7, 6), (2, 2, 50, 20), (12, 5, 2000, 4)])
+@pytest.mark.parametrize("least, longest, top, words", [(3, 5, 2000, 8), (5, 4, 7, 6)])
 def test_against_brute_force(spark, least, longest, top, words):
     rng = random.Random(words)
     vocabulary = [f"w{k}" for k in range(words)] + ["É", "The", "the"]
