@@ -1,9 +1,8 @@
 """Loading what is new in a landing folder into the staging table, and the fact after it."""
 
 from collections.abc import Callable
-from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tillmart.operators.dimensions import literal_table
 from tillmart.operators.staging import STAGING_COLUMNS, typed_sales
@@ -41,14 +40,12 @@ def numbered(rows: DataFrame, load_id: int, loads: str, name: str = "transaction
         F.shiftright("_place", SPARK_TASK_SHIFT).alias("_task"),
         F.col("_place").bitwiseAND(F.lit((1 << SPARK_TASK_SHIFT) - 1)).alias("_row"),
     )
-    # one row per task that has rows
-    sizes = sorted(held.groupBy("_task").agg(F.count("*").alias("_size")).collect())
-    begin = first_id(spark, loads, load_id)
-    firsts = list(accumulate((size for _, size in sizes), initial=begin))
-    write_parquet(literal_table(spark, [(begin, firsts[-1] - begin)], ["first_id", "n_rows"]), f"{loads}/load_id={load_id}")
-    if not sizes:
-        return held.select(*rows.columns, F.lit(begin).alias(name))
-    starts = literal_table(spark, [(task, first) for (task, _), first in zip(sizes, firsts)], ["_task", "_first"])
+    # one row per task that has rows; they are summed up in order and never leave the executors
+    sizes = written(held.groupBy("_task").agg(F.count("*").alias("_size")), "sizes")
+    begin, n_rows = first_id(spark, loads, load_id), sizes.agg(F.sum("_size")).first()[0] or 0
+    write_parquet(literal_table(spark, [(begin, n_rows)], ["first_id", "n_rows"]), f"{loads}/load_id={load_id}")
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_task", (F.lit(begin) + F.coalesce(F.sum("_size").over(earlier), F.lit(0))).alias("_first"))
     return held.join(starts, "_task").select(*rows.columns, (F.col("_first") + F.col("_row")).alias(name))
 
 
