@@ -69,7 +69,7 @@ def kept(name: str, make: Callable):
 class Remembered(dict):
     """Values by key, worked out once by ``find``; those used last, in at most ``most_bytes``, and no long keys."""
 
-    most_bytes, longest = 36_000_000, 64
+    most_bytes, longest = 72_000_000, 64
     #: Bytes of an entry besides key and value: its place in the table, and two object headers.
     entry_bytes = 190
 
