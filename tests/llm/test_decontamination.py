@@ -143,7 +143,7 @@ def test_seeds_lose_nothing(items, doc, threshold):
     counts = np.bincount(found, minlength=own.size) + np.bincount(own.pairs_in(found), minlength=own.size)
     counts[0] = 0
     own.choose(counts)
-    got = {(item, score) for item, score, _, _ in dc.leaks_in(found, own, threshold)}
+    got = {(item, score) for _, item, score, _, _ in dc.leaks_in([found], own, threshold)}
     scores = {(key, dc.last_row(own.words[key], found)[0] / len(own.words[key])) for key in range(len(items))}
     assert got == {(key, score) for key, score in scores if score >= threshold}
 
@@ -163,3 +163,22 @@ def test_shortened_numbers_are_whole(numbers):
     short = dc.shortened(np.array(numbers, np.int64))
     assert dc.lengthened(short).tolist() == numbers
     assert not ((short[1:] < 0) & (short[:-1] < 0)).any()
+
+
+@pytest.mark.parametrize("at_once", [4, 64, 1 << 20])
+def test_many_documents_in_one_step(monkeypatch, at_once):
+    """Whatever a step holds, documents have the leaks that each has alone, with its own places."""
+    monkeypatch.setattr(dc, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    draw = lambda size: " ".join(f"w{rng.randrange(6)}" for _ in range(size))
+    own = dc.Items([(key, draw(rng.randrange(1, 9))) for key in range(8)], 0.5)
+    docs = [own.numbers(dc.words_of(draw(rng.choice([0, 1, 5, 40])))) for _ in range(60)]
+    counts = np.bincount(np.concatenate(docs), minlength=own.size)
+    counts[0] = 0
+    own.choose(counts)
+    got, before = [], 0
+    for some in dc.in_steps(docs):
+        got += [(before + doc, *leak) for doc, *leak in dc.leaks_in(some, own, 0.5)]
+        before += len(some)
+    assert before == len(docs)
+    assert got == [(place, *leak) for place, doc in enumerate(docs) for _, *leak in dc.leaks_in([doc], own, 0.5)]

@@ -40,6 +40,8 @@ LEAKS = "doc_id long, item_id long, score double, start long, stop long"
 #: Costs, in units of a matching word.
 MISMATCH, GAP = 0.5, 0.5
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Numbers that one step of the search for seeds holds; a longer text is in steps of its own.
+AT_ONCE = 1 << 20
 
 
 def words_of(text: str) -> list[str]:
@@ -99,7 +101,8 @@ class Items:
         self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]))
         self.pairs = [np.searchsorted(self.codes, own) + len(self.vocabulary) + 1 for own in grams]
         self.seeds = np.zeros(0, bool)
-        self.places: dict[int, np.ndarray] = {}
+        self.sizes = np.array([len(words) for words in self.words], np.int64)
+        self.word_keys, self.pair_keys = self.keys_of(self.words), self.keys_of(self.pairs)
 
     @classmethod
     def of(cls, fields: dict) -> "Items":
@@ -112,6 +115,11 @@ class Items:
     def size(self) -> int:
         return len(self.vocabulary) + 1 + len(self.codes)
 
+    def keys_of(self, numbers: list[np.ndarray]) -> np.ndarray:
+        """Which item has which number, as sorted numbers of both."""
+        own = [item * self.size + np.unique(held) for item, held in enumerate(numbers)]
+        return np.concatenate([np.zeros(0, np.int64), *own])
+
     def numbers(self, words: list[str], learn: bool = False) -> np.ndarray:
         if learn:
             for word in words:
@@ -139,7 +147,6 @@ class Items:
 
     def choose(self, counts: np.ndarray) -> None:
         """Seeds each item by those rare words and pairs that every leak has one of, and that are fewest in the corpus."""
-        where: dict[int, list[tuple[int, int]]] = {}
         chosen: set[int] = set()
         for own, pairs in zip(self.words, self.pairs):
             size = len(own)
@@ -155,11 +162,15 @@ class Items:
                 chosen.update(words[: best[1]].tolist(), pairs[: best[2]].tolist())
         self.seeds = np.zeros(self.size, bool)
         self.seeds[sorted(chosen)] = True
-        for item, both in enumerate(zip(self.words, self.pairs)):
-            for numbers in both:
-                for place in np.flatnonzero(self.seeds[numbers]):
-                    where.setdefault(int(numbers[place]), []).append((item, int(place)))
-        self.places = {number: np.array(found) for number, found in where.items()}
+        # where the items have the seeds: a stretch of these arrays for each number
+        both = [own for item in zip(self.words, self.pairs) for own in item]
+        numbers = np.concatenate([np.zeros(0, np.int64), *both])
+        item = np.repeat(np.arange(len(both)) // 2, [len(own) for own in both])
+        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(own)) for own in both)])
+        seeded = np.flatnonzero(self.seeds[numbers])
+        seeded = seeded[np.argsort(numbers[seeded], kind="stable")]
+        self.place_item, self.place_inside = item[seeded], place[seeded]
+        self.place_first = np.searchsorted(numbers[seeded], np.arange(self.size + 1))
 
 
 def fewest_matches(size: int, threshold: float, pairs: int) -> int:
@@ -215,46 +226,90 @@ def windows_of(lows: np.ndarray, highs: np.ndarray) -> list[tuple[int, int]]:
     return [(low, high) for low, high in found]
 
 
-def leaks_in(words: np.ndarray, items: Items, threshold: float) -> Iterator[tuple[int, float, int, int]]:
-    """Item, score and span (words) of the best passage for each item that leaks into a document."""
-    pairs = items.pairs_in(words)
-    begins: list[np.ndarray] = []
-    for numbers in (words, pairs):
-        for at in np.flatnonzero(items.seeds[numbers]).tolist():
-            item, inside = items.places[int(numbers[at])].T
-            begins.append(np.stack([item, at - inside]))
-    if not begins:
-        return
-    items_at, starts_at = np.concatenate(begins, axis=1)
-    order = np.lexsort((starts_at, items_at))
-    seeded = np.stack([items_at, starts_at])[:, order]
-    firsts = np.flatnonzero(np.diff(seeded[0], prepend=-1))
-    held, cost = np.zeros(items.size, bool), min(MISMATCH, GAP)
-    for first, starts in zip(firsts, np.split(seeded[1], firsts[1:])):
-        item = int(seeded[0, first])
-        own, size = items.words[item], len(items.words[item])
+def pieces(sizes: np.ndarray, most: int) -> list[slice]:
+    """Slices of rows whose sizes sum to about ``most``; a larger row is in a slice of about its own size."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    return [slice(low, high) for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]) if low < high]
+
+
+def in_steps(texts: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """The texts, as many at a time as one step holds."""
+    return [texts[some] for some in pieces(np.array([len(words) for words in texts], np.int64), AT_ONCE // 4)]
+
+
+def joined(texts: list[np.ndarray]) -> np.ndarray:
+    """The words of all texts with a 0 after each text, so that no pair has words of two."""
+    return np.concatenate([np.zeros(0, np.int64), *(part for words in texts for part in (words, np.zeros(1, np.int64)))])
+
+
+def spread(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges that begin at ``firsts``, one range after the other."""
+    return np.repeat(firsts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def counts_inside(numbers: np.ndarray, keys: np.ndarray, base: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """How many numbers of each range, offset by its item's ``base``, are among the sorted ``keys``."""
+    full = np.flatnonzero(numbers)
+    numbers, lows, highs = numbers[full], np.searchsorted(full, lows), np.searchsorted(full, highs)
+    sizes, out = highs - lows, np.zeros(len(lows), np.int64)
+    for some in pieces(sizes, AT_ONCE):
+        own = np.repeat(base[some], sizes[some]) + numbers[spread(lows[some], sizes[some])]
+        same = keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own if len(keys) else np.zeros(len(own), bool)
+        sums = np.concatenate([[0], np.cumsum(same)])
+        ends = np.cumsum(sizes[some])
+        out[some] = sums[ends] - sums[ends - sizes[some]]
+    return out
+
+
+def able_stretches(words: np.ndarray, firsts: np.ndarray, items: Items, threshold: float) -> Iterator[np.ndarray]:
+    """Rows (document, item, low, high) of the stretches around seeds that the bounds leave.
+
+    The documents' words stand one after the other, each document from its place in ``firsts`` on and with a 0 at its end.
+    """
+    pairs, cost = items.pairs_in(words), min(MISMATCH, GAP)
+    known = np.concatenate([[0], np.cumsum(words > 0)])
+    hits = [(np.flatnonzero(items.seeds[numbers]), numbers) for numbers in (words, pairs)]
+    at = np.concatenate([own for own, _ in hits])
+    number = np.concatenate([numbers[own] for own, numbers in hits])
+    sizes = items.place_first[number + 1] - items.place_first[number]
+    for some in pieces(sizes, AT_ONCE):
+        places = spread(items.place_first[number[some]], sizes[some])
+        begin, item = np.repeat(at[some], sizes[some]), items.place_item[places]
+        doc = np.searchsorted(firsts, begin, side="right") - 1
+        start, size = begin - items.place_inside[places], items.sizes[item]
         # words between those of the item cost a gap each, so no alignment strays further
-        reach = int(size * (1 - threshold) / GAP + 1e-9)
-        lows, highs = np.maximum(starts - reach, 0), np.minimum(starts + size + reach, len(words))
-        base, end = lows[0], highs[-1]
-        inside = []
-        for numbers, those, most in ((words, own, size), (pairs, items.pairs[item], size - 1)):
-            held[those] = True
-            sums = np.concatenate([[0], np.cumsum(held[numbers[base:end]])])
-            held[those] = False
-            inside.append(np.minimum(sums[highs - base] - sums[lows - base], most))
-            if len(inside) == 1 and inside[0].max() < threshold * size - 1e-9:
-                break
-        if len(inside) == 1:
-            continue
-        able = (1 - cost) * inside[0] + cost * (inside[1] + 1) >= threshold * size - 1e-9
-        able &= inside[0] >= threshold * size - 1e-9
-        best = (0.0, 0, 0)
-        for low, high in windows_of(lows[able], highs[able]):
-            score, start, stop = align(own, words[low:high])
+        reach = (size * (1 - threshold) / GAP + 1e-9).astype(np.int64)
+        low, high = np.maximum(start - reach, firsts[doc]), np.minimum(start + size + reach, firsts[doc + 1] - 1)
+        enough = np.flatnonzero(known[high] - known[low] >= threshold * size - 1e-9)
+        rows = np.unique(np.stack([doc, item, low, high], axis=1)[enough], axis=0)
+        for numbers, keys, shorter in ((words, items.word_keys, 0), (pairs, items.pair_keys, 1)):
+            _, item, low, high = rows.T
+            inside = np.minimum(counts_inside(numbers, keys, item * items.size, low, high), items.sizes[item] - shorter)
+            if not shorter:
+                able = inside >= threshold * items.sizes[item] - 1e-9
+                matched = inside[able]
+            else:
+                able = (1 - cost) * matched + cost * (inside + 1) >= threshold * items.sizes[item] - 1e-9
+            rows = rows[able]
+        yield rows
+
+
+def leaks_in(docs: list[np.ndarray], items: Items, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """Place of the document, item, score and span (words) of the best passage for each item that leaks into one of the documents."""
+    firsts = np.concatenate([[0], np.cumsum([len(words) + 1 for words in docs])])
+    words = joined(docs)
+    rows = np.concatenate([np.zeros((0, 4), np.int64), *able_stretches(words, firsts, items, threshold)])
+    rows = rows[np.lexsort(rows.T[::-1])]
+    changes = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
+    for group in np.split(rows, changes) if len(rows) else []:
+        doc, item = group[0, :2].tolist()
+        size, best = int(items.sizes[item]), (0.0, 0, 0)
+        for low, high in windows_of(group[:, 2], group[:, 3]):
+            score, start, stop = align(items.words[item], words[low:high])
             best = max(best, (score / size, -(low + start), low + stop))
         if best[0] >= threshold:
-            yield item, best[0], -best[1], best[2]
+            first = int(firsts[doc])
+            yield doc, item, best[0], -best[1] - first, best[2] - first
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, threshold: float, block_grams: int) -> Iterator[Items]:
@@ -286,13 +341,12 @@ def numbered_docs(docs: DataFrame, items: Items) -> tuple[DataFrame, np.ndarray]
         own = Items.of(held.value)
         seen = np.zeros(own.size, np.int64)
         for frame in frames:
-            rows = []
-            for key, text in zip(frame["doc_id"], frame["text"]):
-                words = own.numbers_in(text)
-                if words.any():
-                    for numbers in (words, own.pairs_in(words)):
-                        np.add.at(seen, numbers, 1)
-                    rows.append((key, 0, shortened(words), None))
+            texts = [own.numbers_in(text) for text in frame["text"]]
+            for some in in_steps(texts):
+                words = joined(some)
+                for numbers in (words, own.pairs_in(words)):
+                    seen += np.bincount(numbers, minlength=own.size)
+            rows = [(key, 0, shortened(words), None) for key, words in zip(frame["doc_id"], texts) if words.any()]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
         seen[0] = 0
         full = np.flatnonzero(seen)
@@ -312,10 +366,11 @@ def block_leaks(numbered: DataFrame, items: Items, threshold: float) -> DataFram
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Items.of(held.value)
         for frame in frames:
-            rows = []
-            for key, numbers in zip(frame["doc_id"], frame["numbers"]):
-                for item, score, start, stop in leaks_in(lengthened(numbers), own, threshold):
-                    rows.append((key, own.ids[item], score, start, stop))
+            rows, before = [], 0
+            for texts in in_steps([lengthened(numbers) for numbers in frame["numbers"]]):
+                for doc, item, score, start, stop in leaks_in(texts, own, threshold):
+                    rows.append((frame["doc_id"].iat[before + doc], own.ids[item], score, start, stop))
+                before += len(texts)
             names = [column.split()[0] for column in LEAKS.split(", ")]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "item_id": "Int64"})
 
