@@ -183,11 +183,13 @@ def members_of(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
 
 
 def partnered(members: DataFrame) -> DataFrame:
-    """The sets (node) that share a key of the first join with a set of another class."""
-    group = Window.partitionBy("key")
-    rows = members.select("node", F.explode("keys").alias("key"))
-    beside = rows.withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)}).filter("low < high")
-    return beside.select("node").distinct()
+    """The sets (node) that share a key of the first join with a set of another class.
+
+    Equal sets count once, and a key is told by its least and greatest set, so that no task gathers the rows of a hot key.
+    """
+    rows = members.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
+    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    return rows.join(shared.select("key"), "key", "left_semi").select("node").distinct()
 
 
 def rare_keys(sets: DataFrame) -> DataFrame:
