@@ -1,6 +1,7 @@
 """Language identification: held-out accuracy, a plain naive Bayes, edge rows."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -96,3 +97,24 @@ def test_clashing_and_dotted_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, told int, `a.b` string, _best_language double")
     told = language.predict(docs, language.train(docs))
     assert told.columns == [*docs.columns, "lang_pred", "score"] and told.first()["a.b"] == "x"
+
+
+def test_fit_tells_chance_and_other_languages(spark):
+    rng = random.Random(5)
+    letters = lambda size: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(size))
+    # learned from a thousand documents; from fewer, letters that are drawn evenly are not yet told from text
+    docs = read_table(spark, SF_DIR.replace("0.001", "0.01"), "documents")
+    model = language.train(docs)
+    odd = ["το σπίτι και το ποτάμι της παλιάς πόλης είναι κοντά μας " * 9, "дом и река старого города рядом с нами", *(letters(1000) for _ in range(20))]
+    known = language.predict(docs, model, fit="Fit").filter("lang_pred <> 'und' and n_chars >= 100")
+    told = language.predict(spark.createDataFrame([(i, text, None, "x") for i, text in enumerate(odd)], SCHEMA), model, fit="Fit").collect()
+    assert all(row["Fit"] <= 0 for row in told) and min(row["score"] for row in told[:2]) > 0.5
+    assert known.filter("Fit > 0").count() == known.count() > 500
+
+
+def test_fit_is_the_mean_of_an_n_gram(spark):
+    docs = spark.createDataFrame([(1, "the and of that", "en", "x"), (2, None, None, "x")], SCHEMA)
+    model = language.train(docs, bits=8)
+    one, none = sorted(language.predict(docs, model, fit="fit").collect(), key=lambda r: r["doc_id"])
+    weights = [model.weights[b, 0] for found in language.buckets_of(one["text"], model.sizes, 8) for b in found]
+    assert one["fit"] == pytest.approx(np.mean(weights) + math.log(256)) and none["fit"] == 0

@@ -1,6 +1,6 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0.0,
+Defined results: a text that is null or has no letter is ``und`` with score and fit 0.0,
 and so is every text when no labelled row was learned from. Ties go to the
 language first in order. Repeated rows count as often as they come. Other columns
 are kept as they are; output columns of the given names are replaced.
@@ -91,37 +91,60 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sizes:
     return Model(languages, np.log(texts / texts.sum()) if languages else texts, weights, sizes, bits)
 
 
-def scores_of(texts: list[str], model: Model) -> np.ndarray:
-    """Probability of each language (columns) for each text: a text's n-gram weights are summed."""
-    sums = np.tile(model.priors, (len(texts), 1))
+def weighed(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of its n-grams' weights in each language (columns) for each text, and its number of n-grams."""
+    sums, sizes = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
     for row, words in enumerate(texts):
         for found in buckets_of(words, model.sizes, model.bits):
             full = np.bincount(found, minlength=1 << model.bits)
             sparse = np.flatnonzero(full)
             sums[row] += full[sparse] @ model.weights[sparse]
-    shifted = np.exp(sums - sums.max(axis=1, keepdims=True))
+            sizes[row] += len(found)
+    return sums, sizes
+
+
+def probabilities(sums: np.ndarray, model: Model) -> np.ndarray:
+    told = sums + model.priors
+    shifted = np.exp(told - told.max(axis=1, keepdims=True))
     return shifted / shifted.sum(axis=1, keepdims=True)
 
 
-def predict(df: DataFrame, model: Model, *, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``df`` with the most probable language of each text and its probability."""
+def scores_of(texts: list[str], model: Model) -> np.ndarray:
+    """Probability of each language (columns) for each text."""
+    return probabilities(weighed(texts, model)[0], model)
+
+
+def predict(
+    df: DataFrame, model: Model, *, text: str = "text", pred: str = "lang_pred", score: str = "score", fit: str | None = None
+) -> DataFrame:
+    """``df`` with the most probable language of each text and its probability.
+
+    That probability is near 1 for nearly every text of some length, in whatever language. The column named by ``fit`` does not
+    grow with the length: the mean log-probability of an n-gram in that language, less that of
+    buckets drawn evenly. At 0 or below the language explains the text no better than chance.
+    """
     small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(vars(model))
 
-    @F.pandas_udf("pred string, score double")
+    @F.pandas_udf("pred string, score double, fit double")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = Model(**held.value)
         for texts in batches:
             known = np.array([bool(fitted.languages) and has_letter(words) for words in texts], bool)
             pred_of = np.full(len(texts), UNKNOWN, object)
-            score_of = np.zeros(len(texts))
+            score_of, fit_of = np.zeros(len(texts)), np.zeros(len(texts))
             if known.any():
-                probability = scores_of(texts[known].tolist(), fitted)
-                pred_of[known] = np.array(fitted.languages, object)[probability.argmax(axis=1)]
+                sums, sizes = weighed(texts[known].tolist(), fitted)
+                probability = probabilities(sums, fitted)
+                top = probability.argmax(axis=1)
+                pred_of[known] = np.array(fitted.languages, object)[top]
                 score_of[known] = probability.max(axis=1)
-            yield pd.DataFrame({"pred": pred_of, "score": score_of})
+                fit_of[known] = sums[np.arange(len(sums)), top] / sizes + fitted.bits * np.log(2)
+            yield pd.DataFrame({"pred": pred_of, "score": score_of, "fit": fit_of})
 
-    rest = [f"`{column}`" for column in df.columns if column.lower() not in (pred.lower(), score.lower())]
+    names = {"pred": pred, "score": score} | ({"fit": fit} if fit else {})
+    taken = [name.lower() for name in names.values()]
+    rest = [f"`{column}`" for column in df.columns if column.lower() not in taken]
     (told,) = fresh(df, "told")
     found = df.select(*rest, best(text_of(f"`{text}`")).alias(told))
-    return found.select(*rest, F.col(f"{told}.pred").alias(pred), F.col(f"{told}.score").alias(score))
+    return found.select(*rest, *[F.col(f"{told}.{field}").alias(name) for field, name in names.items()])
