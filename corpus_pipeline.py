@@ -18,15 +18,16 @@ from tillmart.llm.common import fresh, read_table  # noqa: E402
 from tillmart.llm.queries import tokenizer_path  # noqa: E402
 from tillmart.session import written  # noqa: E402
 
-#: A language is told if it is more probable than all others together.
-LEAST_SCORE = 0.5
+#: A language is told if it is more probable than all others together, and explains the n-grams better than chance.
+LEAST_SCORE, LEAST_FIT = 0.5, 0.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose language is not clear, go."""
-    pred, score = fresh(docs, "lang_pred", "lang_score")
-    told = language.predict(docs, language.train(docs), pred=pred, score=score)
-    return told.filter((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select([f"`{column}`" for column in docs.columns])
+    """Documents without a letter go, and those whose language is not clear or is none of the learned ones."""
+    pred, score, fit = fresh(docs, "lang_pred", "lang_score", "lang_fit")
+    told = language.predict(docs, language.train(docs), pred=pred, score=score, fit=fit)
+    clear = (F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE) & (F.col(fit) > LEAST_FIT)
+    return told.filter(clear).select([f"`{column}`" for column in docs.columns])
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
