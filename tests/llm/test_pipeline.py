@@ -1,5 +1,7 @@
 """The pipeline's stages against plain versions of each, on its own input."""
 
+import random
+
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from tests.conftest import SF_DIR
@@ -52,6 +54,19 @@ def test_language_stage_rejects(spark):
     assert sorted(r["doc_id"] for r in pipeline.identify_language(spark, docs, SF_DIR).collect()) == [0, 1, 2]
 
 
+def test_language_stage_rejects_what_was_not_learned(spark):
+    """Other scripts and drawn letters go, all labelled texts with a letter stay."""
+    rng = random.Random(3)
+    docs = read_table(spark, SF_DIR.replace("0.001", "0.01"), "documents")
+    drawn = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(1000))
+    odd = [(-1, "дом и река старого города рядом с нами", None, "s", 1), (-2, drawn, None, "s", 1)]
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    left = pipeline.identify_language(spark, own.unionByName(spark.createDataFrame(odd, own.schema)), SF_DIR)
+    kept = {r["doc_id"] for r in left.select("doc_id").collect()}
+    assert not kept & {-1, -2}
+    assert kept == {key for key, text in rows_of(docs) if text and any(char.isalpha() for char in text)}
+
+
 def test_registered(spark):
     assert contract.queries()["pipeline"] is pipeline.run
     wanted = {f"op{n}_" for n in range(1, 14)}
