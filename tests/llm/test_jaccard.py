@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.compare import assert_same, connect
 from tests.conftest import SF_DIR
 from tillmart.llm import jaccard, queries
@@ -141,3 +143,15 @@ def test_components(links):
             label[a] = label[b] = min(label[a], label[b])
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: v for i, v in label.items() if i != v}
+
+
+def test_copies_bring_their_keys_once_a_task(spark):
+    """A class of copies has one row with keys in each task, and all copies have their groups."""
+    text = "a hot text of ten words comes here again now"
+    rows = [(i, text if i % 3 else f"{text} {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    held = jaccard.members_of(docs, 3, jaccard.Bands(90, 100)).withColumn("task", F.spark_partition_id())
+    of_copies = held.filter("n = 8").groupBy("task").agg(F.count("*").alias("rows"), F.sum((F.size("keys") > 0).cast("int")).alias("full"))
+    assert {r["full"] for r in of_copies.collect()} == {1} and of_copies.agg(F.sum("rows")).first()[0] == 200
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_groups(docs, n=3, num=90, den=100).collect()}
+    assert {found[i] for i in range(300) if i % 3} == {1}

@@ -178,18 +178,27 @@ def over_sets(docs: DataFrame, n: int, schema: str, rows_of) -> DataFrame:
 
 
 def members_of(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """Each document with its set's size, number and keys of the first join."""
-    return over_sets(docs, n, MEMBER, lambda key, own: [(key, len(own), node_of(own), coarse_keys(own, bands))])
+    """Each document with its set's size, number and keys of the first join.
 
+    Of the rows of a task that have the same set only the first has the keys, so a class of copies, however large, brings no more rows to a key than there are tasks.
+    """
+    seen: set[int] = set()  # of one task: each task gets the function anew
 
-def partnered(members: DataFrame) -> DataFrame:
-    """The sets (node) that share a key of the first join with a set of another class.
+    def row_of(key: int | None, own: np.ndarray) -> list[tuple]:
+        node = node_of(own)
+        keys = np.zeros(0, np.int64) if node in seen else coarse_keys(own, bands)
+        seen.add(node)
+        return [(key, len(own), node, keys)]
 
-    Equal sets count once, and a key is told by its least and greatest set, so that no task gathers the rows of a hot key.
-    """
-    rows = members.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    return rows.join(shared.select("key"), "key", "left_semi").select("node").distinct()
+    return over_sets(docs, n, MEMBER, row_of)
+
+
+def partnered(members: DataFrame) -> DataFrame:
+    """The sets (node) that share a key of the first join with a set of another class."""
+    group = Window.partitionBy("key")
+    rows = members.select("node", F.explode("keys").alias("key"))
+    beside = rows.withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)}).filter("low < high")
+    return beside.select("node").distinct()
 
 
 def rare_keys(sets: DataFrame) -> DataFrame:
