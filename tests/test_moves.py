@@ -20,7 +20,7 @@ from tillmart.streaming import following, incremental
 
 
 def moves(df):
-    return len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan_of(df)))
+    return moves_of(plan_of(df))
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +105,17 @@ def test_a_delivery_is_a_folder(spark, star, tmp_path):
     registry.landing_manifest(star).collect()
     written = spark.read.parquet(f"{star.path('landing_manifest')}/drops/a")
     assert written.count() > 0 and len(written.inputFiles()) == star.raw.rdd.getNumPartitions()
+
+
+def test_the_month_layout_moves_keys_in_bytes(star, monkeypatch):
+    plans = []
+    taken = registry.files.write_partitions
+    monkeypatch.setattr(registry.files, "write_partitions", lambda df, *columns, **how: plans.append(plan_of(df)) or taken(df, *columns, **how))
+    monthly = registry.monthly_fact(star)
+    assert "unhex(item_uuid" in plans[0] and moves_of(plans[0]) == 1
+    assert monthly.select("transaction_id", "item_uuid").exceptAll(star.fact.select("transaction_id", "item_uuid")).isEmpty()
+    assert monthly.count() == star.fact.count()
+
+
+def moves_of(plan):
+    return len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan))
