@@ -53,6 +53,48 @@ def test_chains_within_a_group(spark):
     assert len({least for *_, least in want}) == 1 and found(spark, rows, n=4) == want
 
 
+def test_edited_copies_make_few_pairs(spark, monkeypatch):
+    """Copies of one text that are at 0.6 to 0.8 of each other: the pairs to compare grow with the copies, not with their square."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 240):
+        own = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 2, 5, 6, 6, 7])):
+            own[at] = f"n{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    compared, estimated = [], hmh.estimated
+
+    def counted(pairs, nodes, least):
+        pairs = pairs.localCheckpoint()
+        compared.append(pairs.count())
+        return estimated(pairs, nodes, least)
+
+    monkeypatch.setattr(hmh, "estimated", counted)
+    want = plain(rows, 4, 80, 100)
+    assert found(spark, rows, n=4) == want and len({least for *_, least in want}) > 50
+    assert sum(compared) < 25 * len(rows), compared
+
+
+def test_rare_shingles_lose_no_link(spark):
+    """Sets of other sizes, some of one component: all pairs of different components that link share a rare n-gram."""
+    rng = np.random.default_rng(5)
+    base = mix(np.arange(160, dtype=np.uint64), 1)
+    sets, labels = {}, {}
+    for node in range(200):
+        own = base[rng.random(160) > rng.choice([0.02, 0.06, 0.12])][: rng.integers(100, 161)]
+        sets[node] = np.unique(np.concatenate([own, mix(rng.integers(0, 300, rng.integers(0, 20), dtype=np.uint64), 2)]))
+        labels[node] = node - node % 3 if node < 60 else node
+    linked = {(a, b) for a in sets for b in range(a) if labels[a] != labels[b] and 180 * len(np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]))}
+    opened = spark.createDataFrame([(node, labels[node], own.tobytes()) for node, own in sets.items()], "node long, label long, shingles binary")
+    shared = hmh.shared_shingles(opened)
+    held = {row["node"]: row["count"] for row in shared.groupBy("node").count().collect()}
+    able = spark.createDataFrame([(node, len(own), held[node]) for node, own in sets.items()], "node long, n long, m long")
+    told = spark.createDataFrame(list(labels.items()), "node long, label long").filter("node <> label")
+    got = {(row["b"], row["a"]) for row in hmh.rare_pairs(shared, able, told, 80, 100).collect()}
+    assert 500 < len(linked) and linked <= got and all(labels[a] != labels[b] for a, b in got)
+
+
 def sets_at(rng, size, similarity, count):
     """Pairs of sorted hash sets of that Jaccard similarity."""
     for _ in range(count):

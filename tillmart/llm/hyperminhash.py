@@ -9,8 +9,12 @@ similarity says, plus by chance, as a register does not have the whole hash.
   that an empty bucket borrows the register of the filled bucket that a fixed table ranks first for it, so that small sets agree
   as often as large ones.
 * **Groups, not pairs.** In a group with a common band each set is held against the group's first one only. Sets that are still apart after
-  that are banded again, more registers to a band, drawn from all of them; in these far smaller groups those that are
-  in different components are held against each other.
+  that are banded again, more registers to a band, drawn from all of them; in these far smaller groups each is held against the one that
+  has the largest share of n-grams that sets of other components have, too, such as the text that the others were copied from.
+* **Rare n-grams.** Of the sets that share a fine band and are apart after that, only those are held against each other that share an n-gram
+  which is among the rarest of both: linked sets have ``num / (num + den)`` of their sizes' sum in common, so the first common one of them, rarest first, has that many after it in
+  both. N-grams of one component only come first and are no keys. Edits are rare and what all copies have is frequent, so copies that differ too much do not meet.
+  This loses no link among these sets.
 * **Estimate.** The similarity of a candidate pair is estimated from the buckets that either fills, less the agreements that are expected by
   chance for sets of these sizes. A pair that is estimated more than ``MARGIN`` below the threshold goes.
 * **Verification.** The sets themselves decide.
@@ -29,16 +33,18 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillmart.llm.common import kept, small_batches, text_of
 from tillmart.llm.components import components
 from tillmart.llm.jaccard import WordHashes, mix, node_of, shingles_of
-from tillmart.session import written
+from tillmart.session import scratch, written
 
 BUCKETS, BUCKET_BITS, MANTISSA = 256, 8, 10
 COARSE, FINE_BANDS, EXPECTED = 5, 256, 27
 MARGIN = 0.2
+#: Sizes of a class differ by less than this factor.
+CLASS = 1.03
 MEMBER = "doc_id long, n long, node long, registers binary"
 
 
@@ -216,30 +222,100 @@ def apart(groups: DataFrame, labels: DataFrame) -> DataFrame:
     return told.join(mixed.select("key"), "key", "left_semi")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """The nodes that are in a pair."""
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def in_order(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def shared_shingles(opened: DataFrame) -> DataFrame:
+    """(node, shingle, f): n-grams that sets of several components have, with the number of sets, of ``opened`` (node, label, shingles); written."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                own = [np.frombuffer(held, np.int64) for held in frame["shingles"]]
+                sizes = [len(held) for held in own]
+                yield pd.DataFrame({name: np.repeat(frame[name].to_numpy(), sizes) for name in ("node", "label")} | {"shingle": np.concatenate(own)})
+
+    spark = opened.sparkSession
+    with scratch(spark, "shingles") as path:
+        opened.select("node", "label", "shingles").mapInPandas(work, "node long, label long, shingle long").write.parquet(path)
+        rows = spark.read.parquet(path)
+        counts = rows.groupBy("shingle").agg(F.count("*").alias("f"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        return written(rows.join(counts.select("shingle", "f"), "shingle").select("node", "shingle", "f"), "shared")
+
+
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(CLASS)))
+
+
+def rare_pairs(shared: DataFrame, able: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components among ``able`` (node, n, m) that share an n-gram which is among the rarest of both.
+
+    ``m`` of a set's ``n`` n-grams are in ``shared``. How many are the rarest depends on both sizes, so a key is an n-gram with both classes of sizes.
+    """
+    n, place = F.col("n"), F.row_number().over(Window.partitionBy("node").orderBy("f", "shingle"))
+    least, most = F.ceil(n * num / den), F.floor(n * den / num)
+    ranked = shared.join(able, "node").withColumn("place", F.col("n") - F.col("m") + place - 1).filter(F.col("place") <= n - least)
+    classed = ranked.withColumns({"own": size_class(n), "other": F.explode(F.sequence(size_class(least), size_class(most)))})
+    common = F.ceil((n + F.greatest(F.floor(F.pow(F.lit(CLASS), "other")), least)) * num / (num + den))
+    keyed = classed.filter((F.col("place") <= n - common) & (F.col("m") >= common))
+    key = ["shingle", "low", "high"]
+    told = with_label(keyed.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}), labels, "node", "label")
+    told = written(told.select(*key, "own", "other", "node", "n", "m", "place", "label"), "rare")
+    counts = told.groupBy(*key, "label").agg(F.count("*").alias("rows"))
+    mixed = counts.groupBy(*key).agg(F.count("*").alias("labels"), F.max(F.struct("rows", "label"))["label"].alias("main")).filter("labels > 1")
+    # a key's largest component is not held against itself
+    open_rows = written(told.join(mixed.select(*key, "main"), key), "open")
+    x, y = open_rows.filter("label <> main").alias("x"), open_rows.alias("y")
+    both = F.ceil((F.col("x.n") + F.col("y.n")) * num / (num + den))
+    met = (
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.own") == F.col("y.other"))
+        & (F.col("x.other") == F.col("y.own"))
+        & ((F.col("y.label") == F.col("y.main")) | (F.col("x.label") < F.col("y.label")))
+        & (F.least("x.m", "y.m") >= both)
+        & (F.col("x.place") <= F.col("x.n") - both)
+        & (F.col("y.place") <= F.col("y.n") - both)
+    )
+    return x.join(y, met).select(*in_order("x.node", "y.node")).distinct()
+
+
 def links_of(docs: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes that are connected; not each pair within a component."""
     least = num / den - MARGIN
     starred = written(in_groups(keyed(nodes, COARSE)), "coarse")
-    ordered = [F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")]
-    first = written(estimated(starred.filter("node <> hub").select(*ordered).distinct(), nodes, least), "pairs")
+    first = written(estimated(starred.filter("node <> hub").select(*in_order("hub", "node")).distinct(), nodes, least), "pairs")
     docs_of = nodes.select("node", "doc_id")
-    asked = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).distinct()
-    sets = sets_of(docs, docs_of.join(asked, "node", "left_semi"), n)
+    sets = sets_of(docs, docs_of.join(ends_of(first), "node", "left_semi"), n)
     links = written(verified(first, sets, num, den), "links")
 
     # sets that share a coarse band with one of another component are banded again
     labels = components(links)
     left = apart(starred.select("key", "node"), labels).select("node").distinct()
-    fine = apart(in_groups(keyed(nodes.join(left, "node", "left_semi"), fine_size(num, den))).select("key", "node"), labels)
-    open_rows = written(fine.join(nodes.select("node", "n"), "node"), "open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    able = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & able)
-    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = written(estimated(pairs.join(first, ["a", "b"], "left_anti"), nodes, least), "pairs")
-    more = second.select(F.col("a").alias("node")).unionByName(second.select(F.col("b").alias("node"))).distinct()
-    more_sets = sets_of(docs, docs_of.join(more, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), n)
-    return links.unionByName(verified(second, sets.unionByName(more_sets), num, den))
+    fine = in_groups(keyed(nodes.join(left, "node", "left_semi"), fine_size(num, den))).select("key", "node")
+    open_rows = written(apart(fine, labels), "open")
+    opened = open_rows.select("node", "label").distinct()
+    sets = sets.unionByName(sets_of(docs, docs_of.join(opened, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), n))
+    shared = shared_shingles(sets.join(opened, "node"))
+    sizes = opened.join(nodes.select("node", "n"), "node").join(shared.groupBy("node").agg(F.count("*").alias("m")), "node", "left")
+    sizes = written(sizes.select("node", "label", "n", F.coalesce("m", F.lit(0)).alias("m")), "sizes")
+
+    weighed = open_rows.select("key", "node").join(sizes.select("node", "label", (F.col("m") / F.col("n")).alias("share")), "node")
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("share", "node", "label")).alias("hub")).select("key", "hub.node", "hub.label")
+    others = weighed.join(hubs.select("key", F.col("node").alias("hub"), F.col("label").alias("of_hub")), "key").filter("label <> of_hub")
+    tried = others.select(*in_order("hub", "node")).distinct().join(first, ["a", "b"], "left_anti")
+    second = written(estimated(tried, nodes, least), "pairs")
+    links = written(links.unionByName(verified(second, sets, num, den)), "links")
+
+    able = sizes.filter(F.col("m") * den >= F.col("n") * num).select("node", "n", "m")
+    rare = rare_pairs(shared, able, components(links), num, den).join(first.unionByName(second), ["a", "b"], "left_anti")
+    third = written(estimated(rare, nodes, least), "pairs")
+    return links.unionByName(verified(third, sets, num, den))
 
 
 def near_duplicates(
