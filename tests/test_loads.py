@@ -37,6 +37,20 @@ def test_a_drop_without_rows_is_a_delivery(spark, monkeypatch):
     assert drops_of(spark, monkeypatch, "1/1/11 8:26", None)[0] == [[], [], ["0", "1"]]
 
 
+def test_items_of_earlier_loads_are_not_written_again(spark, monkeypatch):
+    monkeypatch.setattr(following, "BUCKETS", 1)
+    follow = follower(spark, families(spark, ("85123", "HEART", "DECORATION")))
+    where = shared_dir(spark, "seen")
+    staged = [staging.stg_transactions(sales(spark, *[{"StockCode": code, "Description": text} for code, text in items])) for items in ([("1", "A"), ("2", None)], [("1", "A"), ("2", "B")], [("1", "A")])]
+    follow._items(staged[0], 0, f"{where}-0")
+    before = files_under(f"{follow.root}/dim_items")
+    for load_id in (1, 1, 2):
+        follow._items(staged[load_id], load_id, shared_dir(spark, "seen"))
+    assert follow.touched["dim_items"] == []
+    assert before and before.items() <= files_under(f"{follow.root}/dim_items").items()
+    assert sorted((r.item_id, str(r.item_description)) for r in follow.table("dim_items").collect()) == [("1", "A"), ("2", "B"), ("2", "None")]
+
+
 def test_settings_come_back(spark):
     names = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
     before = [spark.conf.get(name) for name in names]
