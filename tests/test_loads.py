@@ -51,6 +51,42 @@ def test_items_of_earlier_loads_are_not_written_again(spark, monkeypatch):
     assert sorted((r.item_id, str(r.item_description)) for r in follow.table("dim_items").collect()) == [("1", "A"), ("2", "B"), ("2", "None")]
 
 
+def test_rows_are_counted_where_they_are_transactions(spark):
+    rows = [(i, i % 3 or None, "FR" if i % 2 else None, str(i % 5), i * 1.5, i, i % 4 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "transaction_id long, customer_id int, country_name string, invoice_id string, total_price_eur double, quantity_amount int, is_return boolean")
+    df = df.withColumn("total_price_eur", F.col("total_price_eur").cast("decimal(18,2)"))
+    measures, bucket = following.CUSTOMERS, following.by_hash("customer_id")
+    assert "distinct" in plan_of(measures.partial(df, bucket))
+    assert "distinct" not in plan_of(measures.of_rows().partial(df, bucket))
+    lines = lambda found: sorted(map(repr, found.select(sorted(found.columns)).collect()))
+    assert lines(measures.partial(df, bucket)) == lines(measures.of_rows().partial(df, bucket))
+    # of one load, values are counted as rows
+    part = measures.of_rows().partial(df, bucket).withColumn("load_id", F.lit(0))
+    once, several = (measures.totals(part, "total_invoices", once) for once in (True, False))
+    assert "distinct" not in plan_of(once) and lines(once) == lines(several)
+
+
+def test_buckets_of_one_load(spark):
+    state = following.State(spark, shared_dir(spark, "state"), following.STATES["customers_seen"])
+    row = spark.sql("select 1 customer_id, 'x' country_name, cast(null as timestamp_ntz) first_seen")
+    for load_id, buckets in enumerate(([-1, 3], [-1], [5])):
+        assert state.replace(row.select("*", F.explode(F.lit(buckets)).alias("bucket")), load_id) == buckets
+    assert state.by_loads([-1, 3, 5, 7]) == [([3, 5], True), ([-1, 7], False)]
+    assert state.by_loads([3]) == [([3], True)] and state.by_loads([]) == []
+
+
+@pytest.mark.parametrize("partitions, parts", [(4, 1), (40, 3), (600, 16)])
+def test_parts_fit_the_shuffle(spark, conf, partitions, parts):
+    conf("spark.sql.shuffle.partitions", str(partitions))
+    assert {r.p for r in spark.range(500).select(following.part_of("id").alias("p")).distinct().collect()} == set(range(parts))
+
+
+def test_hot_values_of_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(grouped, "HASHES", 1)
+    df = spark.createDataFrame([("a",)] * 300 + [(None,)] * 300 + [(f"k{i}",) for i in range(400)], "k string")
+    assert set(grouped.hot_values(df, "k")) == {"a", None}
+
+
 def test_settings_come_back(spark):
     names = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
     before = [spark.conf.get(name) for name in names]
