@@ -87,9 +87,10 @@ def test_hot_values_of_one_hash(spark, monkeypatch):
     assert set(grouped.hot_values(df, "k")) == {"a", None}
 
 
-def test_settings_come_back(spark):
+def test_settings_come_back(spark, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     names = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
     before = [spark.conf.get(name) for name in names]
     with unsorted_writes(spark), hashed_joins(spark):
-        assert [spark.conf.get(name) for name in names] == ["32", "64m"]
+        assert [spark.conf.get(name) for name in names] == ["32", "8m"]
     assert [spark.conf.get(name) for name in names] == before
